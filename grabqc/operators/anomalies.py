@@ -45,25 +45,26 @@ def station_counts(results):
     return value_counts(results, STATION_KEY, "Result")
 
 
-def submission_percentiles(counts):
+def submission_percentiles(counts, large_groups=True):
     """Percentiles of each characteristic within its submission."""
-    return (summarise_counts(roll_up(counts, SUBMISSION_KEY), SUBMISSION_KEY, SUBMISSION_PERCENTILES)
+    return (summarise_counts(roll_up(counts, SUBMISSION_KEY), SUBMISSION_KEY, SUBMISSION_PERCENTILES, large_groups)
             .select(*SUBMISSION_KEY, *SUBMISSION_PERCENTILES))
 
 
-def station_percentiles(counts):
+def station_percentiles(counts, large_groups=True):
     """Percentiles of each station and characteristic within its submission."""
-    return (summarise_counts(counts, STATION_KEY, STATION_PERCENTILES)
+    return (summarise_counts(counts, STATION_KEY, STATION_PERCENTILES, large_groups)
             .select(*STATION_KEY, *STATION_PERCENTILES))
 
 
-def with_limits(results, criteria, counts):
+def with_limits(results, criteria, counts, large_groups=True):
     """Attach fixed criteria and both kinds of percentiles.
 
     The two percentile tables meet first, so the results are joined only once to data that
     grows with them; the criteria are a lookup.
     """
-    observed = station_percentiles(counts).join(submission_percentiles(counts), SUBMISSION_KEY, "left")
+    observed = station_percentiles(counts, large_groups).join(
+        submission_percentiles(counts, large_groups), SUBMISSION_KEY, "left")
     fixed = criteria.where(F.col("charidText").isNotNull()).select(F.col("charidText").alias("CharIDText"), *CRITERIA_COLUMNS)
     return results.join(observed, STATION_KEY, "left").join(fixed, "CharIDText", "left")
 
@@ -117,8 +118,6 @@ def finalise(counted):
     )).withColumn("DQLCmt", F.lit(""))
 
 
-def flag_results(graded_results, criteria, counts=None):
+def flag_results(graded_results, criteria, counts, large_groups=True):
     """Graded results with limits, flags, counts and final grade, in one pass over them."""
-    if counts is None:
-        counts = station_counts(graded_results)
-    return finalise(with_counts(with_flags(with_limits(graded_results, criteria, counts))))
+    return finalise(with_counts(with_flags(with_limits(graded_results, criteria, counts, large_groups))))

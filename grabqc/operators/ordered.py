@@ -17,8 +17,13 @@ def running_totals(df, keys, chunk, order, sums):
 
     ``sums`` maps an output name to the column it accumulates. Adds, per output, the running
     sum including the current row (``name``) and the total of the group (``name_total``).
-    ``chunk`` must be non-null and rise with ``order``.
+    ``chunk`` must be non-null and rise with ``order``; leave it out only where every group is
+    known to be small enough for one task.
     """
+    if chunk is None:
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()}
+                              | {f"{n}_total": F.sum(c).over(Window.partitionBy(*keys)) for n, c in sums.items()})
     cells = [*keys, chunk]
     inside = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.repartition(*cells).withColumns({f"__l_{n}": F.sum(c).over(inside) for n, c in sums.items()})
@@ -36,13 +41,17 @@ def running_totals(df, keys, chunk, order, sums):
     return joined.drop(*[f"__l_{n}" for n in sums], *[f"__o_{n}" for n in sums])
 
 
-def neighbours(df, keys, chunk, order, fields, is_large):
+def neighbours(df, keys, chunk, order, fields, is_large=None):
     """Previous and next row of each row inside its group, as structs ``prev`` and ``next``.
 
     Groups flagged by ``is_large`` are cut into chunks; the first and last row of each chunk
     then look for their outer neighbour among the other chunks' edge rows only. ``chunk`` must
-    be constant in the groups that are not flagged.
+    be constant in the groups that are not flagged; leave it out where none is.
     """
+    if chunk is None:
+        order_in_group = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({"prev": F.lag(F.struct(*fields)).over(order_in_group),
+                               "next": F.lead(F.struct(*fields)).over(order_in_group)})
     inside = Window.partitionBy(*keys, chunk).orderBy(*order)
     row = F.struct(*fields)
     local = df.repartition(*keys, chunk).withColumns({

@@ -1,7 +1,7 @@
 """Exact percentiles by linear interpolation, from a histogram of distinct values.
 
 The raw rows are read once into (group, value, count), which aggregates before the shuffle; all
-statistics are then taken from that smaller table. No group's values are held in one buffer.
+statistics are then taken from that smaller table.
 """
 
 from functools import reduce
@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from grabqc.operators.ordered import running_totals
 
+# Most distinct values of one group that are ranked in a single task.
+LARGE_GROUP = 1_000_000
+
 
 def value_counts(df, keys, value):
     """One row per group and distinct non-null value, with its number of occurrences."""
@@ -18,47 +21,58 @@ def value_counts(df, keys, value):
             .agg(F.count("*").alias("occurs")))
 
 
+def roll_up(counts, keys):
+    """Histogram of coarser groups from that of finer ones."""
+    return counts.groupBy(*keys, "value").agg(F.sum("occurs").alias("occurs"))
+
+
+def has_large_group(counts, keys, limit=LARGE_GROUP):
+    """Whether some group has more histogram rows than one task should rank. Runs a job."""
+    return not counts.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit).isEmpty()
+
+
 def value_band(value):
     """Integer that rises with ``value``: 128 bands per doubling of magnitude plus one."""
     band = F.floor(F.log2(F.abs(value) + 1.0) * 128)
     return F.when(value < 0, -band).otherwise(band)
 
 
-def summarise_counts(counts, keys, probs):
+def summarise_counts(counts, keys, probs, large_groups=True):
     """Per group: ``n``, ``mean``, ``min``, ``max`` and one column per requested percentile.
 
-    ``probs`` maps an output name to a probability in [0, 1].
+    ``probs`` maps an output name to a probability in [0, 1]. By default a group may hold any
+    number of distinct values: they are ranked in bands over many tasks. ``large_groups=False``,
+    for histograms checked with ``has_large_group``, ranks each group in one buffer.
     """
+    basics = [F.sum("occurs").alias("n"),
+              (F.sum(F.col("value") * F.col("occurs")) / F.sum("occurs")).alias("mean"),
+              F.min("value").alias("min"), F.max("value").alias("max")]
+    if not large_groups:
+        wanted = F.array(*[F.lit(float(p)) for p in probs.values()])
+        stats = counts.groupBy(*keys).agg(*basics, F.percentile("value", wanted, F.col("occurs")).alias("__p"))
+        return stats.select(*keys, "n", "mean", "min", "max",
+                            *[F.col("__p")[i].alias(name) for i, name in enumerate(probs)])
+
     banded = counts.withColumn("__band", value_band(F.col("value")))
     ranked = running_totals(banded, keys, "__band", ["value"], {"upto": F.col("occurs")})
     first = F.col("upto") - F.col("occurs")
-    last_rank = F.col("upto_total") - 1
 
     def at(rank):
         return F.max(F.when((first <= rank) & (rank < F.col("upto")), F.col("value")))
 
-    ranks = {name: F.lit(float(p)) * last_rank for name, p in probs.items()}
+    ranks = {name: F.lit(float(p)) * (F.col("upto_total") - 1) for name, p in probs.items()}
     stats = ranked.groupBy(*keys).agg(
-        F.max("upto_total").alias("n"),
-        (F.sum(F.col("value") * F.col("occurs")) / F.sum("occurs")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        *basics,
         *[at(F.floor(h)).alias(f"__lo_{name}") for name, h in ranks.items()],
-        *[at(F.ceil(h)).alias(f"__hi_{name}") for name, h in ranks.items()],
-    )
+        *[at(F.ceil(h)).alias(f"__hi_{name}") for name, h in ranks.items()])
 
     def interpolate(name, p):
         h = F.lit(float(p)) * (F.col("n") - 1)
-        low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+        low, high = F.col(f"`__lo_{name}`"), F.col(f"`__hi_{name}`")
         return (low + (high - low) * (h - F.floor(h))).alias(name)
 
     return stats.select(*keys, "n", "mean", "min", "max", *[interpolate(name, p) for name, p in probs.items()])
 
 
-def roll_up(counts, keys):
-    """Histogram of coarser groups from that of finer ones."""
-    return counts.groupBy(*keys, "value").agg(F.sum("occurs").alias("occurs"))
-
-
 def any_of(conditions):
     return reduce(lambda a, b: a | b, conditions)

@@ -15,7 +15,7 @@ HINGES = {"lower": 0.25, "middle": 0.5, "upper": 0.75}
 ALL_STATIONS = "All"
 
 
-def data_summary(counts):
+def data_summary(counts, large_groups=True):
     """Statistics per characteristic over all stations and per station, in one result.
 
     ``counts`` is the histogram by submission, station and characteristic; both levels come
@@ -27,19 +27,19 @@ def data_summary(counts):
               .withColumn("Station", F.when(F.col("all_stations") == 1, ALL_STATIONS)
                           .otherwise(F.col("LASAR_ID").cast("string"))))
     keys = ["subid", "Station", "CharIDText"]
-    stats = summarise_counts(levels.select(*keys, "value", "occurs"), keys, DATA_PERCENTILES)
+    stats = summarise_counts(levels.select(*keys, "value", "occurs"), keys, DATA_PERCENTILES, large_groups)
     return stats.select("subid", "Station", F.col("CharIDText").alias("Characteristic"),
                         F.col("n").alias("Count"), F.col("mean").alias("Mean"), F.col("min").alias("Min"),
                         *[F.col(f"`{p}`") for p in DATA_PERCENTILES], F.col("max").alias("Max"))
 
 
-def qc_summary(series):
+def qc_summary(series, large_groups=True):
     """Statistics of the signed precision and grade counts, per characteristic and rule.
 
     Missing precisions are left out of the statistics and counted in ``Count_Missing``.
     """
     keys = ["subid", "CharIDText", "QCcalc"]
-    stats = summarise_counts(value_counts(series, keys, "prec_val"), keys, QC_PERCENTILES)
+    stats = summarise_counts(value_counts(series, keys, "prec_val"), keys, QC_PERCENTILES, large_groups)
     grades = series.groupBy(*keys).agg(
         F.count("*").alias("Count_QC"),
         F.count_if(F.col("prec_DQL") == "A").alias("CountA"),
@@ -54,18 +54,18 @@ def qc_summary(series):
         "Count_Missing")
 
 
-def _with_fences(counts):
-    hinges = summarise_counts(counts, STATION_KEY, HINGES)
+def _with_fences(counts, large_groups):
+    hinges = summarise_counts(counts, STATION_KEY, HINGES, large_groups)
     spread = 1.5 * (F.col("upper") - F.col("lower"))
     fenced = hinges.select(*STATION_KEY, "n", *HINGES, (F.col("lower") - spread).alias("low_fence"),
                            (F.col("upper") + spread).alias("high_fence"))
     return counts.join(fenced, STATION_KEY)
 
 
-def box_plot_stats(counts):
+def box_plot_stats(counts, large_groups=True):
     """Hinges, whiskers and number of outliers of each station and characteristic."""
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
-    return _with_fences(counts).groupBy(*STATION_KEY).agg(
+    return _with_fences(counts, large_groups).groupBy(*STATION_KEY).agg(
         F.max("n").alias("n"),
         F.min(F.when(inside, F.col("value"))).alias("ymin"),
         *[F.max(h).alias(h) for h in HINGES],
@@ -74,10 +74,10 @@ def box_plot_stats(counts):
     )
 
 
-def box_plot_outliers(counts):
+def box_plot_outliers(counts, large_groups=True):
     """Values beyond the whiskers, with how often each occurs."""
     outside = ~F.col("value").between(F.col("low_fence"), F.col("high_fence"))
-    return _with_fences(counts).where(outside).select(*STATION_KEY, "value", "occurs")
+    return _with_fences(counts, large_groups).where(outside).select(*STATION_KEY, "value", "occurs")
 
 
 def characteristics_present(results):

@@ -7,6 +7,7 @@ import os
 from functools import reduce
 
 from grabqc.operators import anomalies, audits, grading, identity, precision, reshape, summaries, tables
+from grabqc.operators.percentiles import has_large_group
 from grabqc.sinks import reports
 from grabqc.sinks.publish import publish
 from grabqc.sources.tables import materialise, rows_of_batch
@@ -29,32 +30,36 @@ def grade(res, characteristics, criteria, anomaly_criteria, overlaps="worst"):
     """Long results to final grades.
 
     ``res`` should be a stored table: it is scanned a few times, each with few columns, but
-    joined whole only twice. The narrow pair frame is stored once and read by the rest.
+    joined whole only twice. Pairs, batches and the value histogram are stored once and read
+    by the rest; their sizes choose between one-task and many-task ordering of a group.
     """
     graded = materialise(precision.graded_pairs(res, characteristics, criteria), "pairs")
-    windows = grading.qc_applicability(graded)
-    with_grade = grading.grade_results(res, graded, windows, overlaps)
-    # Results outside any period count once in the percentiles, as do all others.
-    counts = anomalies.station_counts(res if overlaps == "worst" else with_grade)
-    final = anomalies.flag_results(with_grade, anomaly_criteria, counts)
+    batch_rows = materialise(grading.batches(graded), "batches")
+    large = grading.has_large_batch(batch_rows)
+    windows = grading.qc_applicability(graded, batch_rows, large_batches=large)
+    covered = grading.covering_windows(graded, batch_rows, windows, large_batches=large)
+    with_grade = grading.grade_results(res, graded, batch_rows, grading.interval_grades(covered, overlaps))
+    counts = materialise(anomalies.station_counts(res if overlaps == "worst" else with_grade), "values")
+    crowded = has_large_group(counts, anomalies.SUBMISSION_KEY)
     return {
         "graded_pairs": graded,
         "prec_grade": precision.replicate_precision(graded),
-        "batch_summary": grading.batch_summary(graded),
+        "batch_summary": grading.batch_summary(batch_rows),
         "qc_applicability": windows,
-        "final_DQL": final,
+        "value_counts": counts,
+        "final_DQL": anomalies.flag_results(with_grade, anomaly_criteria, counts, crowded),
     }
 
 
-def summarise(final, graded):
-    """Report and chart data."""
-    counts = anomalies.station_counts(final)
+def summarise(graded, counts):
+    """Report and chart data, from the graded pairs and the value histogram."""
     series = precision.signed_series(graded)
+    crowded = has_large_group(counts, anomalies.SUBMISSION_KEY)
     return {
-        "data_summary": summaries.data_summary(counts),
+        "data_summary": summaries.data_summary(counts, crowded),
         "qc_summary": summaries.qc_summary(series),
-        "box_plot_stats": summaries.box_plot_stats(counts),
-        "box_plot_outliers": summaries.box_plot_outliers(counts),
+        "box_plot_stats": summaries.box_plot_stats(counts, crowded),
+        "box_plot_outliers": summaries.box_plot_outliers(counts, crowded),
         "control_chart_series": series,
         "pair_scatter": summaries.pair_scatter(graded),
     }
