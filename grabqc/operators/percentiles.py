@@ -40,38 +40,29 @@ def value_band(value):
 def summarise_counts(counts, keys, probs, large_groups=True):
     """Per group: ``n``, ``mean``, ``min``, ``max`` and one column per requested percentile.
 
-    ``probs`` maps an output name to a probability in [0, 1]. By default a group may hold any
-    number of distinct values: they are ranked in bands over many tasks. ``large_groups=False``,
-    for histograms checked with ``has_large_group``, ranks each group in one buffer.
+    ``probs`` maps an output name to a probability in [0, 1]. The place of a percentile among n
+    values is 1 + (n - 1) p; between two places the two values are weighted by the fraction. By
+    default a group may hold any number of distinct values: they are ranked in bands over many
+    tasks. ``large_groups=False``, for histograms checked with ``has_large_group``, ranks each
+    group in one task.
     """
-    basics = [F.sum("occurs").alias("n"),
-              (F.sum(F.col("value") * F.col("occurs")) / F.sum("occurs")).alias("mean"),
-              F.min("value").alias("min"), F.max("value").alias("max")]
-    if not large_groups:
-        wanted = F.array(*[F.lit(float(p)) for p in probs.values()])
-        stats = counts.groupBy(*keys).agg(*basics, F.percentile("value", wanted, F.col("occurs")).alias("__p"))
-        return stats.select(*keys, "n", "mean", "min", "max",
-                            *[F.col("__p")[i].alias(name) for i, name in enumerate(probs)])
-
-    banded = counts.withColumn("__band", value_band(F.col("value")))
-    ranked = running_totals(banded, keys, "__band", ["value"], {"upto": F.col("occurs")})
-    first = F.col("upto") - F.col("occurs")
-
-    def at(rank):
-        return F.max(F.when((first <= rank) & (rank < F.col("upto")), F.col("value")))
-
-    ranks = {name: F.lit(float(p)) * (F.col("upto_total") - 1) for name, p in probs.items()}
+    if large_groups:
+        counts = counts.withColumn("__band", value_band(F.col("value")))
+    ranked = running_totals(counts, keys, "__band" if large_groups else None, ["value"], {"upto": F.col("occurs")})
+    places = {name: f"(1 + (upto_total - 1) * {float(p)!r}D)" for name, p in probs.items()}
+    at = "max(if(upto - occurs < {0}({1}) AND {0}({1}) <= upto, value, NULL))"
     stats = ranked.groupBy(*keys).agg(
-        *basics,
-        *[at(F.floor(h)).alias(f"__lo_{name}") for name, h in ranks.items()],
-        *[at(F.ceil(h)).alias(f"__hi_{name}") for name, h in ranks.items()])
+        F.expr("sum(occurs) AS n"), F.expr("sum(value * occurs) / sum(occurs) AS mean"),
+        F.expr("min(value) AS min"), F.expr("max(value) AS max"),
+        *[F.expr(f"{at.format(end, place)} AS `__{end}_{name}`")
+          for name, place in places.items() for end in ("floor", "ceil")])
 
-    def interpolate(name, p):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        low, high = F.col(f"`__lo_{name}`"), F.col(f"`__hi_{name}`")
-        return (low + (high - low) * (h - F.floor(h))).alias(name)
+    def between(name, p):
+        low, high, place = f"`__floor_{name}`", f"`__ceil_{name}`", f"(1 + (n - 1) * {float(p)!r}D)"
+        part = f"({place} - floor({place}))"
+        return F.expr(f"if({low} = {high}, {low}, (1 - {part}) * {low} + {part} * {high}) AS `{name}`")
 
-    return stats.select(*keys, "n", "mean", "min", "max", *[interpolate(name, p) for name, p in probs.items()])
+    return stats.select(*keys, "n", "mean", "min", "max", *[between(name, p) for name, p in probs.items()])
 
 
 def any_of(conditions):

@@ -6,12 +6,9 @@ no shuffle.
 """
 
 import re
-from functools import reduce
 
 from pyspark.sql import functions as F
 
-from grabqc.functions.text import blank_to_null
-
 # Column-name endings of the template, compared without regard to case.
 RESULT_SUFFIXES = ("_r", "_RESULTS")
 METADATA_SUFFIXES = {
@@ -68,56 +65,60 @@ def metadata_columns(columns, family):
     return [(c, code) for c, code in found if code]
 
 
+def _name(column):
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _quote(text):
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _text(column):
-    return blank_to_null(F.col(f"`{column}`").cast("string"))
+    """SQL for a cell as text, NULL when blank."""
+    cell = f"cast({_name(column)} AS string)"
+    return f"if(trim({cell}) <> '', {cell}, NULL)"
+
 
+def _number(column):
+    return f"try_cast({_name(column)} AS double)"
 
-def _metadata(columns, family, code):
-    """Value of one family for one characteristic; NULL when the template has no such column."""
-    cells = [_text(c) for c, owner in metadata_columns(columns, family) if owner == code]
-    return (F.coalesce(*cells) if cells else F.lit(None).cast("string")).alias(family)
+
+def _metadata(columns, family):
+    """SQL by characteristic for one family's value."""
+    cells = {}
+    for column, code in metadata_columns(columns, family):
+        cells.setdefault(code, []).append(_text(column))
+    return {code: f"coalesce({', '.join(texts)})" for code, texts in cells.items()}
 
 
 def melt_results(template, known=None):
     """One row per template row and result column holding a value, with its metadata.
 
-    A replicate gets the metadata of its primary, as both share the characteristic code.
+    A replicate gets the metadata of its primary, as both share the characteristic code. The
+    cells are written as SQL text: a template has hundreds of columns, and one expression is
+    quicker to hand over than one object per cell.
     """
     columns = template.columns
-    entries = [
-        F.struct(
-            F.lit(column).alias("Char"),
-            F.lit(code).alias("CharIDText"),
-            F.lit(kind).alias("sample_type"),
-            _text(column).try_cast("double").alias("Result"),
-            *[_metadata(columns, family, code) for family in METADATA_SUFFIXES],
-        )
-        for column, code, kind in result_columns(columns, known)
-    ]
+    metadata = {family: _metadata(columns, family) for family in METADATA_SUFFIXES}
+    cells = [
+        f"named_struct('Char', {_quote(column)}, 'CharIDText', {_quote(code)}, 'sample_type', '{kind}', "
+        f"'Result', {_number(column)}, "
+        + ", ".join(f"'{family}', {of.get(code, 'cast(NULL AS string)')}" for family, of in metadata.items()) + ")"
+        for column, code, kind in result_columns(columns, known)]
+    kind = ("array<struct<Char:string,CharIDText:string,sample_type:string,Result:double,"
+            + ",".join(f"{family}:string" for family in METADATA_SUFFIXES) + ">>")
     visit = [F.col(c) if c in columns else F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS]
-    if not entries:
-        empty = ("struct<Char:string,CharIDText:string,sample_type:string,Result:double,"
-                 + ",".join(f"{f}:string" for f in METADATA_SUFFIXES) + ">")
-        cells = F.array().cast(f"array<{empty}>")
-    else:
-        cells = F.array(*entries)
-    return (template.select(*ROW_KEY, *visit, F.explode(cells).alias("cell"))
-            .where(F.col("cell.Result").isNotNull())
-            .select(*ROW_KEY, *VISIT_COLUMNS, "cell.*"))
+    return (template.select(*ROW_KEY, *visit, F.expr(f"inline(cast(array({', '.join(cells)}) AS {kind}))"))
+            .where(F.col("Result").isNotNull()))
 
 
 def melt_metadata(template, family):
     """One row per non-missing cell of a metadata family; no rows when the family is absent."""
-    owned = metadata_columns(template.columns, family)
-    if not owned:
-        return template.select(*ROW_KEY, F.lit("").alias("column"), F.lit("").alias("CharIDText"),
-                               F.lit("").alias(family)).where(F.lit(False))
-    owner = reduce(lambda case, pair: case.when(F.col("column") == pair[0], pair[1]), owned[1:],
-                   F.when(F.col("column") == owned[0][0], owned[0][1]))
-    return (template.select(*ROW_KEY, *[_text(c).alias(c) for c, _ in owned])
-            .unpivot(ROW_KEY, [c for c, _ in owned], "column", family)
-            .where(F.col(family).isNotNull())
-            .select(*ROW_KEY, "column", owner.alias("CharIDText"), family))
+    cells = [f"named_struct('column', {_quote(column)}, 'CharIDText', {_quote(code)}, '{family}', {_text(column)})"
+             for column, code in metadata_columns(template.columns, family)]
+    kind = f"array<struct<column:string,CharIDText:string,{family}:string>>"
+    return (template.select(*ROW_KEY, F.expr(f"inline(cast(array({', '.join(cells)}) AS {kind}))"))
+            .where(F.col(family).isNotNull()))
 
 
 def visit_comments(template):
@@ -128,20 +129,13 @@ def visit_comments(template):
 
 def orphan_metadata(template, known=None):
     """Metadata cells with no result of their characteristic in the same template row."""
-    columns = template.columns
-    owners = {}
-    for column, code, _ in result_columns(columns, known):
-        owners.setdefault(code, []).append(_text(column).try_cast("double"))
-    entries = []
-    for family in METADATA_SUFFIXES:
-        for column, code in metadata_columns(columns, family):
-            results = owners.get(code)
-            has_result = F.coalesce(*results).isNotNull() if results else F.lit(False)
-            entries.append(F.struct(
-                F.lit(family).alias("family"), F.lit(column).alias("column"), F.lit(code).alias("CharIDText"),
-                F.when(~has_result, _text(column)).alias("value")))
-    if not entries:
-        entries = [F.struct(*[F.lit(None).cast("string").alias(n) for n in ("family", "column", "CharIDText", "value")])]
-    return (template.select(*ROW_KEY, F.explode(F.array(*entries)).alias("cell"))
-            .where(F.col("cell.value").isNotNull())
-            .select(*ROW_KEY, "cell.*"))
+    results = {}
+    for column, code, _ in result_columns(template.columns, known):
+        results.setdefault(code, []).append(_number(column))
+    cells = [
+        f"named_struct('family', '{family}', 'column', {_quote(column)}, 'CharIDText', {_quote(code)}, 'value', "
+        f"if(coalesce({', '.join(results.get(code, []) + ['NULL'])}) IS NULL, {_text(column)}, NULL))"
+        for family in METADATA_SUFFIXES for column, code in metadata_columns(template.columns, family)]
+    kind = "array<struct<family:string,column:string,CharIDText:string,value:string>>"
+    return (template.select(*ROW_KEY, F.expr(f"inline(cast(array({', '.join(cells)}) AS {kind}))"))
+            .where(F.col("value").isNotNull()))

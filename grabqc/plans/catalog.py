@@ -20,14 +20,22 @@ KNOWN = {f"c{i}" for i in range(1, td.CHARACTERISTICS + 1)}
 DIGITS = 6
 
 
-def rounded(df):
-    """Doubles to six decimals, so that engines may differ in the last bits."""
-    return df.withColumns({f.name: F.round(F.col(f"`{f.name}`"), DIGITS)
-                           for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)})
+def plain(df, *optional):
+    """Values that print alike in any engine.
 
-
-def _text_time(name):
-    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+    Doubles are rounded to six decimals, times are written as text, and so are the named
+    integer columns that hold missing values.
+    """
+    changed = {}
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            changed[field.name] = F.round(column, DIGITS)
+        elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
+            changed[field.name] = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        elif field.name in optional:
+            changed[field.name] = column.cast("string")
+    return df.withColumns(changed) if changed else df
 
 
 def _graded_pairs(spark, sf_dir, res=None, several=False):
@@ -54,8 +62,8 @@ def _counts(spark, sf_dir):
 # Template, identifiers and audits
 
 def template_melt_results(spark, sf_dir):
-    return (reshape.melt_results(td.template(spark, sf_dir), KNOWN)
-            .select("subid", "row_ID", "LASAR_ID", "DateTime", "Char", "CharIDText", "sample_type", "Result"))
+    return plain(reshape.melt_results(td.template(spark, sf_dir), KNOWN)
+                 .select("subid", "row_ID", "LASAR_ID", "DateTime", "Char", "CharIDText", "sample_type", "Result"))
 
 
 def template_metadata_join(spark, sf_dir):
@@ -95,7 +103,7 @@ def sample_timestamp(spark, sf_dir):
     day = F.when(key % 4 == 2, F.date_format(at, "yyyy/MM/dd")).otherwise(F.date_format(at, "yyyy-MM-dd"))
     rows = td.visits(spark, sf_dir).select("row_ID", day.alias("StartDate"), clock.alias("StartTime"))
     rows = template_source.with_visit_time(rows)
-    return rows.withColumns({"Date4Id": minute_stamp(F.col("DateTime")), "Date4group": day_stamp(F.col("DateTime"))})
+    return plain(rows.withColumns({"Date4Id": minute_stamp(F.col("DateTime")), "Date4group": day_stamp(F.col("DateTime"))}))
 
 
 def _identified(spark, sf_dir):
@@ -105,9 +113,9 @@ def _identified(spark, sf_dir):
 
 
 def identifiers(spark, sf_dir):
-    return _identified(spark, sf_dir).select(
+    return plain(_identified(spark, sf_dir).select(
         "subid", "row_ID", "Char", "act_type", "DupBatchType", "LOQ", "Low_QC", "act_id", "act_group", "result_id",
-        "sub_char", "actgrp_char")
+        "sub_char", "actgrp_char"), "DupBatchType")
 
 
 def audit_unbatched(spark, sf_dir):
@@ -115,15 +123,15 @@ def audit_unbatched(spark, sf_dir):
 
 
 def audit_repeat_results(spark, sf_dir):
-    return audits.repeated_results(td.raw_readings(spark, sf_dir))
+    return plain(audits.repeated_results(td.raw_readings(spark, sf_dir)))
 
 
 def audit_repeat_keys(spark, sf_dir):
-    return audits.repeated_keys(td.raw_readings(spark, sf_dir))
+    return plain(audits.repeated_keys(td.raw_readings(spark, sf_dir)))
 
 
 def audit_repeat_keys_across_rows(spark, sf_dir):
-    return audits.repeated_keys(td.raw_readings(spark, sf_dir), across_rows=True)
+    return plain(audits.repeated_keys(td.raw_readings(spark, sf_dir), across_rows=True))
 
 
 def audit_unknown_char(spark, sf_dir):
@@ -139,8 +147,8 @@ def audit_required_nulls(spark, sf_dir):
     shaped = tables.result_table(res, td.characteristics(spark), td.units(spark), td.methods(spark, complete=False), none)
     visits = res.select(F.col("act_id").alias("ActivityIDText")).distinct()
     keyed = assign_ids(visits.where(~F.col("ActivityIDText").startswith("1995-")), "ActivityIDText", "ActivityID")
-    return audits.missing_required(tables.with_activity_keys(shaped, keyed)).select(
-        "ResultIDText", "ActivityID", "CharID", "MethodID", "Result")
+    return plain(audits.missing_required(tables.with_activity_keys(shaped, keyed)).select(
+        "ResultIDText", "ActivityID", "CharID", "MethodID", "Result"), "ActivityID", "MethodID")
 
 
 def audit_orphan_metadata(spark, sf_dir):
@@ -158,25 +166,24 @@ def precision_rule_choice(spark, sf_dir):
 
 
 def replicate_precision(spark, sf_dir):
-    return rounded(precision.replicate_precision(_graded_pairs(spark, sf_dir)))
+    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir)))
 
 
 def replicate_precision_by_level(spark, sf_dir):
-    return rounded(precision.replicate_precision(_graded_pairs(spark, sf_dir, several=True)))
+    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir, several=True)))
 
 
 def replicate_precision_signed(spark, sf_dir):
-    return rounded(precision.signed_series(_graded_pairs(spark, sf_dir), grade_on="abs"))
+    return plain(precision.signed_series(_graded_pairs(spark, sf_dir), grade_on="abs"))
 
 
 def batch_summary(spark, sf_dir):
-    return rounded(grading.batch_summary(grading.batches(_graded_pairs(spark, sf_dir))))
+    return plain(grading.batch_summary(grading.batches(_graded_pairs(spark, sf_dir))))
 
 
 def qc_applicability(spark, sf_dir):
     graded, batch_rows, large = _batches(spark, sf_dir)
-    return grading.qc_applicability(graded, batch_rows, large_batches=large).select(
-        *BATCH_KEY, "result_id", "prec_DQL", *[_text_time(c) for c in ("DateTime", "ApplicableStart", "ApplicableEnd")])
+    return plain(grading.qc_applicability(graded, batch_rows, large_batches=large))
 
 
 def _interval(spark, sf_dir, overlaps):
@@ -207,11 +214,11 @@ def graded_results(spark, sf_dir):
 # Anomalies and final grade
 
 def submission_percentiles(spark, sf_dir):
-    return rounded(anomalies.submission_percentiles(*_counts(spark, sf_dir)))
+    return plain(anomalies.submission_percentiles(*_counts(spark, sf_dir)))
 
 
 def station_percentiles(spark, sf_dir):
-    return rounded(anomalies.station_percentiles(*_counts(spark, sf_dir)))
+    return plain(anomalies.station_percentiles(*_counts(spark, sf_dir)))
 
 
 def _flagged(spark, sf_dir):
@@ -232,15 +239,15 @@ def anomaly_counts(spark, sf_dir):
 
 
 def final_grade(spark, sf_dir):
-    return _grade(spark, sf_dir)["final_DQL"].select(
+    return plain(_grade(spark, sf_dir)["final_DQL"].select(
         *PAIR_KEY, "sample_type", "result_id", "Result", "prelim_dql", "num_anom", *anomalies.COUNT_COLUMNS,
-        "final_DQL", "DQLCmt")
+        "final_DQL", "DQLCmt"), "num_anom", *anomalies.COUNT_COLUMNS)
 
 
 # Summaries and chart data
 
 def data_summary(spark, sf_dir):
-    return rounded(summaries.data_summary(*_counts(spark, sf_dir)))
+    return plain(summaries.data_summary(*_counts(spark, sf_dir)))
 
 
 def qc_summary(spark, sf_dir):
@@ -248,15 +255,15 @@ def qc_summary(spark, sf_dir):
     series = precision.signed_series(graded)
     keys = ["subid", "CharIDText", "QCcalc"]
     crowded = workflow.has_large_group(summaries.value_counts(series, keys, "prec_val"), keys)
-    return rounded(summaries.qc_summary(series, crowded))
+    return plain(summaries.qc_summary(series, crowded))
 
 
 def box_plot_stats(spark, sf_dir):
-    return rounded(summaries.box_plot_stats(*_counts(spark, sf_dir)))
+    return plain(summaries.box_plot_stats(*_counts(spark, sf_dir)))
 
 
 def box_plot_outliers(spark, sf_dir):
-    return rounded(summaries.box_plot_outliers(*_counts(spark, sf_dir)))
+    return plain(summaries.box_plot_outliers(*_counts(spark, sf_dir)))
 
 
 def characteristics_present(spark, sf_dir):
@@ -264,11 +271,11 @@ def characteristics_present(spark, sf_dir):
 
 
 def control_chart_series(spark, sf_dir):
-    return rounded(summaries.control_chart_series(_graded_pairs(spark, sf_dir)))
+    return plain(summaries.control_chart_series(_graded_pairs(spark, sf_dir)))
 
 
 def pair_scatter_bands(spark, sf_dir):
-    return rounded(summaries.pair_scatter(_graded_pairs(spark, sf_dir)))
+    return plain(summaries.pair_scatter(_graded_pairs(spark, sf_dir)))
 
 
 # Target tables, publishing and export
@@ -283,9 +290,9 @@ def table_activity_group(spark, sf_dir):
 
 
 def table_activity(spark, sf_dir):
-    # A frame of nothing but NULLs has no type to compare, so the empty columns are left out.
-    return tables.activity_table(td.results(spark, sf_dir), td.stations(spark, sf_dir), td.context(spark),
-                                 "America/Los_Angeles").select(*ACTIVITY_FILLED)
+    # Columns that hold nothing but NULLs are left out.
+    return plain(tables.activity_table(td.results(spark, sf_dir), td.stations(spark, sf_dir), td.context(spark),
+                                       "America/Los_Angeles").select(*ACTIVITY_FILLED), "SmplDepthUnitID")
 
 
 ACTIVITY_FILLED = ["ActivityIDText", "ActivityTypeId", "SubID", "SiteDescription", "StartDateTime",
@@ -336,9 +343,9 @@ def table_review(spark, sf_dir):
     # Results that share an id cannot be told apart by it, so one is kept for the keys.
     firsts = results.dropDuplicates(["ResultIDText"])
     published = assign_ids(firsts, "ResultIDText", "ResultID")
-    return tables.review_table(final, published).select(
-        "ResultID", "ActivityID", "SubmissionID", "CharID", "StartDateTime", "UnitID", "StoretQualID",
-        "prelim_DQL", "anom_sub_95", "anom_amb_99", "anom_amb_95", "anom_WQS", "anom_BelowLOQ", "DQLCmt")
+    return plain(tables.review_table(final, published).select(
+        "ResultID", "ActivityID", "SubmissionID", "CharID", "StartDateTime", "UnitID", "StoretQualID", "prelim_DQL",
+        *anomalies.COUNT_COLUMNS, "DQLCmt"), *anomalies.COUNT_COLUMNS)
 
 
 def surrogate_keys(spark, sf_dir):
@@ -408,7 +415,7 @@ def template_source_roundtrip(spark, sf_dir):
         F.col("row_ID").alias("order_no"), "c1_r", "c1d_r", "c2_r", "c1_qual")
     columns = ["LASAR_ID", "samplers", "StartDate", "StartTime", "order_no", "c1_r", "c1d_r", "c2_r", "c1_qual"]
     _write_tabs(rows, path, columns, "row_ID", F.expr(f"row_ID div {TAB_ORDERS}"))
-    return rounded(reshape.melt_results(template_source.read_template(spark, path), KNOWN).select(
+    return plain(reshape.melt_results(template_source.read_template(spark, path), KNOWN).select(
         "subid", "row_ID", "LASAR_ID", "DateTime", "Char", "Result", "RsltQual"))
 
 
@@ -439,7 +446,7 @@ def stage_resume(spark, sf_dir):
     path = scratch_path(spark, "saved")
     graded = _graded_pairs(spark, sf_dir)
     save_outputs({"graded_pairs": graded}, path)
-    return rounded(summaries.pair_scatter(load_outputs(spark, path, ["graded_pairs"])["graded_pairs"]))
+    return plain(summaries.pair_scatter(load_outputs(spark, path, ["graded_pairs"])["graded_pairs"]))
 
 
 QUERIES = [

@@ -8,6 +8,8 @@ from grabqc.operators.anomalies import RULES
 from grabqc.operators.summaries import DATA_PERCENTILES, QC_PERCENTILES
 
 N = range(1, 8)
+TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
+AT = TIME.format('"DateTime"')
 
 READINGS = """
 li AS (
@@ -125,8 +127,16 @@ graded AS (
   JOIN worst w ON w.subid = r.subid AND w.row_ID = r.row_ID AND w.CharIDText = r.CharIDText AND w.sample_type = r.sample_type)"""
 
 
+def _percentile(p, value="Result"):
+    """Weighted value at place 1 + (n - 1) p of the sorted values."""
+    values, place = f"list_sort(list({value}))", f"(1 + (count({value}) - 1) * CAST({p} AS DOUBLE))"
+    low, high = (f"{values}[CAST({end}({place}) AS BIGINT)]" for end in ("floor", "ceil"))
+    part = f"({place} - floor({place}))"
+    return f"CASE WHEN {low} = {high} THEN {low} ELSE (1 - {part}) * {low} + {part} * {high} END"
+
+
 def _percentiles(names):
-    return ", ".join(f'quantile_cont(Result, CAST({p} AS DOUBLE)) AS "{name}"' for name, p in names.items())
+    return ", ".join(f'{_percentile(p)} AS "{name}"' for name, p in names.items())
 
 
 SUB = {"percen_5th": 0.05, "percen_10th": 0.1, "percen_90th": 0.9, "percen_95th": 0.95}
@@ -146,9 +156,9 @@ def _with_flags(prior, source):
         f"f_{flag} AS Anom, '{code}' AS AnomTypeCode FROM flagged WHERE f_{flag} IS NOT NULL"
         for flag, _, _, _, code in RULES)
     return prior + f""",
-sub_pct AS (SELECT subid, CharIDText, {_percentiles(SUB)} FROM {source} GROUP BY ALL),
-stn_pct AS (SELECT subid, LASAR_ID, CharIDText, {_percentiles(STATION)} FROM {source} GROUP BY ALL),
-anom_crit AS (SELECT n + 500 AS AnomCritID, 'c' || CAST(n AS VARCHAR) AS CharIDText,
+sub_pct AS (SELECT subid, CharIDText, {_percentiles(SUB)} FROM {source} GROUP BY subid, CharIDText),
+stn_pct AS (SELECT subid, LASAR_ID, CharIDText, {_percentiles(STATION)} FROM {source} GROUP BY subid, LASAR_ID, CharIDText),
+anom_crit AS (SELECT CAST(n + 500 AS INTEGER) AS AnomCritID, 'c' || CAST(n AS VARCHAR) AS CharIDText,
     CASE WHEN n <> 7 THEN 2.0::DOUBLE END AS RealRngL, 49.0::DOUBLE AS RealRngU, 2.0::DOUBLE AS amb01L,
     4.0::DOUBLE AS amb05L, 46.0::DOUBLE AS amb95U, 49.0::DOUBLE AS amb99U,
     CASE WHEN n % 2 = 0 THEN 3.0::DOUBLE END AS stdL, CAST(44 + n AS DOUBLE) AS stdU,
@@ -179,6 +189,7 @@ final AS (
 
 KEY = "subid, row_ID, CharIDText"
 COUNTS = "num_anom, anom_sub_95, anom_amb_99, anom_amb_95, anom_WQS, anom_BelowLOQ"
+TEXT_COUNTS = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in COUNTS.split(", "))
 
 
 def _with(ctes, select):
@@ -228,7 +239,7 @@ raw AS (SELECT row_ID, 'c' || CAST(l_linenumber AS VARCHAR) AS CharIDText,
 
 
 def _repeats(keys):
-    return _with(RAW, f"SELECT * EXCLUDE (n) FROM (SELECT *, count(*) OVER (PARTITION BY {keys}) AS n FROM raw) WHERE n > 1")
+    return _with(RAW, f"SELECT * EXCLUDE (n) REPLACE ({AT}) FROM (SELECT *, count(*) OVER (PARTITION BY {keys}) AS n FROM raw) WHERE n > 1")
 
 
 READING = 'subid, LASAR_ID, "DateTime", CharIDText, sample_type'
@@ -247,12 +258,12 @@ rule AS (SELECT subid, row_ID, CharIDText, QCcalc, DQLA, DQLB, 1 AS USE
 DIFFERENCE = "CASE QCcalc WHEN 'LogDiff' THEN log10(d.Result) - log10(s.Result) WHEN 'AbsDiff' THEN d.Result - s.Result " \
              "ELSE (d.Result - s.Result) / ((d.Result + s.Result) / 2) END"
 
-DATA_COLUMNS = ", ".join(f'round(quantile_cont(Result, CAST({p} AS DOUBLE)), 6) AS "{n}"' for n, p in DATA_PERCENTILES.items())
-QC_COLUMNS = ", ".join(f'round(quantile_cont(signed_val, CAST({p} AS DOUBLE)), 6) AS "{n}"' for n, p in QC_PERCENTILES.items())
+DATA_COLUMNS = ", ".join(f'round({_percentile(p)}, 6) AS "{n}"' for n, p in DATA_PERCENTILES.items())
+QC_COLUMNS = ", ".join(f'round({_percentile(p, "signed_val")}, 6) AS "{n}"' for n, p in QC_PERCENTILES.items())
 
-BOX = RES + """,
-box AS (SELECT subid, LASAR_ID, CharIDText, count(*) AS n, quantile_cont(Result, 0.25::DOUBLE) AS lower,
-    quantile_cont(Result, 0.5::DOUBLE) AS middle, quantile_cont(Result, 0.75::DOUBLE) AS upper FROM res GROUP BY ALL),
+BOX = RES + f""",
+box AS (SELECT subid, LASAR_ID, CharIDText, count(*) AS n, {_percentile(0.25)} AS lower, {_percentile(0.5)} AS middle,
+    {_percentile(0.75)} AS upper FROM res GROUP BY subid, LASAR_ID, CharIDText),
 fenced AS (SELECT *, Result BETWEEN lower - 1.5 * (upper - lower) AND upper + 1.5 * (upper - lower) AS inside
   FROM res JOIN box USING (subid, LASAR_ID, CharIDText))"""
 
@@ -297,12 +308,11 @@ def oracle_sql():
     flags = _with(FLAGS, f"SELECT {KEY}, result_id, Result, AnomCritID, Anom_type, Anom, AnomTypeCode FROM raised")
     summary = ("SELECT subid, actgrp_char, grp_count, sumofQC, sumofNonQC, sumofA, sumofB, sumofC, "
                + ", ".join(_r(c) for c in ("pctQC", "pctQCtononQC", "pctA", "pctB", "pctC")) + ", prelim_dql FROM batch")
-    scatter = _with(PREC, f"""SELECT {KEY}, LASAR_ID, "DateTime", act_group, actgrp_char, {_r('signed_val', 'prec_val')},
+    scatter = _with(PREC, f"""SELECT {KEY}, LASAR_ID, {AT}, act_group, actgrp_char, {_r('signed_val', 'prec_val')},
       DQLA, DQLB, Result AS dup, prv AS sample, {_r('prv + DQLA', 'A_QC_U')}, {_r('prv - DQLA', 'A_QC_L')},
       {_r('prv + DQLB', 'B_QC_U')}, {_r('prv - DQLB', 'B_QC_L')} FROM prec""")
-    series = """SELECT {key}, "DateTime", QCcalc, round(signed_val, 6) AS prec_val, DQLA, DQLB, {grade} AS prec_DQL,
+    series = """SELECT {key}, {at}, QCcalc, round(signed_val, 6) AS prec_val, DQLA, DQLB, {grade} AS prec_DQL,
       -DQLA AS DQLA_Low, -DQLB AS DQLB_Low FROM prec"""
-    stamp = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
     clock = "strftime(\"DateTime\", '%H:%M')"
     both = _with(RES, f"""SELECT subid, Station, Characteristic, Count, Mean, Min, "{'", "'.join(DATA_PERCENTILES)}", Max FROM (
       SELECT subid, 'All' AS Station, CharIDText AS Characteristic, count(*) AS Count, round(avg(Result), 6) AS Mean,
@@ -312,7 +322,7 @@ def oracle_sql():
         {DATA_COLUMNS}, round(max(Result), 6) FROM res GROUP BY subid, LASAR_ID, CharIDText)""")
     text_result = NUMBER.format("Result")
     sql = {
-        "template_melt_results": _with(WIDE, _melt(lambda i, c, k: f"""subid, row_ID, LASAR_ID, "DateTime", '{c}' AS Char,
+        "template_melt_results": _with(WIDE, _melt(lambda i, c, k: f"""subid, row_ID, LASAR_ID, {AT}, '{c}' AS Char,
             'c{i}' AS CharIDText, '{k}' AS sample_type, {c} AS Result""")),
         "template_metadata_join": _with(WIDE, _melt(lambda i, c, k: f"subid, row_ID, '{c}' AS Char, " + ", ".join(
             f"c{i}_{s} AS {f}" for f, s in FAMILIES.items()) + ", Org_Comment, DEQ_Comment")),
@@ -325,10 +335,10 @@ def oracle_sql():
             CASE WHEN row_ID % 4 = 2 THEN strftime("DateTime", '%Y/%m/%d') ELSE strftime("DateTime", '%Y-%m-%d') END AS StartDate,
             CASE WHEN row_ID % 7 = 0 THEN NULL WHEN row_ID % 4 = 0 THEN {clock}
               WHEN row_ID % 4 = 1 THEN '1899-12-31 ' || {clock} || ':00' ELSE {clock} || ':00' END AS StartTime,
-            CASE WHEN row_ID % 7 <> 0 THEN "DateTime" END AS "DateTime",
+            CASE WHEN row_ID % 7 <> 0 THEN strftime("DateTime", '%Y-%m-%d %H:%M:%S') END AS "DateTime",
             CASE WHEN row_ID % 7 <> 0 THEN strftime("DateTime", '%Y%m%d%H%M') END AS Date4Id,
             CASE WHEN row_ID % 7 <> 0 THEN strftime("DateTime", '%Y%m%d') END AS Date4group FROM vis"""),
-        "identifiers": _with(IDENTIFIED, """SELECT subid, row_ID, Char, act_type, DupBatchType, LOQ, Low_QC, act_id,
+        "identifiers": _with(IDENTIFIED, """SELECT subid, row_ID, Char, act_type, CAST(DupBatchType AS VARCHAR) AS DupBatchType, LOQ, Low_QC, act_id,
             act_group, result_id, sub_char, actgrp_char FROM res"""),
         "audit_unbatched": _with(IDENTIFIED, "SELECT subid, row_ID, Char, Result, actgrp_char FROM res WHERE act_group = 'ERROR'"),
         "audit_repeat_results": _repeats(f"row_ID, {READING}, Result"),
@@ -337,8 +347,8 @@ def oracle_sql():
         "audit_unknown_char": _with(RES, "SELECT subid, row_ID, Char, CharIDText, Result FROM res WHERE CharIDText = 'c7'"),
         "audit_required_nulls": _with(RES + ",\nkeyed AS (" + _keys(
             "(SELECT act_id FROM res WHERE subid <> 1995)", "act_id", "act_id", "ActivityID") + ")",
-            f"""SELECT result_id AS ResultIDText, ActivityID, num * 10 AS CharID,
-            CASE WHEN num <> 4 THEN num + 200 END AS MethodID, {text_result} AS Result
+            f"""SELECT result_id AS ResultIDText, CAST(ActivityID AS VARCHAR) AS ActivityID, num * 10 AS CharID,
+            CASE WHEN num <> 4 THEN CAST(num + 200 AS VARCHAR) END AS MethodID, {text_result} AS Result
             FROM res LEFT JOIN keyed USING (act_id) WHERE num = 4 OR ActivityID IS NULL"""),
         "audit_orphan_metadata": _with(WIDE, _metadata_cells(lambda i: f" AND coalesce(c{i}_r, 0) < 10 AND c{i}d_r IS NULL")),
         "precision_rule_choice": _with(LEVELS, f"SELECT {KEY}, QCcalc, DQLA, DQLB, USE FROM rule"),
@@ -348,12 +358,12 @@ def oracle_sql():
             FROM (SELECT {KEY}, d.result_id, QCcalc, DQLA, DQLB, abs({DIFFERENCE}) AS prec_val
               FROM (SELECT * FROM res WHERE sample_type = 'dup') d JOIN (SELECT * FROM res WHERE sample_type = 'sample') s
               USING ({KEY}) JOIN rule USING ({KEY}))"""),
-        "replicate_precision_signed": _with(PREC, series.format(key=KEY, grade="prec_DQL")),
-        "control_chart_series": _with(PREC, series.format(key=KEY, grade="signed_DQL")),
+        "replicate_precision_signed": _with(PREC, series.format(key=KEY, at=AT, grade="prec_DQL")),
+        "control_chart_series": _with(PREC, series.format(key=KEY, at=AT, grade="signed_DQL")),
         "batch_summary": _with(BATCH, summary),
         "report_roundtrip": _with(BATCH, summary),
         "qc_applicability": _with(WINDOWS, f"""SELECT subid, actgrp_char, result_id, prec_DQL,
-            {stamp.format('"DateTime"')}, {stamp.format('ApplicableStart')}, {stamp.format('ApplicableEnd')} FROM win"""),
+            {AT}, {TIME.format('ApplicableStart')}, {TIME.format('ApplicableEnd')} FROM win"""),
         "interval_grade": _with(WINDOWS, f"SELECT {KEY}, sample_type, actgrp_char, prec_DQL FROM worst"),
         "interval_grade_overlaps": _with(WINDOWS, f"SELECT {KEY}, sample_type, actgrp_char, prec_DQL FROM hit"),
         "graded_results": _with(WINDOWS, f"""SELECT {KEY}, sample_type, actgrp_char, Result, grp_count, sumofQC, prelim_dql
@@ -362,8 +372,8 @@ def oracle_sql():
         "station_percentiles": _with(FLAGS, "SELECT subid, LASAR_ID, CharIDText, " + ", ".join(_r(c) for c in STATION) + " FROM stn_pct"),
         "anomaly_flags": flags,
         "anomaly_counts": _with(FLAGS, f"SELECT {KEY}, sample_type, {COUNTS} FROM counted"),
-        "final_grade": _with(FINAL, f"""SELECT {KEY}, sample_type, result_id, Result, prelim_dql, {COUNTS}, final_DQL, DQLCmt
-            FROM final"""),
+        "final_grade": _with(FINAL, f"""SELECT {KEY}, sample_type, result_id, Result, prelim_dql, {TEXT_COUNTS},
+            final_DQL, DQLCmt FROM final"""),
         "data_summary": both,
         "qc_summary": _with(PREC, f"""SELECT subid, CharIDText AS charid, QCcalc, count(*) AS Count, round(avg(signed_val), 6) AS Mean,
             round(min(signed_val), 6) AS Min, {QC_COLUMNS}, round(max(signed_val), 6) AS Max,
@@ -382,7 +392,8 @@ def oracle_sql():
         "pair_scatter_bands": scatter,
         "stage_resume": scatter,
         "table_activity_group": _with(RES, GROUPS),
-        "table_activity": _with(RES + "," + ACTIVITY, _activities(PACIFIC)),
+        "table_activity": _with(RES + "," + ACTIVITY, f"""SELECT * REPLACE ({TIME.format('StartDateTime')},
+            CAST(SmplDepthUnitID AS VARCHAR) AS SmplDepthUnitID) FROM ({_activities(PACIFIC)})"""),
         "table_result": _with(FINAL + "," + RESULT_ROWS, f"""SELECT result_id AS ResultIDText, act_id, num * 10 AS CharID,
             {text_result} AS Result, RsltQual, num % 3 + 1 AS UnitID, num + 200 AS MethodID, MethodSpeciation,
             19 AS RsltTypeID, {NUMBER.format('LOQ')} AS LOQ, num % 3 + 1 AS LOQ_UnitID, OG_ACC AS QCorigACC,
@@ -398,7 +409,7 @@ def oracle_sql():
         "keyed_readback": _with(RES, GROUPS + " WHERE act_group IN (SELECT act_group FROM res WHERE RsltQual = 'R')"),
         "template_source_roundtrip": _with(WIDE + """,
             read AS (SELECT * REPLACE (row_number() OVER (PARTITION BY subid ORDER BY row_ID) AS row_ID) FROM wide WHERE row_ID % 11 <> 0)""",
-            " UNION ALL ".join(f"""SELECT subid, row_ID, LASAR_ID, "DateTime", '{c}' AS Char, {c} AS Result, {q} AS RsltQual
+            " UNION ALL ".join(f"""SELECT subid, row_ID, LASAR_ID, {AT}, '{c}' AS Char, {c} AS Result, {q} AS RsltQual
                 FROM read WHERE {c} IS NOT NULL""" for c, q in (("c1_r", "c1_qual"), ("c1d_r", "c1_qual"), ("c2_r", "NULL")))),
         "project_source_roundtrip": _with(RES, """SELECT DISTINCT subid, CharIDText AS CharID, LOQ, Low_QC, UNITS, FieldOrLab
             FROM res WHERE CharIDText <> 'c3'"""),
@@ -406,5 +417,26 @@ def oracle_sql():
             count(*) FILTER (CAST(substr(ActGrpIDText, 1, 4) AS INTEGER) % 2 = 0) AS already_present,
             count(*) FILTER (CAST(substr(ActGrpIDText, 1, 4) AS INTEGER) % 2 = 1) AS loaded_rows,
             count(*) AS matched_rows, true AS verified FROM g"""),
+        "table_review": _with(FINAL + f""",\na AS ({_keys('res', 'act_id', 'act_id', 'ActivityID')}),
+            r AS ({_keys('res', 'result_id', 'result_id', 'ResultID')})""", f"""SELECT ResultID, ActivityID,
+            subid AS SubmissionID, num * 10 AS CharID, {AT.replace('AS "DateTime"', 'AS StartDateTime')},
+            num % 3 + 1 AS UnitID, num + 1000 AS StoretQualID, prelim_dql AS prelim_DQL,
+            {TEXT_COUNTS.split(', ', 1)[1]}, DQLCmt FROM final JOIN a USING (act_id) JOIN r USING (result_id)"""),
+        "exchange_export": _with(FINAL + "," + RESULT_ROWS + "," + ACTIVITY, f"""SELECT CAST(act_type AS VARCHAR) AS ActivityTypeId,
+            MLocID, strftime("DateTime", '%Y-%m-%d') AS StartDate, strftime("DateTime", '%H:%M:%S') AS StartTime,
+            '23' AS StartDateTimeZoneID, SampleDepth AS SmplDepth,
+            CASE SampleDepthUnit WHEN 'meters' THEN '146' WHEN 'feet' THEN '72' END AS SmplDepthUnitID, Org_Comment,
+            'Char ' || CAST(num AS VARCHAR) AS CharAbbr, coalesce(RsltQual, '') || {text_result} AS result,
+            UNITS AS UnitIdText, method AS ShortName, MethodSpeciation, '19' AS RsltTypeID, {NUMBER.format('LOQ')} AS LOQ,
+            {_r('prec_val', 'PrecisionValue')}, final_DQL AS ORDEQ_DQL,
+            CASE WHEN Res_comment IS NOT NULL THEN Res_comment || ':NA' END AS comment
+            FROM out LEFT JOIN stn USING (LASAR_ID)"""),
+        "publish_reconciliation": _with(FINAL + "," + ACTIVITY + f""",
+            sizes AS (SELECT 't_ActGrp' AS target, count(*) AS n FROM ({GROUPS})
+              UNION ALL SELECT 't_Activity', count(*) FROM ({_activities('23')})
+              UNION ALL SELECT 'tjct_ActGrp2Act', count(*) FROM (SELECT DISTINCT act_group, act_id FROM res)
+              UNION ALL SELECT 't_Result', count(*) FROM res UNION ALL SELECT 't_Anomaly', count(*) FROM raised
+              UNION ALL SELECT 'grabdataforreview', count(*) FROM res)""", """SELECT target, n AS batch_rows,
+            CAST(0 AS BIGINT) AS already_present, n AS loaded_rows, n AS matched_rows, true AS verified FROM sizes"""),
     }
     return sql

@@ -54,7 +54,7 @@ def readings(spark, sf_dir):
     key = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*TIE_BREAK)
     return (table(spark, sf_dir, "lineitem").withColumn("rn", F.row_number().over(key)).where(F.col("rn") <= 2)
             .withColumns(_attributes())
-            .select(F.col("l_orderkey").alias("row_ID"), F.col("l_linenumber").alias("no"), "rn",
+            .select(F.col("l_orderkey").alias("row_ID"), F.col("l_linenumber").alias("num"), "rn",
                     F.col("l_quantity").cast("double").alias("Result"), *_attributes()))
 
 
@@ -64,7 +64,7 @@ def _batch_type(subid):
 
 def results(spark, sf_dir):
     """Long, identified results of all submissions."""
-    no = F.col("no")
+    no = F.col("num")
     code = F.concat(F.lit("c"), no.cast("string"))
     replicate = F.col("rn") == 2
     field = no % 2 == 1
@@ -83,20 +83,19 @@ def results(spark, sf_dir):
         "DupBatchType": _batch_type(F.col("subid")),
         "SubOrganizationID": 100 + F.col("subid") % 3,
     })
-    return with_identifiers(rows.drop("no", "rn"))
+    return with_identifiers(rows.drop("num", "rn"))
 
 
 def template(spark, sf_dir):
     """Wide template: one row per visit, one column per characteristic, class and metadata."""
     columns = []
     for i in range(1, CHARACTERISTICS + 1):
-        mine = F.col("no") == i
-        primary, replicate = mine & (F.col("rn") == 1), mine & (F.col("rn") == 2)
-        columns.append(F.max(F.when(primary, F.col("Result"))).alias(f"c{i}_r"))
-        columns.append(F.max(F.when(replicate, F.col("Result"))).alias(f"c{i}d_r"))
-        for suffix, source in (("qual", "RsltQual"), ("cmnt", "Res_comment"), ("ACC", "OG_ACC"),
-                               ("PREC", "OG_PREC"), ("DQL", "OG_DQL")):
-            columns.append(F.max(F.when(primary, F.col(source))).alias(f"c{i}_{suffix}"))
+        columns += [f"max(if(num = {i} AND rn = 1, Result, NULL)) AS c{i}_r",
+                    f"max(if(num = {i} AND rn = 2, Result, NULL)) AS c{i}d_r"]
+        columns += [f"max(if(num = {i} AND rn = 1, {source}, NULL)) AS c{i}_{suffix}"
+                    for suffix, source in (("qual", "RsltQual"), ("cmnt", "Res_comment"), ("ACC", "OG_ACC"),
+                                           ("PREC", "OG_PREC"), ("DQL", "OG_DQL"))]
+    columns = [F.expr(c) for c in columns]
     return readings(spark, sf_dir).groupBy("row_ID").agg(*columns).join(visits(spark, sf_dir), "row_ID")
 
 
