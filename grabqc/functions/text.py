@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 def paste(sep, *parts):
     """Join columns (by name) as text; a missing part is written as ``NA`` rather than dropped."""
-    return F.concat_ws(sep, *[F.coalesce(F.col(p).cast("string"), F.lit("NA")) for p in parts])
+    texts = ", ".join(f"coalesce(cast(`{p}` AS string), 'NA')" for p in parts)
+    return F.expr(f"concat_ws('{sep}', {texts})")
 
 
 def blank_to_null(column):

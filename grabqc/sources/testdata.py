@@ -23,27 +23,13 @@ def table(spark, sf_dir, name):
 
 def visits(spark, sf_dir):
     """One row per order: the attributes a visit has whatever is measured there."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.year("o_orderdate").alias("subid"), F.col("o_orderkey").alias("row_ID"),
-        (10000 + F.col("o_custkey") % 100).alias("LASAR_ID"),
-        F.expr("timestampadd(MINUTE, o_orderkey % 1440, o_orderdate)").alias("DateTime"),
-        F.concat(F.lit("S"), (F.col("o_custkey") % 5).cast("string")).alias("samplers"),
-        (F.col("o_orderkey") % 10).cast("string").alias("SampleDepth"),
-        F.when(F.col("o_orderkey") % 3 == 0, "meters").when(F.col("o_orderkey") % 3 == 1, "feet").alias("SampleDepthUnit"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("urgent")).alias("Org_Comment"),
-        F.when(F.col("o_custkey") % 10 == 0, F.lit("check")).alias("DEQ_Comment"))
-
-
-def _attributes():
-    """Metadata columns of a line item."""
-    return {
-        "RsltQual": F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")),
-        "Res_comment": F.when(F.col("l_linestatus") == "F", F.lit("late")),
-        "OG_ACC": F.when(F.col("l_tax") < 0.03, "A").when(F.col("l_tax") < 0.06, "B"),
-        "OG_PREC": F.when(F.col("l_discount") < 0.04, "A").when(F.col("l_discount") < 0.08, "B"),
-        "OG_DQL": F.when(F.col("l_tax") < 0.02, "A").when(F.col("l_discount") < 0.05, "B"),
-    }
+    return table(spark, sf_dir, "orders").selectExpr(
+        "year(o_orderdate) AS subid", "o_orderkey AS row_ID", "10000 + o_custkey % 100 AS LASAR_ID",
+        "timestampadd(MINUTE, o_orderkey % 1440, o_orderdate) AS DateTime",
+        "concat('S', cast(o_custkey % 5 AS string)) AS samplers", "cast(o_orderkey % 10 AS string) AS SampleDepth",
+        "CASE o_orderkey % 3 WHEN 0 THEN 'meters' WHEN 1 THEN 'feet' END AS SampleDepthUnit",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END AS Org_Comment",
+        "CASE WHEN o_custkey % 10 = 0 THEN 'check' END AS DEQ_Comment")
 
 
 def readings(spark, sf_dir):
@@ -53,9 +39,13 @@ def readings(spark, sf_dir):
     """
     key = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*TIE_BREAK)
     return (table(spark, sf_dir, "lineitem").withColumn("rn", F.row_number().over(key)).where(F.col("rn") <= 2)
-            .withColumns(_attributes())
-            .select(F.col("l_orderkey").alias("row_ID"), F.col("l_linenumber").alias("num"), "rn",
-                    F.col("l_quantity").cast("double").alias("Result"), *_attributes()))
+            .selectExpr(
+                "l_orderkey AS row_ID", "l_linenumber AS num", "rn", "cast(l_quantity AS double) AS Result",
+                "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS RsltQual",
+                "CASE WHEN l_linestatus = 'F' THEN 'late' END AS Res_comment",
+                "CASE WHEN l_tax < 0.03D THEN 'A' WHEN l_tax < 0.06D THEN 'B' END AS OG_ACC",
+                "CASE WHEN l_discount < 0.04D THEN 'A' WHEN l_discount < 0.08D THEN 'B' END AS OG_PREC",
+                "CASE WHEN l_tax < 0.02D THEN 'A' WHEN l_discount < 0.05D THEN 'B' END AS OG_DQL"))
 
 
 def _batch_type(subid):
@@ -64,26 +54,18 @@ def _batch_type(subid):
 
 def results(spark, sf_dir):
     """Long, identified results of all submissions."""
-    no = F.col("num")
-    code = F.concat(F.lit("c"), no.cast("string"))
-    replicate = F.col("rn") == 2
-    field = no % 2 == 1
-    rows = readings(spark, sf_dir).join(visits(spark, sf_dir), "row_ID").withColumns({
-        "CharIDText": code,
-        "Char": F.concat(code, F.when(replicate, "d_r").otherwise("_r")),
-        "sample_type": F.when(replicate, "dup").otherwise("sample"),
-        "LOQ": (no + 1).cast("double"),
-        "Low_QC": F.when(no != 7, (20 + no).cast("double")),
-        "FieldOrLab": F.when(field, "Field").otherwise("Lab"),
-        "UNITS": F.concat(F.lit("u"), (no % 3).cast("string")),
-        "Method Short Name": F.concat(F.lit("M"), no.cast("string")),
-        "MethodSpeciation": F.when(no % 2 == 0, "as N"),
-        "act_type": F.when(replicate & field, 158).when(field, 149).when(replicate, 313).otherwise(233),
-        "TypeIDText": F.when(replicate & field, "FD").when(field, "FM").when(replicate, "LD").otherwise("LM"),
-        "DupBatchType": _batch_type(F.col("subid")),
-        "SubOrganizationID": 100 + F.col("subid") % 3,
-    })
-    return with_identifiers(rows.drop("num", "rn"))
+    rows = readings(spark, sf_dir).join(visits(spark, sf_dir), "row_ID")
+    kept = [c for c in rows.columns if c not in ("num", "rn")]
+    return with_identifiers(rows.selectExpr(
+        *kept, "concat('c', cast(num AS string)) AS CharIDText",
+        "concat('c', cast(num AS string), if(rn = 2, 'd_r', '_r')) AS Char", "if(rn = 2, 'dup', 'sample') AS sample_type",
+        "cast(num + 1 AS double) AS LOQ", "CASE WHEN num <> 7 THEN cast(20 + num AS double) END AS Low_QC",
+        "if(num % 2 = 1, 'Field', 'Lab') AS FieldOrLab", "concat('u', cast(num % 3 AS string)) AS UNITS",
+        "concat('M', cast(num AS string)) AS `Method Short Name`", "CASE WHEN num % 2 = 0 THEN 'as N' END AS MethodSpeciation",
+        "if(num % 2 = 1, if(rn = 2, 158, 149), if(rn = 2, 313, 233)) AS act_type",
+        "if(num % 2 = 1, if(rn = 2, 'FD', 'FM'), if(rn = 2, 'LD', 'LM')) AS TypeIDText",
+        "CASE subid % 4 WHEN 1 THEN 449 WHEN 2 THEN 450 ELSE 448 END AS DupBatchType",
+        "100 + subid % 3 AS SubOrganizationID"))
 
 
 def template(spark, sf_dir):
