@@ -7,7 +7,7 @@ columns: nothing is melted, made distinct, regrouped and joined back.
 from pyspark.sql import functions as F
 
 from grabqc.functions.quality import final_grade
-from grabqc.operators.percentiles import any_of, roll_up, summarise_counts, value_counts
+from grabqc.operators.percentiles import roll_up, summarise_counts, value_counts
 
 SUBMISSION_PERCENTILES = {"percen_5th": 0.05, "percen_10th": 0.10, "percen_90th": 0.90, "percen_95th": 0.95}
 STATION_PERCENTILES = {"S_percen_5th": 0.05, "S_percen_95th": 0.95}
@@ -69,25 +69,43 @@ def with_limits(results, criteria, counts, large_groups=True):
     return results.join(observed, STATION_KEY, "left").join(fixed, "CharIDText", "left")
 
 
-def _violates(low, high):
-    tests = ([F.col("Result") < F.col(low)] if low else []) + ([F.col("Result") > F.col(high)] if high else [])
-    return any_of(tests)
+BITS = "anomaly_bits"
+
+
+def _bit(i):
+    return 1 << i
+
+
+def _code_bits(code):
+    return sum(_bit(i) for i, rule in enumerate(RULES) if rule[4] == code)
 
 
 def with_flags(limited):
-    """Add the 14 flag columns: the label where the rule is broken, else NULL."""
-    ready = limited.withColumn("LOQ_limit", F.col("LOQ") - F.col("LOQ") * 0.1)
-    return ready.withColumns({flag: F.when(_violates(low, high), label)
-                              for flag, label, low, high, _ in RULES}).drop("LOQ_limit")
+    """Add the raised flags as one integer, a bit for each rule in the order of ``RULES``.
+
+    A missing limit raises nothing. One integer instead of fourteen labels keeps the rows
+    narrow and the generated code small enough for the JVM to compile.
+    """
+    def test(low, high):
+        return " OR ".join(([f"Result < {low}"] if low else []) + ([f"Result > {high}"] if high else []))
+
+    bits = " + ".join(f"if({test(low, high)}, {_bit(i)}, 0)" for i, (_, _, low, high, _) in enumerate(RULES))
+    return limited.withColumn("LOQ_limit", F.expr("LOQ - LOQ * 0.1D")).withColumn(BITS, F.expr(bits)).drop("LOQ_limit")
+
+
+def flag_columns(flagged):
+    """The flags as fourteen columns: the label where the rule is broken, else NULL."""
+    return flagged.select("*", *[F.expr(f"if({BITS} & {_bit(i)} <> 0, '{label}', NULL) AS {flag}")
+                                 for i, (flag, label, *_) in enumerate(RULES)])
 
 
 def raised_anomalies(flagged):
     """One row per result and raised flag."""
-    flags = F.array(*[F.struct(F.lit(flag).alias("Anom_type"), F.col(flag).alias("Anom")) for flag, *_ in RULES])
-    kept = [c for c in flagged.columns if c not in {flag for flag, *_ in RULES}]
-    return (flagged.select(*kept, F.explode(flags).alias("raised"))
-            .where(F.col("raised.Anom").isNotNull())
-            .select(*kept, "raised.*"))
+    rules = ", ".join(f"named_struct('bit', {_bit(i)}, 'Anom_type', '{flag}', 'Anom', '{label}')"
+                      for i, (flag, label, *_) in enumerate(RULES))
+    return (flagged.where(F.col(BITS) != 0)
+            .select("*", F.expr(f"inline(array({rules}))"))
+            .where(F.expr(f"{BITS} & bit <> 0")).drop("bit"))
 
 
 def anomaly_code(label):
@@ -103,19 +121,18 @@ def with_counts(flagged):
 
     All are NULL for a result with no anomaly.
     """
-    has = {code: F.when(any_of([F.col(flag).isNotNull() for flag, _, _, _, c in RULES if c == code]), 1).otherwise(0)
-           for code in CODES}
-    total = sum((has[code] for code in CODES[1:]), has[CODES[0]])
-    counted = flagged.withColumn("num_anom", F.when(total > 0, total.cast("bigint")))
-    return counted.withColumns({name: F.when(F.col("num_anom").isNotNull(), has[code].cast("bigint"))
-                                for name, code in COUNT_COLUMNS.items()})
+    total = " + ".join(f"if({BITS} & {_code_bits(code)} <> 0, 1L, 0L)" for code in CODES)
+    return flagged.select(
+        "*", F.expr(f"if({BITS} <> 0, {total}, NULL) AS num_anom"),
+        *[F.expr(f"if({BITS} <> 0, if({BITS} & {_code_bits(code)} <> 0, 1L, 0L), NULL) AS {name}")
+          for name, code in COUNT_COLUMNS.items()])
 
 
 def finalise(counted):
     """Add the final grade and an empty review comment."""
-    return counted.withColumn("final_DQL", final_grade(
+    return counted.withColumns({"final_DQL": final_grade(
         F.col("prelim_dql"), F.col("anom_amb_99"), F.col("anom_sub_95"), F.col("anom_amb_95"), F.col("anom_WQS"),
-    )).withColumn("DQLCmt", F.lit(""))
+    ), "DQLCmt": F.lit("")})
 
 
 def flag_results(graded_results, criteria, counts, large_groups=True):

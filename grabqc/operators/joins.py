@@ -5,12 +5,16 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 
-def join_null_safe(left, right, keys, how="left"):
+def join_null_safe(left, right, keys, how="left", nullable=None):
     """Equi-join in which NULL matches NULL; the right side's key columns are dropped.
 
     ``<=>`` is planned as a hash key, so this still runs as a shuffle or broadcast join.
+    ``nullable`` names the keys that can be missing, where that is known; the others are
+    compared plainly, which hashes and sorts less.
     """
+    nullable = keys if nullable is None else nullable
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    on = reduce(lambda a, b: a & b, [
+        F.col(k).eqNullSafe(F.col(f"__r_{k}")) if k in nullable else F.col(k) == F.col(f"__r_{k}") for k in keys])
     joined = left.join(renamed, on, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])

@@ -49,13 +49,16 @@ def summarise_counts(counts, keys, probs, large_groups=True):
     if large_groups:
         counts = counts.withColumn("__band", value_band(F.col("value")))
     ranked = running_totals(counts, keys, "__band" if large_groups else None, ["value"], {"upto": F.col("occurs")})
-    places = {name: f"(1 + (upto_total - 1) * {float(p)!r}D)" for name, p in probs.items()}
-    at = "max(if(upto - occurs < {0}({1}) AND {0}({1}) <= upto, value, NULL))"
-    stats = ranked.groupBy(*keys).agg(
+    # A value takes the places from ``since + 1`` to ``upto``; a percentile needs the values at
+    # the whole places on either side of its own.
+    places = {name: f"1 + (upto_total - 1) * {float(p)!r}D" for name, p in probs.items()}
+    stats = ranked.withColumn("since", F.expr("upto - occurs")).groupBy(*keys).agg(
         F.expr("sum(occurs) AS n"), F.expr("sum(value * occurs) / sum(occurs) AS mean"),
         F.expr("min(value) AS min"), F.expr("max(value) AS max"),
-        *[F.expr(f"{at.format(end, place)} AS `__{end}_{name}`")
-          for name, place in places.items() for end in ("floor", "ceil")])
+        *[F.expr(f"max(if({place} >= since + 1 AND {place} < upto + 1, value, NULL)) AS `__floor_{name}`")
+          for name, place in places.items()],
+        *[F.expr(f"max(if({place} > since AND {place} <= upto, value, NULL)) AS `__ceil_{name}`")
+          for name, place in places.items()])
 
     def between(name, p):
         low, high, place = f"`__floor_{name}`", f"`__ceil_{name}`", f"(1 + (n - 1) * {float(p)!r}D)"

@@ -83,6 +83,17 @@ def _number(column):
     return f"try_cast({_name(column)} AS double)"
 
 
+def _unfold(cells, fields, needed):
+    """SQL making one row per cell that holds a value.
+
+    Empty cells are dropped inside the array, before any row is made. That also keeps the cells
+    out of the generated code, which hundreds of columns would grow too large to compile.
+    """
+    if not cells:
+        return F.expr(f"inline(cast(array() AS array<struct<{', '.join(f'{n}: {t}' for n, t in fields.items())}>>))")
+    return F.expr(f"inline(filter(array({', '.join(cells)}), cell -> cell.{needed} IS NOT NULL))")
+
+
 def _metadata(columns, family):
     """SQL by characteristic for one family's value."""
     cells = {}
@@ -105,20 +116,18 @@ def melt_results(template, known=None):
         f"'Result', {_number(column)}, "
         + ", ".join(f"'{family}', {of.get(code, 'cast(NULL AS string)')}" for family, of in metadata.items()) + ")"
         for column, code, kind in result_columns(columns, known)]
-    kind = ("array<struct<Char:string,CharIDText:string,sample_type:string,Result:double,"
-            + ",".join(f"{family}:string" for family in METADATA_SUFFIXES) + ">>")
+    fields = {"Char": "string", "CharIDText": "string", "sample_type": "string", "Result": "double",
+              **{family: "string" for family in METADATA_SUFFIXES}}
     visit = [F.col(c) if c in columns else F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS]
-    return (template.select(*ROW_KEY, *visit, F.expr(f"inline(cast(array({', '.join(cells)}) AS {kind}))"))
-            .where(F.col("Result").isNotNull()))
+    return template.select(*ROW_KEY, *visit, _unfold(cells, fields, "Result"))
 
 
 def melt_metadata(template, family):
     """One row per non-missing cell of a metadata family; no rows when the family is absent."""
     cells = [f"named_struct('column', {_quote(column)}, 'CharIDText', {_quote(code)}, '{family}', {_text(column)})"
              for column, code in metadata_columns(template.columns, family)]
-    kind = f"array<struct<column:string,CharIDText:string,{family}:string>>"
-    return (template.select(*ROW_KEY, F.expr(f"inline(cast(array({', '.join(cells)}) AS {kind}))"))
-            .where(F.col(family).isNotNull()))
+    fields = {"column": "string", "CharIDText": "string", family: "string"}
+    return template.select(*ROW_KEY, _unfold(cells, fields, family))
 
 
 def visit_comments(template):
@@ -136,6 +145,5 @@ def orphan_metadata(template, known=None):
         f"named_struct('family', '{family}', 'column', {_quote(column)}, 'CharIDText', {_quote(code)}, 'value', "
         f"if(coalesce({', '.join(results.get(code, []) + ['NULL'])}) IS NULL, {_text(column)}, NULL))"
         for family in METADATA_SUFFIXES for column, code in metadata_columns(template.columns, family)]
-    kind = "array<struct<family:string,column:string,CharIDText:string,value:string>>"
-    return (template.select(*ROW_KEY, F.expr(f"inline(cast(array({', '.join(cells)}) AS {kind}))"))
-            .where(F.col("value").isNotNull()))
+    fields = {n: "string" for n in ("family", "column", "CharIDText", "value")}
+    return template.select(*ROW_KEY, _unfold(cells, fields, "value"))

@@ -27,7 +27,7 @@ def test_each_rule_on_beyond_and_without_its_limit(spark):
     data = []
     for i, (_, on, beyond, limit) in enumerate(CASES):
         data += [(3 * i, on, None), (3 * i + 1, beyond, None), (3 * i + 2, beyond, limit)]
-    got = {r["result_id"]: r for r in A.with_flags(limited(spark, data)).collect()}
+    got = {r["result_id"]: r for r in A.flag_columns(A.with_flags(limited(spark, data))).collect()}
     labels = {flag: label for flag, label, *_ in A.RULES}
     for i, (flag, *_) in enumerate(CASES):
         assert [got[3 * i + k][flag] for k in range(3)] == [None, labels[flag], None], CASES[i]
