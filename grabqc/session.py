@@ -7,13 +7,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Correctness needs the first two; the rest are what the plans are written for. Skewed joins
-# are left to adaptive execution, so it may add a shuffle to split a hot key.
+# are left to adaptive execution, so it may add a shuffle to split a hot key. The JVM does not
+# compile methods over 8000 bytes, so Spark should not generate longer ones for wide rows.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
