@@ -14,14 +14,16 @@ BATCH_KEY = ["subid", "actgrp_char"]
 
 
 def replicate_pairs(results):
-    """One row per pair key with its primary and replicate values and their counts."""
+    """One row per pair key with its primary and replicate values and their counts.
+
+    The batch id is the same in both rows of a pair, so it is a grouping key; everything
+    aggregated is a number or a time, which lets Spark aggregate by hash instead of by sorting.
+    """
     primary, replicate = F.col("sample_type") == "sample", F.col("sample_type") == "dup"
-    return results.groupBy(*PAIR_KEY).agg(
-        *[F.max(c).alias(c) for c in ("LASAR_ID", "DateTime", "act_group", "actgrp_char", "sub_char",
-                                      "LOQ", "Low_QC")],
+    return results.groupBy(*PAIR_KEY, "actgrp_char").agg(
+        *[F.max(c).alias(c) for c in ("LASAR_ID", "DateTime", "Low_QC")],
         F.max(F.when(primary, F.col("Result"))).alias("sample"),
         F.max(F.when(replicate, F.col("Result"))).alias("dup"),
-        F.max(F.when(replicate, F.col("result_id"))).alias("result_id"),
         F.count_if(primary).alias("n_sample"),
         F.count_if(replicate).alias("n_dup"),
     )
@@ -87,9 +89,15 @@ def graded_pairs(results, characteristics, criteria):
 
 
 def replicate_precision(graded):
-    """Precision and grade of each complete pair, keyed by its replicate result."""
+    """Precision and grade of each complete pair."""
     return (graded.where((F.col("n_sample") > 0) & (F.col("n_dup") > 0))
-            .select(*PAIR_KEY, "result_id", "QCcalc", "prec_val", "DQLA", "DQLB", "prec_DQL"))
+            .select(*PAIR_KEY, "QCcalc", "prec_val", "DQLA", "DQLB", "prec_DQL"))
+
+
+def with_replicate_id(precision, results):
+    """Precision with the id of the replicate result it belongs to."""
+    ids = results.where(F.col("sample_type") == "dup").select(*PAIR_KEY, "result_id")
+    return precision.join(ids, PAIR_KEY)
 
 
 def signed_series(graded, grade_on="signed"):

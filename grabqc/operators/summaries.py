@@ -93,10 +93,12 @@ def control_chart_series(graded, grade_on="signed"):
 def pair_scatter(graded):
     """Replicate against primary with the bands the limits put round the primary.
 
-    The bands add the limit to the value whatever the rule.
+    The bands add the limit to the value whatever the rule. The batch id is what precedes the
+    characteristic in the batch-and-characteristic id.
     """
+    batch = F.expr("substring(actgrp_char, 1, length(actgrp_char) - length(CharIDText) - 1)").alias("act_group")
     return (graded.where((F.col("n_sample") > 0) & (F.col("n_dup") > 0))
-            .select(*PAIR_KEY, "LASAR_ID", "DateTime", "act_group", "actgrp_char",
+            .select(*PAIR_KEY, "LASAR_ID", "DateTime", batch, "actgrp_char",
                     F.col("signed_val").alias("prec_val"), "DQLA", "DQLB", "dup", "sample",
                     (F.col("sample") + F.col("DQLA")).alias("A_QC_U"),
                     (F.col("sample") - F.col("DQLA")).alias("A_QC_L"),

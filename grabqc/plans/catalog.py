@@ -165,12 +165,18 @@ def precision_rule_choice(spark, sf_dir):
     return precision.chosen_rules(precision.replicate_pairs(td.results(spark, sf_dir)), rules)
 
 
+def _precision(spark, sf_dir, several):
+    res = td.results(spark, sf_dir)
+    graded = _graded_pairs(spark, sf_dir, res, several)
+    return plain(precision.with_replicate_id(precision.replicate_precision(graded), res))
+
+
 def replicate_precision(spark, sf_dir):
-    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir)))
+    return _precision(spark, sf_dir, False)
 
 
 def replicate_precision_by_level(spark, sf_dir):
-    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir, several=True)))
+    return _precision(spark, sf_dir, True)
 
 
 def replicate_precision_signed(spark, sf_dir):

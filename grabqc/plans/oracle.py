@@ -98,14 +98,14 @@ batch AS (
 
 WINDOWS = BATCH + """,
 win AS (
-  SELECT subid, actgrp_char, result_id, "DateTime", prec_DQL,
+  SELECT subid, actgrp_char, row_ID, "DateTime", prec_DQL,
     CASE WHEN "DateTime" = first_at THEN "DateTime" - INTERVAL 1 YEAR
          WHEN prec_DQL < pg THEN "DateTime" WHEN prec_DQL > pg THEN pt + INTERVAL 2 SECOND
          WHEN prec_DQL = pg THEN "DateTime" ELSE "DateTime" + INTERVAL 1000 YEAR END AS ApplicableStart,
     CASE WHEN "DateTime" = last_at THEN "DateTime" + INTERVAL 1 YEAR
          WHEN prec_DQL < ng THEN "DateTime" + INTERVAL 1 SECOND WHEN prec_DQL >= ng THEN nt - INTERVAL 1 SECOND
          ELSE "DateTime" + INTERVAL 1000 YEAR END AS ApplicableEnd
-  FROM (SELECT p.subid, p.actgrp_char, p.result_id, p."DateTime", p.prec_DQL,
+  FROM (SELECT p.subid, p.actgrp_char, p.row_ID, p."DateTime", p.prec_DQL,
           lag(p.prec_DQL) OVER o AS pg, lag(p."DateTime") OVER o AS pt,
           lead(p.prec_DQL) OVER o AS ng, lead(p."DateTime") OVER o AS nt,
           min(p."DateTime") OVER (PARTITION BY p.subid, p.actgrp_char) AS first_at,
@@ -362,7 +362,7 @@ def oracle_sql():
         "control_chart_series": _with(PREC, series.format(key=KEY, at=AT, grade="signed_DQL")),
         "batch_summary": _with(BATCH, summary),
         "report_roundtrip": _with(BATCH, summary),
-        "qc_applicability": _with(WINDOWS, f"""SELECT subid, actgrp_char, result_id, prec_DQL,
+        "qc_applicability": _with(WINDOWS, f"""SELECT subid, actgrp_char, row_ID, prec_DQL,
             {AT}, {TIME.format('ApplicableStart')}, {TIME.format('ApplicableEnd')} FROM win"""),
         "interval_grade": _with(WINDOWS, f"SELECT {KEY}, sample_type, actgrp_char, prec_DQL FROM worst"),
         "interval_grade_overlaps": _with(WINDOWS, f"SELECT {KEY}, sample_type, actgrp_char, prec_DQL FROM hit"),
