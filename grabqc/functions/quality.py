@@ -29,11 +29,11 @@ def preliminary_grade(qc_ratio, share_a, share_b, share_c):
 
 
 def final_grade(prelim, amb_99, sub_95, amb_95, wqs):
-    """Downgrade A or B on telling anomalies, and any batch with too few replicates."""
-    passing = prelim < "C"
-    return (F.when(passing & (amb_99 > 0), "Anom")
-            .when(passing & (sub_95 > 0) & (amb_95 > 0), "Anom")
-            .when(passing & (amb_95 > 0) & (wqs > 0), "Anom")
-            .when(passing & (wqs > 0), "Anom")
-            .when(prelim > "H", "Anom")
-            .otherwise(prelim))
+    """``Anom`` for an A or B with telling anomalies and for a batch with too few replicates.
+
+    Telling are an extreme ambient value, a broken standard, or a value high or low both for its
+    submission and for ambient water. A broken standard needs no second sign, so the pair of it
+    with an ambient value is not a case of its own. Grades of too few replicates sort after H.
+    """
+    telling = (amb_99 > 0) | (wqs > 0) | ((sub_95 > 0) & (amb_95 > 0))
+    return F.when(((prelim < "C") & telling) | (prelim > "H"), "Anom").otherwise(prelim)

@@ -329,11 +329,10 @@ def table_anomaly(spark, sf_dir):
 
 
 def _keyed(spark, sf_dir):
-    """Groups, activities and results with keys, as their targets would hold them."""
+    """Final results, shaped tables, and activities with keys as their target would hold them."""
     final, shaped = _shaped(spark, sf_dir)
-    groups = assign_ids(shaped["t_ActGrp"], "ActGrpIDText", "ActGrpID")
-    activities = assign_ids(shaped["t_Activity"], "ActivityIDText", "ActivityID")
-    return final, shaped, groups, activities
+    activities = materialise(assign_ids(shaped["t_Activity"], "ActivityIDText", "ActivityID"), "activities")
+    return final, shaped, activities
 
 
 def table_group_activity(spark, sf_dir):
@@ -344,7 +343,7 @@ def table_group_activity(spark, sf_dir):
 
 
 def table_review(spark, sf_dir):
-    final, shaped, _, activities = _keyed(spark, sf_dir)
+    final, shaped, activities = _keyed(spark, sf_dir)
     results = tables.with_activity_keys(shaped["t_Result"], activities)
     # Results that share an id cannot be told apart by it, so one is kept for the keys.
     firsts = results.dropDuplicates(["ResultIDText"])
@@ -380,7 +379,7 @@ def keyed_readback(spark, sf_dir):
 
 
 def exchange_export(spark, sf_dir):
-    final, shaped, _, activities = _keyed(spark, sf_dir)
+    final, shaped, activities = _keyed(spark, sf_dir)
     looked = td.lookups(spark, sf_dir)
     root = scratch_path(spark, "targets")
     results = tables.with_activity_keys(shaped["t_Result"], activities)

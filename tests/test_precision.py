@@ -10,21 +10,25 @@ def graded(spark, items, rules, chars=("ph",)):
     return P.graded_pairs(results(spark, items), *criteria(spark, rules, chars))
 
 
-@pytest.mark.parametrize("calc, primary, replicate, expected", [
-    ("AbsDiff", 10, 13, 3.0), ("AbsDiff", 13, 10, 3.0), ("RPD", 10, 30, 1.0), ("RPD", 30, 10, 1.0),
-    ("LogDiff", 10, 1000, 2.0), ("LogDiff", 0, 10, None), ("RPD", -5, 5, None), ("Other", 1, 2, None)])
-def test_precision_value_of_each_rule(spark, calc, primary, replicate, expected):
-    out = graded(spark, [result(1, primary), result(1, replicate, "dup")], [("ph", calc, 0.5, 2.0)])
-    row = P.replicate_precision(out).first()
-    assert row["prec_val"] is None if expected is None else math.isclose(row["prec_val"], expected)
-    if expected is None:
-        assert row["prec_DQL"] == "C"
-
-
-@pytest.mark.parametrize("replicate, grade", [(10, "A"), (15, "A"), (15.01, "B"), (25, "B"), (25.01, "C"), (5, "A")])
-def test_grade_limits_are_inclusive(spark, replicate, grade):
-    out = graded(spark, [result(1, 10), result(1, replicate, "dup")], [("ph", "AbsDiff", 5.0, 15.0)])
-    assert P.replicate_precision(out).first()["prec_DQL"] == grade
+def test_precision_value_of_each_rule(spark):
+    cases = [("AbsDiff", 10, 13, 3.0), ("AbsDiff", 13, 10, 3.0), ("RPD", 10, 30, 1.0), ("RPD", 30, 10, 1.0),
+             ("LogDiff", 10, 1000, 2.0), ("LogDiff", 0, 10, None), ("RPD", -5, 5, None), ("Other", 1, 2, None)]
+    chars = [f"c{i}" for i in range(len(cases))]
+    items = [r for c, (_, a, b, _) in zip(chars, cases) for r in (result(1, a, char=c), result(1, b, "dup", char=c))]
+    out = graded(spark, items, [(c, case[0], 0.5, 2.0) for c, case in zip(chars, cases)], chars)
+    got = {r["CharIDText"]: r for r in P.replicate_precision(out).collect()}
+    for c, (*_, expected) in zip(chars, cases):
+        if expected is None:
+            assert (got[c]["prec_val"], got[c]["prec_DQL"]) == (None, "C")
+        else:
+            assert math.isclose(got[c]["prec_val"], expected)
+
+
+def test_grade_limits_are_inclusive(spark):
+    cases = [(10, "A"), (15, "A"), (15.01, "B"), (25, "B"), (25.01, "C"), (5, "A")]
+    items = [r for i, (v, _) in enumerate(cases) for r in (result(i, 10), result(i, v, "dup"))]
+    out = P.replicate_precision(graded(spark, items, [("ph", "AbsDiff", 5.0, 15.0)]))
+    assert [r["prec_DQL"] for r in out.orderBy("row_ID").collect()] == [g for _, g in cases]
 
 
 def test_missing_rule_and_missing_threshold_grade_c(spark, rows):
@@ -33,15 +37,14 @@ def test_missing_rule_and_missing_threshold_grade_c(spark, rows):
     assert rows(P.replicate_precision(out), "CharIDText", "QCcalc", "prec_DQL") == [("do", "AbsDiff", "C"), ("ph", None, "C")]
 
 
-@pytest.mark.parametrize("value, low, rule", [
-    (19, 20.0, "AbsDiff"), (20, 20.0, "RPD"), (21, 20.0, "RPD"), (5, None, "RPD")])
-def test_level_chooses_between_difference_rules(spark, value, low, rule):
-    items = [result(1, value, low=low), result(1, value, "dup", low=low)]
+def test_level_chooses_between_difference_rules(spark):
+    cases = [(19, 20.0, "AbsDiff"), (20, 20.0, "RPD"), (21, 20.0, "RPD"), (5, None, "RPD")]
+    items = [r for i, (v, low, _) in enumerate(cases) for r in (result(i, v, low=low), result(i, v, "dup", low=low))]
     rules = [("ph", "RPD", 0.1, 0.2), ("ph", "AbsDiff", 1.0, 2.0)]
-    out = graded(spark, items, rules)
-    assert [r["QCcalc"] for r in P.replicate_precision(out).collect()] == [rule]
+    out = P.replicate_precision(graded(spark, items, rules))
+    assert [r["QCcalc"] for r in out.orderBy("row_ID").collect()] == [c for *_, c in cases]
     chosen = P.chosen_rules(P.replicate_pairs(results(spark, items)), P.rules_by_characteristic(*criteria(spark, rules)))
-    assert [r["QCcalc"] for r in chosen.collect()] == [rule]
+    assert [r["QCcalc"] for r in chosen.orderBy("row_ID").collect()] == [c for *_, c in cases]
 
 
 def test_single_rule_is_used_at_any_level(spark):

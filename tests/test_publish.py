@@ -93,18 +93,18 @@ def test_time_zone_code(spark, zone, summer, winter):
     assert tuple(row) == (summer, winter, None)
 
 
-@pytest.mark.parametrize("date, time, expected", [
-    ("2019-06-01", "10:15:30", datetime(2019, 6, 1, 10, 15, 30)), ("2019/06/01", "9:05", datetime(2019, 6, 1, 9, 5)),
-    ("2019-06-01 00:00:00", "1899-12-31 10:15:00", datetime(2019, 6, 1, 10, 15)), ("2019-06-01", None, None),
-    (None, "10:15", None), ("June 1", "10:15", None), ("2019-06-01", "noon", None), ("2019-02-30", "10:15", None)])
-def test_visit_time(spark, date, time, expected):
-    df = spark.createDataFrame([(date, time)], "d string, t string")
-    assert df.select(visit_time(F.col("d"), F.col("t")).alias("x")).first()["x"] == expected
-
-
-@pytest.mark.parametrize("value, text", [(5.0, "5"), (0.5, "0.5"), (1e8, "100000000"), (1.25e-5, "0.0000125"), (100.0, "100"), (None, None)])
-def test_number_text(spark, value, text):
-    assert spark.createDataFrame([(value,)], "v double").select(number_text(F.col("v")).alias("t")).first()["t"] == text
+def test_visit_time(spark):
+    cases = [("2019-06-01", "10:15:30", datetime(2019, 6, 1, 10, 15, 30)), ("2019/06/01", "9:05", datetime(2019, 6, 1, 9, 5)),
+             ("2019-06-01 00:00:00", "1899-12-31 10:15:00", datetime(2019, 6, 1, 10, 15)), ("2019-06-01", None, None),
+             (None, "10:15", None), ("June 1", "10:15", None), ("2019-06-01", "noon", None), ("2019-02-30", "10:15", None)]
+    df = spark.createDataFrame([c[:2] for c in cases], "d string, t string").coalesce(1)
+    assert [r["x"] for r in df.select(visit_time(F.col("d"), F.col("t")).alias("x")).collect()] == [c[2] for c in cases]
+
+
+def test_number_text(spark):
+    cases = [(5.0, "5"), (0.5, "0.5"), (1e8, "100000000"), (1.25e-5, "0.0000125"), (100.0, "100"), (None, None)]
+    df = spark.createDataFrame([(v,) for v, _ in cases], "v double").coalesce(1)
+    assert [r["t"] for r in df.select(number_text(F.col("v")).alias("t")).collect()] == [t for _, t in cases]
 
 
 def test_paste_writes_missing_parts(spark):
