@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from grabqc.llm import bpe, decontam, licenses, quality, simhash, warc
+from grabqc.llm import bpe, decontam, licenses, quality, simhash, suffix, warc
 from grabqc.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -12,6 +12,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix.repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
