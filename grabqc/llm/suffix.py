@@ -8,11 +8,11 @@ smaller id. Only suffixes that can share such a string with another document are
    with the least hash. Equal strings of ``length`` bytes have equal anchors at equal places, so
    suffixes that share one meet under an anchor. Hashes in one document only are ruled out.
 3. The surroundings of the other anchors, once per block, meet by hash range. Under each anchor
-   the suffixes that start up to ``length - anchor`` bytes before it are sorted by merging;
-   prefix polynomial hashes and binary search give the common extension of two suffixes, so a
-   comparison takes logarithmic time. Neighbours that agree on ``length`` bytes are compared byte
-   by byte, so a collision of hashes does no harm. Each class of equal strings learns its
-   smallest document.
+   the suffixes that begin at it, and the reversed text before it, are sorted by merging; prefix
+   polynomial hashes and binary search give the common extension of two of them, so a comparison
+   takes logarithmic time. The extensions of neighbours are verified byte by byte, so a collision
+   of hashes does no harm. They tell which strings around the anchor are equal; each class of
+   equal strings learns its smallest document.
 4. Each block marks the bytes that its classes cover and cuts them out.
 
 Anchors of many blocks (``crowd``) are not met as one group: each string around them stands by
@@ -92,7 +92,8 @@ def anchors(data, ends, length, anchor):
         edge = np.zeros(width - 1, np.uint64)
         greatest = _sliding(np.concatenate([edge, least, edge]), width, np.maximum)
         places.append(start + np.flatnonzero((greatest == part) & (part != never)))
-    places = np.unique(np.concatenate(places)) if places else np.zeros(0, np.int64)
+    places = np.sort(np.concatenate(places)) if places else np.zeros(0, np.int64)
+    places = places[np.diff(places, prepend=-1) > 0]  # stretches overlap
     return places, hashes[places] >> np.uint64(16)
 
 
@@ -118,32 +119,29 @@ def unpack(blob, *kinds):
 
 
 class Sorter:
-    """Sorts strings of ``length`` bytes within groups. Row c of ``texts`` holds a string at each offset."""
-
-    def __init__(self, texts, length):
-        self.texts, self.length = texts, length
-        n, width = texts.shape
-        self.power = _powers(BASE, length + 1)
-        self.prefix = np.zeros((n, width + 1), np.uint64)
-        for i in range(width):
+    """Sorts the rows of ``texts``, suffixes cut at a common width, within groups."""
+
+    def __init__(self, texts):
+        self.texts = texts
+        n, self.width = texts.shape
+        self.power = _powers(BASE, self.width + 1)
+        self.prefix = np.zeros((n, self.width + 1), np.uint64)
+        for i in range(self.width):
             self.prefix[:, i + 1] = self.prefix[:, i] * BASE + texts[:, i].astype(np.uint64) + np.uint64(1)
 
     def common(self, a, b):
-        """Length of the common extension of strings (row, offset), by binary search over hashes."""
-        low, high = np.zeros(len(a[0]), np.int64), np.full(len(a[0]), self.length)
-        p, start_a, start_b = self.prefix, self.prefix[a], self.prefix[b]
-        for _ in range(self.length.bit_length()):
+        """Length of the common start of rows a and b, by binary search over prefix hashes."""
+        low, high = np.zeros(len(a), np.int64), np.full(len(a), self.width)
+        for _ in range(self.width.bit_length()):
             middle = (low + high + 1) // 2
-            power = self.power[middle]
-            same = p[a[0], a[1] + middle] - start_a * power == p[b[0], b[1] + middle] - start_b * power
+            same = self.prefix[a, middle] == self.prefix[b, middle]
             low = np.where(same, middle, low)
             high = np.where(same, high, middle - 1)
         return low
 
-    def order(self, row, offset, group):
-        """Order of the strings by group and content: runs of 1, 2, 4, ... of a group are merged."""
-        order = np.argsort(group, kind="stable")
-        group = group[order]
+    def order(self, group):
+        """Rows by group and content. Groups stand together; runs of 1, 2, 4, ... rows are merged."""
+        order = np.arange(len(group))
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         sizes = np.diff(np.append(first, len(group)))
         begin, size = np.repeat(first, sizes), np.repeat(sizes, sizes)
@@ -152,45 +150,34 @@ class Sorter:
             at = np.flatnonzero(size > width)
             start = begin[at] + (at - begin[at]) // (2 * width) * (2 * width)  # of the two runs merged
             left = at < start + width
-            low = np.where(left, start + width, start)
-            high = np.where(left, start + 2 * width, start + width)
-            high = np.minimum(high, begin[at] + size[at])
-            low = np.minimum(low, high)
-            other = low.copy()
-            item = order[at]
-            open_ = np.flatnonzero(low < high)
-            while len(open_):
-                middle = (low[open_] + high[open_]) // 2
-                mine, theirs = item[open_], order[middle]
-                mine, theirs = (row[mine], offset[mine]), (row[theirs], offset[theirs])
+            end = np.minimum(start + 2 * width, begin[at] + size[at])
+            low = np.where(left, np.minimum(start + width, end), start)
+            high = np.where(left, end, start + width)
+            other, item = low.copy(), order[at]
+            todo = np.flatnonzero(low < high)
+            while len(todo):
+                middle = (low[todo] + high[todo]) // 2
+                mine, theirs = item[todo], order[middle]
                 n = self.common(theirs, mine)
-                last = np.minimum(n, self.length - 1)
-                x, y = self.texts[theirs[0], theirs[1] + last], self.texts[mine[0], mine[1] + last]
-                before = np.where(n == self.length, ~left[open_], x < y)  # equal: the left run first
-                low[open_] = np.where(before, middle + 1, low[open_])
-                high[open_] = np.where(before, high[open_], middle)
-                open_ = open_[low[open_] < high[open_]]
-            place = np.where(left, at + (low - other), start + (at - start - width) + (low - other))
+                last = np.minimum(n, self.width - 1)
+                before = np.where(n == self.width, ~left[todo], self.texts[theirs, last] < self.texts[mine, last])  # equal: the left run first
+                low[todo] = np.where(before, middle + 1, low[todo])
+                high[todo] = np.where(before, high[todo], middle)
+                todo = todo[low[todo] < high[todo]]
             merged = order.copy()
-            merged[place] = item
-            order = merged
-            width *= 2
-        return order, group
-
-    def classes(self, row, offset, group):
-        """(order, class): equal strings of a group have one class, numbered in that order."""
-        order, group = self.order(row, offset, group)
-        r, o = row[order], offset[order]
-        same = group[1:] == group[:-1]
-        at = np.flatnonzero(same)
-        same[at] = self.common((r[at], o[at]), (r[at + 1], o[at + 1])) == self.length
-        at = np.flatnonzero(same)
-        for part in np.array_split(at, len(at) // 65536 + 1):
-            span = np.arange(self.length)
-            a = self.texts[r[part][:, None], o[part][:, None] + span]
-            b = self.texts[r[part + 1][:, None], o[part + 1][:, None] + span]
-            same[part] = (a == b).all(1)
-        return order, np.concatenate([[0], np.cumsum(~same)])
+            merged[np.where(left, at, at - width) + low - other] = item
+            order, width = merged, 2 * width
+        return order
+
+    def neighbours(self, group):
+        """Order, and the verified common extension of each row with the one before (-1: other group)."""
+        order = self.order(group)
+        a, b = order[:-1], order[1:]
+        common = self.common(a, b)
+        agree = self.texts[a] == self.texts[b]
+        wrong = np.flatnonzero(~(agree | (np.arange(self.width) >= common[:, None])).all(1))  # equal hashes, other bytes
+        common[wrong] = agree[wrong].argmin(1)
+        return order, np.concatenate([[-1], np.where(group[a] == group[b], common, -1)])
 
 
 class Block:
@@ -241,8 +228,8 @@ class Block:
             right = np.concatenate([right[~dense], np.full(len(windows), self.length)])
         useful = left + right >= self.length
         places, hashes, left, right = places[useful], hashes[useful], left[useful], right[useful]
-        span = np.arange(-before, self.length)
-        index = places[:, None] + span
+        span = np.arange(-before, self.length, dtype=np.int32)
+        index = places.astype(np.int32)[:, None] + span
         inside = (span >= -left[:, None]) & (span < right[:, None])
         texts = np.where(inside, self.data[np.clip(index, 0, max(len(self.data) - 1, 0))], 0) if len(places) else np.zeros((0, len(span)), np.uint8)
         rows = np.concatenate([hashes.byteswap().view(np.uint8).reshape(-1, 8), left[:, None].astype(np.uint8), right[:, None].astype(np.uint8), texts], axis=1)
@@ -272,6 +259,39 @@ def _by_range(hashes, ranges):
     return [(int(of[a]), int(a), int(b)) for a, b in zip(first, np.append(first[1:], len(of)))]
 
 
+def _least_by_offset(texts, group, low, high, least, length, anchor):
+    """Entry (row, j): least id of the group's rows with the same string from j bytes before the anchor.
+
+    Strings agree if what precedes the anchor agrees on j bytes and what begins at the anchor on
+    the rest, so the suffixes at the anchor and the reversed text before it are sorted.
+    """
+    before = length - anchor
+    sides = [Sorter(side).neighbours(group) for side in (np.ascontiguousarray(texts[:, :before][:, ::-1]), np.ascontiguousarray(texts[:, before:]))]
+    found = np.full((len(texts), before + 1), NO_ID)
+    kind = [np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)]
+    for j in range(before + 1):
+        own = np.flatnonzero((low <= j) & (j <= high))
+        if len(own):
+            for (order, common), classes, n in zip(sides, kind, (j, length - j)):
+                classes[order] = np.cumsum(common < n)
+            _, which = np.unique(kind[0][own] * (len(texts) + 1) + kind[1][own], return_inverse=True)
+            lowest = np.full(int(which.max()) + 1, NO_ID)
+            np.minimum.at(lowest, which, least[own])
+            found[own, j] = lowest[which]
+    return found
+
+
+def _runs(rows, found, low, high):
+    """Runs (row, first j, last j, id) of equal entries between low and high."""
+    counts = np.maximum(high - low + 1, 0)
+    row = np.repeat(np.arange(len(rows)), counts)
+    j = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + low[row]
+    ids = found[row, j]
+    begin = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])])[:len(row)])
+    end = np.append(begin[1:], len(row))[:len(begin)] - 1
+    return np.stack([rows[row[begin]], j[begin], j[end], ids[begin]], axis=1)
+
+
 def least_documents(rows, least, length, anchor):
     """Runs (row, first j, last j, id): the string that starts j bytes before a row's anchor occurs
     first in document ``id``. Rows are sorted distinct surroundings with the least id of each."""
@@ -288,28 +308,14 @@ def least_documents(rows, least, length, anchor):
     cuts, size = [0], 0
     for i, n in zip(np.flatnonzero(sizes > 1), sizes[sizes > 1]):  # whole groups, some at a time
         size += n
-        if size >= 8192:
+        if size >= 50_000:
             cuts.append(cuts[-1] + size)
             size = 0
     cuts.append(len(met))
     for a, b in zip(cuts, cuts[1:]):
-        part = met[a:b]
-        if not len(part):
-            continue
-        sorter = Sorter(texts[part], length)
-        counts = np.maximum(high[part] - low[part] + 1, 0)
-        row = np.repeat(np.arange(len(part)), counts)
-        j = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + low[part][row]
-        order, kind = sorter.classes(row, before - j, group[part][row] * (before + 1) + j)
-        ids = least[part][row][order]
-        lowest = np.full(int(kind[-1]) + 1 if len(kind) else 0, NO_ID)
-        np.minimum.at(lowest, kind, ids)
-        found = np.empty(len(row), np.int64)
-        found[order] = lowest[kind]
-        new = np.concatenate([[True], (row[1:] != row[:-1]) | (found[1:] != found[:-1])]) if len(row) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(row)) - 1
-        out.append(np.stack([part[row[begin]], j[begin], j[end], found[begin]], axis=1))
+        if a < b:
+            part = met[a:b]
+            out.append(_runs(part, _least_by_offset(texts[part], group[part], low[part], high[part], least[part], length, anchor), low[part], high[part]))
     return np.concatenate(out)
 
 
