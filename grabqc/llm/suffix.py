@@ -323,7 +323,7 @@ def _blocks(docs, id_col, text_col, block_bytes, extra=()):
     """Documents packed in blocks. ``extra`` columns are kept as one Arrow table per block."""
     picked = docs.select(F.col(id_col).cast("long").alias("c0"), F.col(text_col).alias("c1"), *extra)
     schema = "block long, bytes long, ids binary, sizes binary, data binary, extra binary"
-    names = ["block", "bytes", "ids", "sizes", "data", "extra"]
+    names, extra = ["block", "bytes", "ids", "sizes", "data", "extra"], bool(extra)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 33
