@@ -3,7 +3,9 @@
 A byte goes if some string of ``length`` bytes that covers it also starts in a document with a
 smaller id. Only suffixes that can share such a string with another document are sorted:
 
-1. Documents are packed into blocks of bytes, written once.
+1. Documents are packed into blocks of bytes, written once, bucketed by block, so that what the
+   blocks learn later comes to them and they do not move. Documents that equal one with a
+   smaller id, told by a 128-bit digest, go whole and take no part in the rest.
 2. Each block names its anchors: of every ``length`` bytes, the ``anchor``-byte string in them
    with the least hash. Equal strings of ``length`` bytes have equal anchors at equal places, so
    suffixes that share one meet under an anchor. Hashes in one document only are ruled out.
@@ -15,8 +17,8 @@ smaller id. Only suffixes that can share such a string with another document are
    equal strings learns its smallest document.
 4. Each block marks the bytes that its classes cover and cuts them out.
 
-Anchors of many blocks (``crowd``) are not met as one group: each string around them stands by
-itself under its own hash, and equal ones are aggregated in their block first.
+Anchors of more blocks than one sort should hold (``crowd``) are not met as one group: each string
+around them stands by itself under its own hash, and equal ones are aggregated in their block first.
 
 Nulls: a null text is empty. A null id counts as larger than any other and stays null; rows that
 share an id, or have none, do not remove bytes from each other. Texts of any length are cut
@@ -183,18 +185,26 @@ class Sorter:
 class Block:
     """Documents joined to one array of bytes."""
 
-    def __init__(self, ids, sizes, data, length, anchor):
-        self.ids, self.sizes = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
-        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    def __init__(self, row, length, anchor):
+        self.ids, self.sizes = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["sizes"], np.int64)
+        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"]), np.uint8)
         self.ends = np.cumsum(self.sizes)
         self.length, self.anchor = length, anchor
+        self.copy = np.zeros(len(self.ids), bool)
+        self.copy[row["copies"] or []] = True
+
+    def anchors(self):
+        """Places and hashes of the anchors of documents that are no copies."""
+        places, hashes = anchors(self.data, self.ends, self.length, self.anchor)
+        own = ~self.copy[self.document(places)]
+        return places[own], hashes[own]
 
     def document(self, places):
         return np.searchsorted(self.ends, places, side="right")
 
     def anchor_hashes(self):
         """Sorted hashes of the block; those of several documents stand twice."""
-        places, hashes = anchors(self.data, self.ends, self.length, self.anchor)
+        places, hashes = self.anchors()
         order = np.argsort(hashes, kind="stable")
         hashes, document = hashes[order], self.document(places)[order]
         if not len(hashes):
@@ -209,7 +219,7 @@ class Block:
         Of a crowded anchor each string of ``length`` bytes around it is an anchor of its own.
         """
         before = self.length - self.anchor
-        places, hashes = anchors(self.data, self.ends, self.length, self.anchor)
+        places, hashes = self.anchors()
         own = _found(shared, hashes)
         places, hashes = places[own], hashes[own]
         document = self.document(places)
@@ -308,7 +318,7 @@ def least_documents(rows, least, length, anchor):
     cuts, size = [0], 0
     for i, n in zip(np.flatnonzero(sizes > 1), sizes[sizes > 1]):  # whole groups, some at a time
         size += n
-        if size >= 50_000:
+        if size >= 16_000:
             cuts.append(cuts[-1] + size)
             size = 0
     cuts.append(len(met))
@@ -322,8 +332,8 @@ def least_documents(rows, least, length, anchor):
 def _blocks(docs, id_col, text_col, block_bytes, extra=()):
     """Documents packed in blocks. ``extra`` columns are kept as one Arrow table per block."""
     picked = docs.select(F.col(id_col).cast("long").alias("c0"), F.col(text_col).alias("c1"), *extra)
-    schema = "block long, bytes long, ids binary, sizes binary, data binary, extra binary"
-    names, extra = ["block", "bytes", "ids", "sizes", "data", "extra"], bool(extra)
+    schema = "block long, bytes long, ids binary, sizes binary, digests binary, data binary, extra binary"
+    names, extra = ["block", "bytes", "ids", "sizes", "digests", "data", "extra"], bool(extra)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 33
@@ -340,7 +350,7 @@ def _blocks(docs, id_col, text_col, block_bytes, extra=()):
                 stream = packer.compress(sink.getvalue().to_pybytes())
             sizes = np.array([len(t) for t in texts], np.int64)
             known = np.array([NO_ID if i is None else i for i in ids], np.int64)
-            values = [number, int(sizes.sum()), known.tobytes(), sizes.tobytes(), packer.compress(b"".join(texts)), stream]
+            values = [number, int(sizes.sum()), known.tobytes(), sizes.tobytes(), b"".join(hashlib.sha256(t).digest()[:16] for t in texts), packer.compress(b"".join(texts)), stream]
             return pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(values)], names=names)
 
         for batch in batches:
@@ -361,19 +371,36 @@ def _blocks(docs, id_col, text_col, block_bytes, extra=()):
     return picked.mapInArrow(run, schema)
 
 
-BLOCK = ["ids", "sizes", "data"]
+BLOCK = ["ids", "sizes", "data", "copies"]
+
+
+def _copies(blocks):
+    """block, copies: numbers of the documents of a block that equal one with a smaller id."""
+    schema = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("id", pa.int64()), ("digest", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                ids = np.frombuffer(r["ids"], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), r["block"])), pa.array(np.arange(len(ids), dtype=np.int32)), pa.array(ids),
+                                                  pa.array([r["digests"][16 * i:16 * i + 16] for i in range(len(ids))], pa.binary())], schema=schema)
+
+    rows = keep(blocks.select("block", "ids", "digests").mapInArrow(run, "block long, number int, id long, digest binary"), "digests")
+    first = rows.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("digest", "least")
+    return keep(rows.join(first, "digest").where("id > least").groupBy("block").agg(F.collect_list("number").alias("copies")), "copies")
 
 
 def _marked(blocks, length, anchor, crowd, range_bytes):
     """Blocks with ``shared``, the hashes of their shared anchors, and ``runs``, what these cover."""
     spark = blocks.sparkSession
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
+    blocks = blocks.join(_copies(blocks), "block", "left")
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // range_bytes + 1)
 
     def name_anchors(batches):
         for b in batches:
             for r in b.to_pylist():
-                hashes = Block(r["ids"], r["sizes"], r["data"], length, anchor).anchor_hashes()
+                hashes = Block(r, length, anchor).anchor_hashes()
                 rows = [{"range": of, "block": r["block"], "blob": pack(np.diff(hashes[x:y], prepend=np.uint64(0)))} for of, x, y in _by_range(hashes, ranges)]
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=named)
@@ -404,7 +431,7 @@ def _marked(blocks, length, anchor, crowd, range_bytes):
     def name_surroundings(batches):
         for b in batches:
             for r in b.to_pylist():
-                block = Block(r["ids"], r["sizes"], r["data"], length, anchor)
+                block = Block(r, length, anchor)
                 _, _, _, rows, least, most = block.surroundings(*_hashes(r["shared"]))
                 hashes = np.ascontiguousarray(rows[:, :8]).view(">u8").ravel().astype(np.uint64)
                 out = [{"range": of, "block": r["block"], "blob": pack(rows[x:y], least[x:y], most[x:y])} for of, x, y in _by_range(hashes, ranges)]
@@ -456,6 +483,9 @@ def _hashes(blobs):
 def removed(block, shared, runs, ranges):
     """Whether each byte of a block goes."""
     edges = np.zeros(len(block.data) + 1, np.int64)
+    for document in np.flatnonzero(block.copy & (block.sizes >= block.length)):
+        edges[block.ends[document] - block.sizes[document]] += 1
+        edges[block.ends[document]] -= 1
     if runs:
         places, which, ids, rows, _, _ = block.surroundings(*_hashes(shared))
         hashes = np.ascontiguousarray(rows[:, :8]).view(">u8").ravel().astype(np.uint64)
@@ -476,12 +506,15 @@ def removed(block, shared, runs, ranges):
 
 
 def _prepared(docs, id_col, text_col, length, anchor, crowd, block_bytes, range_bytes, extra=()):
-    path = scratch_path(docs.sparkSession, "blocks")
-    _blocks(docs, id_col, text_col, block_bytes, extra).write.option("compression", "uncompressed").parquet(path)
-    return _marked(docs.sparkSession.read.parquet(path), length, anchor, crowd, range_bytes)
+    spark = docs.sparkSession
+    path = scratch_path(spark, "blocks")
+    name = "grabqc_blocks_" + path.rsplit("-", 1)[1]
+    (_blocks(docs, id_col, text_col, block_bytes, extra).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+     .option("compression", "uncompressed").option("path", path).format("parquet").saveAsTable(name))
+    return _marked(spark.table(name), length, anchor, crowd, range_bytes)
 
 
-def repeats(docs, id_col="doc_id", text_col="text", length=50, anchor=26, crowd=128, block_bytes=4 << 20, range_bytes=8 << 20):
+def repeats(docs, id_col="doc_id", text_col="text", length=50, anchor=26, crowd=16_000, block_bytes=4 << 20, range_bytes=4 << 20):
     """Per row: id, bytes, bytes and runs removed, and the digest of the bytes that stay."""
     marked, ranges = _prepared(docs, id_col, text_col, length, anchor, crowd, block_bytes, range_bytes)
     fields = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
@@ -489,7 +522,7 @@ def repeats(docs, id_col="doc_id", text_col="text", length=50, anchor=26, crowd=
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                block = Block(r["ids"], r["sizes"], r["data"], length, anchor)
+                block = Block(r, length, anchor)
                 gone = removed(block, r["shared"], r["runs"], ranges)
                 rows = []
                 for own, size, end in zip(block.ids.tolist(), block.sizes.tolist(), block.ends.tolist()):
@@ -502,7 +535,7 @@ def repeats(docs, id_col="doc_id", text_col="text", length=50, anchor=26, crowd=
     return marked.select(*BLOCK, "shared", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def drop_repeats(docs, id_col="doc_id", text_col="text", length_col="n_chars", length=50, anchor=26, crowd=128, block_bytes=4 << 20, range_bytes=8 << 20):
+def drop_repeats(docs, id_col="doc_id", text_col="text", length_col="n_chars", length=50, anchor=26, crowd=16_000, block_bytes=4 << 20, range_bytes=4 << 20):
     """All rows and columns of ``docs``, with what is left of the text and its new length."""
     names = [f"e{i}" for i in range(len(docs.columns))]
     renamed = docs.toDF(*names)
@@ -517,7 +550,7 @@ def drop_repeats(docs, id_col="doc_id", text_col="text", length_col="n_chars", l
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                block = Block(r["ids"], r["sizes"], r["data"], length, anchor)
+                block = Block(r, length, anchor)
                 gone = removed(block, r["shared"], r["runs"], ranges)
                 stream = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(r["extra"]))
                 table = stream.read_all().combine_chunks()
