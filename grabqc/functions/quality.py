@@ -3,12 +3,11 @@
 from pyspark.sql import functions as F
 
 
-def signed_precision(calc, primary, replicate):
-    """Replicate against primary by the named rule; NULL when there is no rule or no value.
+def signed_precision(calc, primary, replicate, mean):
+    """Replicate against the reading before it by the named rule; NULL when there is no rule or no value.
 
     The logarithm of zero or less is NULL, as is a relative difference about a zero mean.
     """
-    mean = (primary + replicate) / 2
     return (F.when(calc == "LogDiff", F.log10(replicate) - F.log10(primary))
             .when(calc == "AbsDiff", replicate - primary)
             .when(calc == "RPD", F.try_divide(replicate - primary, mean)))

@@ -1,10 +1,11 @@
 """Replicate pairs, the rule that applies to each, and the grade it earns.
 
-A pair is the primary and replicate value of one characteristic in one template row. Pairs are
-built by aggregation, which shrinks before the shuffle, and carry only the columns needed to
-grade; full result rows never take part.
+A pair is a replicate of one characteristic in one template row and the reading before it: the
+primary, or for a further replicate the replicate before it. Pairs carry only the columns needed
+to grade; full result rows never take part.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grabqc.functions.quality import precision_grade, signed_precision
@@ -14,19 +15,27 @@ BATCH_KEY = ["subid", "actgrp_char"]
 
 
 def replicate_pairs(results):
-    """One row per pair key with its primary and replicate values and their counts.
+    """One row per replicate, and one per key that has none.
 
-    The batch id is the same in both rows of a pair, so it is a grouping key; everything
-    aggregated is a number or a time, which lets Spark aggregate by hash instead of by sorting.
+    Readings of a key are ordered by class, primaries first, then by column, id and value.
+    ``sample`` is the reading before the replicate; ``n_sample`` counts the key's primaries on
+    its first row only, so that sums over rows count each once.
     """
+    key = Window.partitionBy(*PAIR_KEY)
     primary, replicate = F.col("sample_type") == "sample", F.col("sample_type") == "dup"
-    return results.groupBy(*PAIR_KEY, "actgrp_char").agg(
-        *[F.max(c).alias(c) for c in ("LASAR_ID", "DateTime", "Low_QC")],
-        F.max(F.when(primary, F.col("Result"))).alias("sample"),
-        F.max(F.when(replicate, F.col("Result"))).alias("dup"),
-        F.count_if(primary).alias("n_sample"),
-        F.count_if(replicate).alias("n_dup"),
-    )
+    line = key.orderBy(replicate, *[c for c in ("Char", "result_id", "Result") if c in results.columns])
+    whole = F.count("Result").over(key) == F.count(F.lit(1)).over(key)
+    placed = results.select(*PAIR_KEY, "actgrp_char", "LASAR_ID", "DateTime", "Low_QC", "result_id", "Result", "sample_type",
+                            *[c for c in ("Char",) if c in results.columns]).withColumns({
+        "primaries": F.count_if(primary).over(key), "replicates": F.count_if(replicate).over(key),
+        "primary": F.max(F.when(primary, F.col("Result"))).over(key), "mean": F.when(whole, F.avg("Result").over(key)),
+        "before": F.lag("Result").over(line), "place": F.row_number().over(line)})
+    return placed.where(replicate | ((F.col("replicates") == 0) & (F.col("place") == 1))).select(
+        *PAIR_KEY, "actgrp_char", "LASAR_ID", "DateTime", "Low_QC", "result_id", "primary", "primaries", "mean",
+        F.when(replicate, F.col("before")).otherwise(F.col("Result")).alias("sample"),
+        F.when(replicate, F.col("Result")).alias("dup"),
+        F.when(~replicate | (F.col("place") == F.col("primaries") + 1), F.col("primaries")).otherwise(0).alias("n_sample"),
+        replicate.cast("long").alias("n_dup"), (replicate & (F.col("primaries") > 0)).alias("paired"))
 
 
 def rules_by_characteristic(characteristics, criteria):
@@ -61,8 +70,8 @@ def choose_rules(pairs, rules):
     ``rule_no`` counts the rules of a pair from 0 and is NULL when it has none.
     """
     return (pairs.join(rules, "CharIDText", "left")
-            .withColumn("rules", F.when(F.col("n_sample") > 0, applicable_rules(
-                F.col("rules"), F.col("sample"), F.col("Low_QC"))))
+            .withColumn("rules", F.when(F.col("primaries") > 0, applicable_rules(
+                F.col("rules"), F.col("primary"), F.col("Low_QC"))))
             .select(*pairs.columns, F.posexplode_outer("rules").alias("rule_no", "rule"))
             .select(*pairs.columns, "rule_no", "rule.*"))
 
@@ -75,8 +84,8 @@ def chosen_rules(pairs, rules):
 
 def grade_pairs(ruled_pairs):
     """Add signed and absolute precision and the grade; NULL where the pair is incomplete."""
-    paired = (F.col("n_sample") > 0) & (F.col("n_dup") > 0)
-    signed = signed_precision(F.col("QCcalc"), F.col("sample"), F.col("dup"))
+    paired = F.col("paired")
+    signed = signed_precision(F.col("QCcalc"), F.col("sample"), F.col("dup"), F.col("mean"))
     return (ruled_pairs
             .withColumn("signed_val", F.when(paired, signed))
             .withColumn("prec_val", F.abs("signed_val"))
@@ -89,15 +98,9 @@ def graded_pairs(results, characteristics, criteria):
 
 
 def replicate_precision(graded):
-    """Precision and grade of each complete pair."""
-    return (graded.where((F.col("n_sample") > 0) & (F.col("n_dup") > 0))
-            .select(*PAIR_KEY, "QCcalc", "prec_val", "DQLA", "DQLB", "prec_DQL"))
-
-
-def with_replicate_id(precision, results):
-    """Precision with the id of the replicate result it belongs to."""
-    ids = results.where(F.col("sample_type") == "dup").select(*PAIR_KEY, "result_id")
-    return precision.join(ids, PAIR_KEY)
+    """Precision and grade of each replicate with a primary, under the replicate's id."""
+    return (graded.where("paired")
+            .select(*PAIR_KEY, "result_id", "QCcalc", "prec_val", "DQLA", "DQLB", "prec_DQL"))
 
 
 def signed_series(graded, grade_on="signed"):
@@ -109,7 +112,7 @@ def signed_series(graded, grade_on="signed"):
     if grade_on not in ("signed", "abs"):
         raise ValueError("grade_on must be 'signed' or 'abs'")
     basis = F.col("signed_val") if grade_on == "signed" else F.col("prec_val")
-    return (graded.where((F.col("n_sample") > 0) & (F.col("n_dup") > 0))
+    return (graded.where("paired")
             .select(*PAIR_KEY, "DateTime", "QCcalc", F.col("signed_val").alias("prec_val"), "DQLA", "DQLB",
                     precision_grade(basis, F.col("DQLA"), F.col("DQLB")).alias("prec_DQL"),
                     (-F.col("DQLA")).alias("DQLA_Low"), (-F.col("DQLB")).alias("DQLB_Low")))

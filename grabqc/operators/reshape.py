@@ -122,6 +122,14 @@ def melt_results(template, known=None):
     return template.select(*ROW_KEY, *visit, _unfold(cells, fields, "Result"))
 
 
+def unreadable_results(template, known=None):
+    """One row per result cell that holds a text and no number, which melting leaves out."""
+    cells = [
+        f"named_struct('Char', {_quote(column)}, 'CharIDText', {_quote(code)}, 'text', if({_number(column)} IS NULL, {_text(column)}, NULL))"
+        for column, code, _ in result_columns(template.columns, known)]
+    return template.select(*ROW_KEY, _unfold(cells, {"Char": "string", "CharIDText": "string", "text": "string"}, "text"))
+
+
 def melt_metadata(template, family):
     """One row per non-missing cell of a metadata family; no rows when the family is absent."""
     cells = [f"named_struct('column', {_quote(column)}, 'CharIDText', {_quote(code)}, '{family}', {_text(column)})"

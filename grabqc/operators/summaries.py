@@ -97,7 +97,7 @@ def pair_scatter(graded):
     characteristic in the batch-and-characteristic id.
     """
     batch = F.expr("substring(actgrp_char, 1, length(actgrp_char) - length(CharIDText) - 1)").alias("act_group")
-    return (graded.where((F.col("n_sample") > 0) & (F.col("n_dup") > 0))
+    return (graded.where("paired")
             .select(*PAIR_KEY, "LASAR_ID", "DateTime", batch, "actgrp_char",
                     F.col("signed_val").alias("prec_val"), "DQLA", "DQLB", "dup", "sample",
                     (F.col("sample") + F.col("DQLA")).alias("A_QC_U"),

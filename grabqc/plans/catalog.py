@@ -134,6 +134,12 @@ def audit_repeat_keys_across_rows(spark, sf_dir):
     return plain(audits.repeated_keys(td.raw_readings(spark, sf_dir), across_rows=True))
 
 
+def audit_unreadable(spark, sf_dir):
+    reading = F.when(F.col("row_ID") % 13 == 0, F.concat(F.lit("<"), F.col("c1_r").cast("string"))).otherwise(F.col("c1_r").cast("string"))
+    return reshape.unreadable_results(td.template(spark, sf_dir).withColumn("c1_r", reading), KNOWN).select(
+        "subid", "row_ID", "Char", "CharIDText", "text")
+
+
 def audit_unknown_char(spark, sf_dir):
     known = td.characteristics(spark).where(F.col("CharIDText") != "c7")
     return audits.unknown_characteristics(td.results(spark, sf_dir), known).select(
@@ -142,7 +148,7 @@ def audit_unknown_char(spark, sf_dir):
 
 def audit_required_nulls(spark, sf_dir):
     res = td.results(spark, sf_dir).withColumn("final_DQL", F.lit(None).cast("string"))
-    none = spark.range(0).select(F.lit(0).alias("subid"), F.col("id").alias("row_ID"), F.lit("").alias("CharIDText"),
+    none = spark.range(0).select(F.lit(0).alias("subid"), F.col("id").alias("row_ID"), F.lit("").alias("CharIDText"), F.lit("").alias("result_id"),
                                  F.lit(0.0).alias("prec_val"), F.lit("").alias("prec_DQL"))
     shaped = tables.result_table(res, td.characteristics(spark), td.units(spark), td.methods(spark, complete=False), none)
     visits = res.select(F.col("act_id").alias("ActivityIDText")).distinct()
@@ -166,9 +172,7 @@ def precision_rule_choice(spark, sf_dir):
 
 
 def _precision(spark, sf_dir, several):
-    res = td.results(spark, sf_dir)
-    graded = _graded_pairs(spark, sf_dir, res, several)
-    return plain(precision.with_replicate_id(precision.replicate_precision(graded), res))
+    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir, several=several)))
 
 
 def replicate_precision(spark, sf_dir):
@@ -179,6 +183,11 @@ def replicate_precision_by_level(spark, sf_dir):
     return _precision(spark, sf_dir, True)
 
 
+def replicate_precision_of_many(spark, sf_dir):
+    """Visits with several primaries or replicates: each replicate against the reading before it."""
+    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir, td.raw_results(spark, sf_dir))))
+
+
 def replicate_precision_signed(spark, sf_dir):
     return plain(precision.signed_series(_graded_pairs(spark, sf_dir), grade_on="abs"))
 
@@ -457,8 +466,9 @@ def stage_resume(spark, sf_dir):
 QUERIES = [
     template_melt_results, template_metadata_join, template_metadata_long, template_visit_comments, row_numbering,
     sample_timestamp, identifiers, audit_unbatched, audit_repeat_results, audit_repeat_keys,
-    audit_repeat_keys_across_rows, audit_unknown_char, audit_required_nulls, audit_orphan_metadata,
-    precision_rule_choice, replicate_precision, replicate_precision_by_level, replicate_precision_signed,
+    audit_repeat_keys_across_rows, audit_unreadable, audit_unknown_char, audit_required_nulls, audit_orphan_metadata,
+    precision_rule_choice, replicate_precision, replicate_precision_by_level, replicate_precision_of_many,
+    replicate_precision_signed,
     batch_summary, qc_applicability, interval_grade, interval_grade_overlaps, graded_results,
     submission_percentiles, station_percentiles, anomaly_flags, anomaly_counts, final_grade,
     data_summary, qc_summary, box_plot_stats, box_plot_outliers, characteristics_present, control_chart_series,

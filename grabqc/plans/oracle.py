@@ -4,8 +4,27 @@ These follow the definitions directly (ordered windows, range joins, unions), no
 Spark operators are built.
 """
 
-from grabqc.operators.anomalies import RULES
-from grabqc.operators.summaries import DATA_PERCENTILES, QC_PERCENTILES
+# Fixed values, written out here and not taken from the code under test: the limits' names, labels
+# and codes, and the percentiles of the reports.
+RULES = [
+    ("expected_range", "OutOfRange", "RealRngL", "RealRngU", "outofrange"),
+    ("LOQ_anom", "BelowLOQ", "LOQ_limit", None, "BelowLOQ"),
+    ("ambient_01", "Lowest1%AmbientValues", "amb01L", None, "ambient_99"),
+    ("ambient_05", "Lowest5%AmbientValues", "amb05L", None, "ambient_95"),
+    ("ambient_95", "Highest95%AmbientValues", None, "amb95U", "ambient_95"),
+    ("ambient_99", "Highest99%AmbientValues", None, "amb99U", "ambient_99"),
+    ("WQS", "ViolatesWQStandard", "stdL", "stdU", "ViolateWQS"),
+    ("WQS_LP", "ViolatesLessProtectiveWQStandard", "stdLlp", "stdUlp", "ViolateWQS"),
+    ("sub_5", "Lowest5%SubmValues", "percen_5th", None, "submit_95"),
+    ("sub_10", "Lowest10%SubmValues", "percen_10th", None, "submit_90"),
+    ("sub_90", "Highest90%SubmValues", None, "percen_90th", "submit_90"),
+    ("sub_95", "Highest95%SubmValues", None, "percen_95th", "submit_95"),
+    ("station_5", "Lowest5%SubmStnValues", "S_percen_5th", None, "station_95"),
+    ("station_95", "Highest95%SubmStnValues", None, "S_percen_95th", "station_95"),
+]
+DATA_PERCENTILES = {"5th %": 0.05, "10th %": 0.1, "20th %": 0.2, "25th %": 0.25, "Median": 0.5, "75th %": 0.75, "80th %": 0.8,
+                    "90th %": 0.9, "95th %": 0.95}
+QC_PERCENTILES = {"5th %": 0.05, "10th %": 0.1, "25th %": 0.25, "Median": 0.5, "75th %": 0.75, "90th %": 0.9, "95th %": 0.95}
 
 N = range(1, 8)
 TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
@@ -13,16 +32,16 @@ AT = TIME.format('"DateTime"')
 
 READINGS = """
 li AS (
-  SELECT l_orderkey AS row_ID, l_linenumber AS num, rn, CAST(l_quantity AS DOUBLE) AS Result,
+  SELECT l_orderkey AS order_key, CAST(place // 2 AS BIGINT) AS pair,
+    l_orderkey + CAST(place // 2 AS BIGINT) * 1000000000000 AS row_ID, l_linenumber AS num, place % 2 + 1 AS rn, CAST(l_quantity AS DOUBLE) AS Result,
     CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS RsltQual,
     CASE WHEN l_linestatus = 'F' THEN 'late' END AS Res_comment,
     CASE WHEN l_tax < 0.03 THEN 'A' WHEN l_tax < 0.06 THEN 'B' END AS OG_ACC,
     CASE WHEN l_discount < 0.04 THEN 'A' WHEN l_discount < 0.08 THEN 'B' END AS OG_PREC,
     CASE WHEN l_tax < 0.02 THEN 'A' WHEN l_discount < 0.05 THEN 'B' END AS OG_DQL
   FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey,
-          l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) AS rn
-        FROM lineitem)
-  WHERE rn <= 2),
+          l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) - 1 AS place
+        FROM lineitem)),
 vis AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS subid, o_orderkey AS row_ID, 10000 + o_custkey % 100 AS LASAR_ID,
     o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS "DateTime",
@@ -42,7 +61,7 @@ def _ids(source, batch_type):
           WHEN 449 THEN concat_ws('-', CAST(subid AS VARCHAR), Date4group, samplers)
           WHEN 450 THEN concat_ws('-', CAST(subid AS VARCHAR), samplers)
           WHEN 448 THEN concat_ws('-', CAST(subid AS VARCHAR), Date4group) ELSE 'ERROR' END AS act_group
-        FROM (SELECT v.*, l.* EXCLUDE (row_ID), 'c' || CAST(num AS VARCHAR) AS CharIDText,
+        FROM (SELECT *, 'c' || CAST(num AS VARCHAR) AS CharIDText,
                 'c' || CAST(num AS VARCHAR) || CASE rn WHEN 2 THEN 'd_r' ELSE '_r' END AS Char,
                 CASE rn WHEN 2 THEN 'dup' ELSE 'sample' END AS sample_type,
                 CAST(num + 1 AS DOUBLE) AS LOQ, CASE WHEN num <> 7 THEN CAST(20 + num AS DOUBLE) END AS Low_QC,
@@ -55,7 +74,8 @@ def _ids(source, batch_type):
                      ELSE CASE rn WHEN 2 THEN 'LD' ELSE 'LM' END END AS TypeIDText,
                 {batch_type} AS DupBatchType, 100 + subid % 3 AS SubOrganizationID,
                 strftime("DateTime", '%Y%m%d%H%M') AS Date4Id, strftime("DateTime", '%Y%m%d') AS Date4group
-              FROM {source} l JOIN vis v USING (row_ID)))"""
+              FROM (SELECT v.* EXCLUDE (row_ID, "DateTime"), v."DateTime" + to_minutes(l.pair) AS "DateTime", l.* EXCLUDE (order_key, pair)
+                    FROM {source} l JOIN vis v ON v.row_ID = l.order_key)))"""
 
 
 BATCH_TYPE = "CASE subid % 4 WHEN 1 THEN 449 WHEN 2 THEN 450 ELSE 448 END"
@@ -209,7 +229,8 @@ def _wide():
                                ("DQL", "OG_DQL")):
             columns.append(f"max({source}) FILTER (num = {i} AND rn = 1) AS c{i}_{suffix}")
     return READINGS + f""",
-wide AS (SELECT * FROM (SELECT row_ID, {', '.join(columns)} FROM li GROUP BY row_ID) JOIN vis USING (row_ID))"""
+wide AS (SELECT v.* EXCLUDE (row_ID, "DateTime"), v."DateTime" + to_minutes(g.pair) AS "DateTime", g.* EXCLUDE (order_key, pair)
+  FROM (SELECT order_key, pair, row_ID, {', '.join(columns)} FROM li GROUP BY ALL) g JOIN vis v ON v.row_ID = g.order_key)"""
 
 
 WIDE = _wide()
@@ -344,6 +365,8 @@ def oracle_sql():
         "audit_repeat_results": _repeats(f"row_ID, {READING}, Result"),
         "audit_repeat_keys": _repeats(f"row_ID, {READING}"),
         "audit_repeat_keys_across_rows": _repeats(READING),
+        "audit_unreadable": _with(WIDE, """SELECT subid, row_ID, 'c1_r' AS Char, 'c1' AS CharIDText, '<' || CAST(c1_r AS VARCHAR) AS text
+            FROM wide WHERE row_ID % 13 = 0 AND c1_r IS NOT NULL"""),
         "audit_unknown_char": _with(RES, "SELECT subid, row_ID, Char, CharIDText, Result FROM res WHERE CharIDText = 'c7'"),
         "audit_required_nulls": _with(RES + ",\nkeyed AS (" + _keys(
             "(SELECT act_id FROM res WHERE subid <> 1995)", "act_id", "act_id", "ActivityID") + ")",
@@ -358,6 +381,14 @@ def oracle_sql():
             FROM (SELECT {KEY}, d.result_id, QCcalc, DQLA, DQLB, abs({DIFFERENCE}) AS prec_val
               FROM (SELECT * FROM res WHERE sample_type = 'dup') d JOIN (SELECT * FROM res WHERE sample_type = 'sample') s
               USING ({KEY}) JOIN rule USING ({KEY}))"""),
+        "replicate_precision_of_many": _with(PREC.replace("prec AS (", "unused AS (") + "," + RAW.removeprefix(READINGS + ",") + """,
+            many AS (SELECT *, row_ID || '-' || CharIDText || '-dup' AS result_id, avg(Result) OVER k AS m, count(*) FILTER (sample_type = 'sample') OVER k AS n,
+                lag(Result) OVER (PARTITION BY subid, row_ID, CharIDText ORDER BY sample_type DESC, Result) AS prv
+              FROM raw WINDOW k AS (PARTITION BY subid, row_ID, CharIDText))""", f"""SELECT {KEY}, result_id, QCcalc, {_r('prec_val')}, DQLA, DQLB,
+            CASE WHEN prec_val <= DQLA THEN 'A' WHEN prec_val <= DQLB THEN 'B' ELSE 'C' END AS prec_DQL
+            FROM (SELECT {KEY}, result_id, QCcalc, DQLA, DQLB, abs(CASE QCcalc WHEN 'LogDiff' THEN log10(Result) - log10(prv)
+                WHEN 'AbsDiff' THEN Result - prv ELSE (Result - prv) / m END) AS prec_val
+              FROM many JOIN crit USING (CharIDText) WHERE sample_type = 'dup' AND n > 0)"""),
         "replicate_precision_signed": _with(PREC, series.format(key=KEY, at=AT, grade="prec_DQL")),
         "control_chart_series": _with(PREC, series.format(key=KEY, at=AT, grade="signed_DQL")),
         "batch_summary": _with(BATCH, summary),

@@ -17,16 +17,20 @@ PREAMBLE_ROWS = 5
 MAX_COLUMNS = 16_384
 
 
-def read_tab(spark, path, preamble=PREAMBLE_ROWS):
+def read_tab(spark, path, must=None, preamble=PREAMBLE_ROWS):
     """Rows of the tabs under ``path`` as (subid, file, line, cells), cells being name -> text.
 
+    A file whose header does not name the column ``must`` is refused, as is one too wide to read.
+
     Each file's own header, on the row after the preamble, names its cells, so submissions
     with different columns are read together.
     """
     width = (spark.read.text(path)
              .agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))).alias("n"))
              .first()["n"] or 0) + 1
-    names = [f"_c{i}" for i in range(min(width, MAX_COLUMNS))]
+    if width > MAX_COLUMNS:
+        raise ValueError(f"a line has {width} cells; at most {MAX_COLUMNS} can be read")
+    names = [f"_c{i}" for i in range(width)]
     raw = (spark.read.option("multiLine", True).option("escape", '"')
            .schema(", ".join(f"{n} string" for n in names) + ", subid int").csv(path)
            .select("subid", F.col("_metadata.file_path").alias("file"),
@@ -34,6 +38,11 @@ def read_tab(spark, path, preamble=PREAMBLE_ROWS):
     lines = raw.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("at")))
     header = (lines.where(F.col("line") == preamble + 1)
               .select("file", F.transform("row", lambda c: blank_to_null(F.trim(c))).alias("header")))
+    if must:
+        bad = lines.groupBy("file").agg(F.max(F.when(F.col("line") == preamble + 1, F.exists("row", lambda c: F.trim(c) == must))).alias("named"))
+        bad = bad.where(~F.coalesce("named", F.lit(False))).select("file").first()
+        if bad:
+            raise ValueError(f"no column {must} in line {preamble + 1} of {bad['file']}")
     cells = F.map_from_entries(F.filter(F.arrays_zip("header", "row"), lambda c: c["header"].isNotNull()))
     return (lines.where(F.col("line") > preamble + 1)
             .join(header, "file")
@@ -61,8 +70,12 @@ def with_visit_time(rows):
 
 def read_template(spark, path):
     """Wide data tab: blank stations dropped, rows numbered, visit time built."""
-    rows = spread_cells(read_tab(spark, path))
-    rows = rows.withColumn("LASAR_ID", F.regexp_replace("LASAR_ID", r"\.0+$", "").try_cast("bigint"))
+    rows = spread_cells(read_tab(spark, path, must="LASAR_ID"))
+    number = F.regexp_replace("LASAR_ID", r"\.0+$", "").try_cast("bigint")
+    bad = rows.where(F.col("LASAR_ID").isNotNull() & number.isNull()).select("file", "line", "LASAR_ID").first()
+    if bad:
+        raise ValueError(f"station {bad['LASAR_ID']!r} in line {bad['line']} of {bad['file']} is no number")
+    rows = rows.withColumn("LASAR_ID", number)
     return with_visit_time(number_rows(rows, ["file"], ["line"])).drop("file", "line")
 
 

@@ -13,6 +13,7 @@ from grabqc.operators.anomalies import RULES
 from grabqc.operators.identity import with_identifiers
 
 CHARACTERISTICS = 7
+NEXT_VISIT = 1_000_000_000_000  # added to an order's number for each further visit
 TIE_BREAK = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate",
              "l_returnflag", "l_linestatus"]
 
@@ -33,14 +34,17 @@ def visits(spark, sf_dir):
 
 
 def readings(spark, sf_dir):
-    """At most two line items per order and line number: primary, then replicate.
+    """Every line item. Those of one order and line number make pairs: primary, then replicate.
 
-    The limit on the row number is applied within each task before the shuffle.
+    The first pair belongs to the order's visit. Each further pair is a later visit, a minute
+    after the one before, with a row number of its own.
     """
     key = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*TIE_BREAK)
-    return (table(spark, sf_dir, "lineitem").withColumn("rn", F.row_number().over(key)).where(F.col("rn") <= 2)
+    return (table(spark, sf_dir, "lineitem").withColumn("place", F.row_number().over(key) - 1)
+            .withColumn("pair", F.expr("place div 2"))
             .selectExpr(
-                "l_orderkey AS row_ID", "l_linenumber AS num", "rn", "cast(l_quantity AS double) AS Result",
+                "l_orderkey AS order_key", "pair", f"l_orderkey + pair * {NEXT_VISIT} AS row_ID", "l_linenumber AS num",
+                "place % 2 + 1 AS rn", "cast(l_quantity AS double) AS Result",
                 "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS RsltQual",
                 "CASE WHEN l_linestatus = 'F' THEN 'late' END AS Res_comment",
                 "CASE WHEN l_tax < 0.03D THEN 'A' WHEN l_tax < 0.06D THEN 'B' END AS OG_ACC",
@@ -48,13 +52,20 @@ def readings(spark, sf_dir):
                 "CASE WHEN l_tax < 0.02D THEN 'A' WHEN l_discount < 0.05D THEN 'B' END AS OG_DQL"))
 
 
+def _at_visits(rows, spark, sf_dir):
+    """Rows of readings with the attributes and the time of their visit."""
+    visit = visits(spark, sf_dir).withColumnRenamed("row_ID", "order_key")
+    return (rows.join(visit, "order_key").withColumn("DateTime", F.expr("timestampadd(MINUTE, pair, DateTime)"))
+            .drop("order_key", "pair"))
+
+
 def _batch_type(subid):
     return F.when(subid % 4 == 1, 449).when(subid % 4 == 2, 450).otherwise(448)
 
 
 def results(spark, sf_dir):
     """Long, identified results of all submissions."""
-    rows = readings(spark, sf_dir).join(visits(spark, sf_dir), "row_ID")
+    rows = _at_visits(readings(spark, sf_dir), spark, sf_dir)
     kept = [c for c in rows.columns if c not in ("num", "rn")]
     return with_identifiers(rows.selectExpr(
         *kept, "concat('c', cast(num AS string)) AS CharIDText",
@@ -78,7 +89,7 @@ def template(spark, sf_dir):
                     for suffix, source in (("qual", "RsltQual"), ("cmnt", "Res_comment"), ("ACC", "OG_ACC"),
                                            ("PREC", "OG_PREC"), ("DQL", "OG_DQL"))]
     columns = [F.expr(c) for c in columns]
-    return readings(spark, sf_dir).groupBy("row_ID").agg(*columns).join(visits(spark, sf_dir), "row_ID")
+    return _at_visits(readings(spark, sf_dir).groupBy("order_key", "pair", "row_ID").agg(*columns), spark, sf_dir)
 
 
 def raw_readings(spark, sf_dir):
@@ -90,6 +101,13 @@ def raw_readings(spark, sf_dir):
     return li.join(visits(spark, sf_dir).select("row_ID", "subid", "LASAR_ID", "DateTime"), "row_ID")
 
 
+def raw_results(spark, sf_dir):
+    """Raw readings as results: a visit may hold any number of primaries and replicates."""
+    return raw_readings(spark, sf_dir).selectExpr(
+        "*", "concat_ws('-', subid, CharIDText) AS actgrp_char", "cast(NULL AS double) AS Low_QC",
+        "concat_ws('-', row_ID, CharIDText, sample_type) AS result_id")
+
+
 def _numbers(spark):
     return spark.range(1, CHARACTERISTICS + 1).select(F.col("id").cast("int").alias("n"))
 
@@ -138,14 +156,14 @@ def submissions(spark, sf_dir, gaps=False):
     """One row per year of orders; with ``gaps``, every fifth has no batch type."""
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("SubID")).distinct()
     kind = _batch_type(F.col("SubID"))
-    return F.broadcast(years.select("SubID", (F.when(F.col("SubID") % 5 != 0, kind) if gaps else kind).alias("DupBatchType"),
-                                    (100 + F.col("SubID") % 3).alias("SubOrganizationID")))
+    return years.select("SubID", (F.when(F.col("SubID") % 5 != 0, kind) if gaps else kind).alias("DupBatchType"),
+                                    (100 + F.col("SubID") % 3).alias("SubOrganizationID"))
 
 
 def project(spark, sf_dir):
     """Project info: the characteristics of each submission."""
     n = F.col("n")
-    return F.broadcast(
+    return (
         submissions(spark, sf_dir)
         .select(F.col("SubID").alias("subid"), F.explode(F.sequence(F.lit(1), F.lit(CHARACTERISTICS))).alias("n"))
         .select("subid", _code().alias("CharID"), (n + 1).cast("double").alias("LOQ"),
@@ -159,11 +177,11 @@ def project(spark, sf_dir):
 def stations(spark, sf_dir):
     """Stations met in the customer table: at most one hundred, by construction of the key."""
     k = F.col("c_custkey") % 100
-    return F.broadcast(table(spark, sf_dir, "customer").select(k.cast("int").alias("k")).distinct().select(
+    return table(spark, sf_dir, "customer").select(k.cast("int").alias("k")).distinct().select(
         (10000 + F.col("k")).cast("bigint").alias("STATION_KEY"), (F.col("k") + 1).alias("StnID"),
         F.concat(F.lit("Station "), F.col("k").cast("string")).alias("StationDes"),
         F.concat(F.lit("ML-"), F.col("k").cast("string")).alias("MLocID"),
-        F.concat(F.lit("ctx"), (F.col("k") % 4).cast("string")).alias("ContextID")))
+        F.concat(F.lit("ctx"), (F.col("k") % 4).cast("string")).alias("ContextID"))
 
 
 def context(spark):

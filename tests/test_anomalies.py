@@ -3,6 +3,7 @@ from helpers import quantile
 from pyspark.sql import functions as F
 
 from grabqc.operators import anomalies as A
+from grabqc.plans.oracle import RULES
 
 LIMITS = {"LOQ": 10.0, "RealRngL": 1.0, "RealRngU": 99.0, "amb01L": 2.0, "amb05L": 3.0, "amb95U": 90.0, "amb99U": 95.0,
           "stdL": 4.0, "stdU": 80.0, "stdLlp": 3.5, "stdUlp": 85.0, "percen_5th": 11.0, "percen_10th": 12.0,
@@ -46,6 +47,7 @@ def test_codes_count_once_per_result(spark):
 
 
 def test_fourteen_labels_map_to_eight_codes(spark):
+    assert [tuple(r) for r in A.RULES] == RULES
     assert len(A.RULES) == 14 and {r[4] for r in A.RULES} == set(A.CODES) and len(A.CODES) == 8
     df = spark.createDataFrame([(label,) for _, label, *_ in A.RULES] + [("none of them",)], "Anom string")
     got = {r[0]: r[1] for r in df.select("Anom", A.anomaly_code(F.col("Anom"))).collect()}

@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as contract
+from grabqc.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "customer"]
@@ -27,12 +27,12 @@ def plain(frame):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query_equals_sql(spark, duck, name):
-    got = contract.queries()[name](spark, SF).toPandas()
-    want = duck.execute(contract.oracle_sql()[name]).df()
+    got = catalog.queries()[name](spark, SF).toPandas()
+    want = duck.execute(oracle.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert plain(got) == plain(want)

@@ -10,6 +10,13 @@ def graded(spark, items, rules, chars=("ph",)):
     return P.graded_pairs(results(spark, items), *criteria(spark, rules, chars))
 
 
+def test_each_replicate_is_held_against_the_reading_before_it(spark, rows):
+    items = [result(1, 10), result(1, 30, "dup"), result(1, 11, "dup"), result(2, 5, "dup"), result(2, 6, "dup")]
+    out = graded(spark, items, [("ph", "AbsDiff", 1.0, 15.0)])
+    assert rows(P.replicate_precision(out), "row_ID", "prec_val", "prec_DQL") == [(1, 1.0, "A"), (1, 19.0, "C")]
+    assert rows(out, "row_ID", "n_sample", "n_dup") == [(1, 0, 1), (1, 1, 1), (2, 0, 1), (2, 0, 1)]
+
+
 def test_precision_value_of_each_rule(spark):
     cases = [("AbsDiff", 10, 13, 3.0), ("AbsDiff", 13, 10, 3.0), ("RPD", 10, 30, 1.0), ("RPD", 30, 10, 1.0),
              ("LogDiff", 10, 1000, 2.0), ("LogDiff", 0, 10, None), ("RPD", -5, 5, None), ("Other", 1, 2, None)]

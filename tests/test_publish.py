@@ -133,6 +133,16 @@ def test_template_files_with_their_own_headers(spark, tmp_path, rows):
         (8, 1, 10003, datetime(2019, 7, 1, 8, 0, 30), None, "9.5", None)]
 
 
+@pytest.mark.parametrize("text, message", [
+    ("LASAR_ID,StartDate,StartTime,ph_r\nA-77,2019-06-01,10:15,7.1\n", "A-77"),
+    ("\n10001,2019-06-01,10:15\n10002,2019-06-01,10:15\n", "LASAR_ID")])
+def test_template_that_cannot_be_read_is_refused(spark, tmp_path, text, message):
+    folder = str(tmp_path / "bad")
+    write(folder, 7, PREAMBLE + text)
+    with pytest.raises(ValueError, match=message):
+        src.read_template(spark, folder)
+
+
 def test_project_files(spark, tmp_path, rows):
     folder = str(tmp_path / "project")
     write(folder, 7, PREAMBLE + "CharID,Limit of Quantitation,Low Level QC limit,FieldOrLab\nph,0.5,,Field\n,1,2,Lab\n")

@@ -114,3 +114,9 @@ def test_one_repeated_key_holding_most_rows(spark):
         F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id")).alias("row_ID"), F.lit(1).alias("subid"), F.lit(5).alias("LASAR_ID"),
         F.lit(None).cast("timestamp_ntz").alias("DateTime"), F.lit("ph").alias("CharIDText"), F.lit("sample").alias("sample_type"))
     assert audits.repeated_keys(df).count() == 13333 + 1
+
+
+def test_unreadable_readings_are_listed(spark, rows):
+    df = spark.createDataFrame([(1, 1, "<0.5", "7"), (1, 2, "0.5", " "), (1, 3, None, "n/a")], "subid int, row_ID bigint, ph_r string, do_r string")
+    out = reshape.unreadable_results(df, {"ph", "do"})
+    assert rows(out, "row_ID", "Char", "text") == [(1, "ph_r", "<0.5"), (3, "do_r", "n/a")]
