@@ -77,7 +77,7 @@ class Index:
                             for length, members in self.by_length.items() if length > 1}
         self.pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs.values()]))
         self.classes = []  # lengths within a quarter of each other are ruled out together
-        for length in sorted(self.by_length):
+        for length in sorted(n for n in self.by_length if n > 1):
             if not self.classes or length > 1.25 * self.classes[-1][0]:
                 self.classes.append([])
             self.classes[-1].append(length)

@@ -96,6 +96,7 @@ def walk(page):
                 break
             if names[at] in SCOPES:
                 break
+        yield tuple(stack), None  # what has ended by now
         if name not in VOID and not m["rest"].rstrip().endswith("/"):
             stack.append(mark(name, m["rest"]))
     yield (), None

@@ -65,6 +65,8 @@ def arc_record(version, page_id, url, payload):
 
 def read_arc(data):
     """(fields, block) of each record of an ARC file after its version block."""
+    if not data:  # the file of a task without rows
+        return
     end = data.index(b"\n")
     length = int(data[:end].rsplit(b" ", 1)[1])
     body = data[end + 1:end + 1 + length].split(b"\n")

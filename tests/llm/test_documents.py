@@ -1,0 +1,225 @@
+"""Operators on documents against brute force, on small frames with nulls, ties and repeated rows."""
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+
+import corpus_pipeline
+from grabqc.llm import bpe, decontam, licenses, quality, simhash, suffix
+
+RNG = random.Random(7)
+WORDS = ["".join(RNG.choice("abcdeiou") for _ in range(RNG.randint(2, 7))) for _ in range(300)]
+
+
+def prose(n, seed):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+PASSAGE = prose(30, 99)
+TEXTS = [prose(80, 1), prose(80, 1), prose(80, 2) + " " + PASSAGE + " é", PASSAGE + " " + prose(50, 3), None, "", "x", "a" * 400, "a" * 400,
+         prose(3000, 4), "MIT License and the Apache License. cc by", "  \t\n", prose(80, 2).replace(" ", "  ")]
+ROWS = [(i, t, "en", "s", 0, 1.5, i) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "en", "s", 0, 1.5, 0), (None, TEXTS[0], None, None, None, None, None)]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, score double, fp long"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def tuples(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i:i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(values, radius):
+    group = list(range(len(values)))
+    for _ in values:
+        group = [min(group[j] for j, w in enumerate(values) if (v ^ w).bit_count() <= radius) for v in values]
+    return group
+
+
+def test_near_duplicates(docs, empty):
+    prints = [fingerprint(r[1]) for r in ROWS]
+    group = components(prints, 2)
+    least = [min((ROWS[j][0] for j in range(len(ROWS)) if group[j] == g and ROWS[j][0] is not None)) for g in group]
+    want = sorted(((r[0], format(p, "016x"), c) for r, p, c in zip(ROWS, prints, least)), key=str)
+    assert tuples(simhash.near_duplicates(docs)) == want
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(group))
+
+
+def test_links_of_crowded_shards(spark):
+    rng = random.Random(3)
+    centre = [rng.getrandbits(64) for _ in range(4)]
+    values = list({c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for c in centre for _ in range(60)} | set(centre))
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    prints = spark.createDataFrame(signed, "fp long")
+    for limit in (4096, 5):  # whole shards, and shards cut once more
+        stars = {r.a: r.b for r in simhash.connected(simhash.links(prints, 2, limit)).collect()}
+        got = [stars.get(s, s) for s, in signed]
+        group = components(values, 2)
+        assert all((group[i] == group[j]) == (got[i] == got[j]) for i in range(len(values)) for j in range(i))
+
+
+def brute_repeats(rows):
+    out = []
+    known = [(r[0], (r[1] or "").encode()) for r in rows]
+    for own, data in known:
+        gone = bytearray(len(data))
+        for p in range(len(data) - 49):
+            if any((o is not None and (own is None or o < own)) and data[p:p + 50] in other for o, other in known):
+                gone[p:p + 50] = b"\x01" * 50
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((own, len(data), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(data, gone) if not g)).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_repeats(docs, empty):
+    want = brute_repeats(ROWS)
+    assert sum(r[2] for r in want) > 500
+    for options in ({}, {"block_bytes": 300, "range_bytes": 1000}, {"block_bytes": 300, "crowd": 2}):
+        assert tuples(suffix.repeats(docs, **options)) == want
+    assert suffix.repeats(empty).count() == 0
+    cut = suffix.drop_repeats(docs)
+    assert cut.columns == docs.columns and cut.count() == len(ROWS)
+    assert {r.doc_id: r.text for r in cut.collect() if r.doc_id in (0, 1, 4, 10)} == {0: TEXTS[0], 1: "", 4: None, 10: TEXTS[10]}
+
+
+def test_suffix_order_and_collisions():
+    rng = np.random.default_rng(1)
+    texts = rng.integers(97, 99, (300, 12)).astype(np.uint8)
+    group = np.sort(rng.integers(0, 9, 300))
+    order, common = suffix.Sorter(texts).neighbours(group)
+    rows = [(group[i], texts[i].tobytes()) for i in order]
+    assert rows == sorted(rows)
+    for k in range(1, 300):
+        a, b = rows[k - 1], rows[k]
+        assert common[k] == (-1 if a[0] != b[0] else next((n for n in range(12) if a[1][n] != b[1][n]), 12))
+    false = suffix.Sorter(texts)
+    false.prefix[:] = 0  # every hash collides
+    _, common = false.neighbours(group)
+    same = [k for k in range(1, 300) if group[k] == group[k - 1]]
+    assert all(common[k] < 12 or (texts[_[k]] == texts[_[k - 1]]).all() for k in same)
+
+
+def test_tokens(docs, empty):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(5)
+    odd = ["".join(rng.choice(" \t\n\r\x0b\x1c\x85  　aZ'sétl19!?_中😀<|>") for _ in range(rng.randint(0, 20))) for _ in range(2000)]
+    codec = bpe.Codec(bpe.read_ranks(path), public_tokenizers.PATTERN, remember=500)
+    for text, packed in zip(odd, codec.encode(odd)):
+        assert np.frombuffer(packed, "<u4").tolist() == whole.encode_ordinary(text) and codec.decode(packed) == text.encode()
+    want = []
+    for own, text, *_ in ROWS:
+        ids = whole.encode_ordinary(text or "")
+        want.append((own, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    assert tuples(bpe.digests(docs, path, public_tokenizers.PATTERN)) == sorted(want, key=str)
+    assert bpe.digests(empty, path, public_tokenizers.PATTERN).count() == 0
+    back = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    assert tuples(back) == sorted(((r[0], bytearray((r[1] or "").encode())) for r in ROWS), key=str)
+
+
+def test_quality(spark, docs, empty):
+    rows = [(i, prose(60, i) if i % 3 else " ".join([prose(1, i)] * 60), i % 3 > 0) for i in range(600)]
+    corpus = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows] + [(None, 1), (5, None)], "doc_id long, quality int")
+    got = quality.classify(corpus, labels).collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == 600 and 60 < len(held) < 180
+    assert sum(r.predicted == (r.doc_id % 3 > 0) for r in held) > 0.95 * len(held)
+    scored = quality.classify(docs, labels).collect()
+    assert len(scored) == len(ROWS) and all(0 <= r.score <= 1 for r in scored)
+    assert quality.classify(empty, labels).count() == 0
+    assert {r.score for r in quality.classify(docs, labels.where("false")).collect()} == {0.5}
+    assert quality.drop_rejected(docs, labels).columns == docs.columns
+
+
+def brute_phrases(text):
+    words = licenses.words_of(text)
+    found = [(i, label) for phrase, label in licenses.PHRASES for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.encode().split()]
+    return len(words), sorted(i for i, _ in found), {x for _, x in found}
+
+
+def test_licenses(docs, empty):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES, 4, 0.6)
+    rng = random.Random(2)
+    voc = "gnu general public license apache cc by mit the this work is licensed under free software".split()
+    for _ in range(1000):
+        text = " ".join(rng.choice(voc) for _ in range(rng.randint(0, 40)))
+        n, places, base, *_ = scanner.scan(text)
+        assert (n, sorted(places), base) == brute_phrases(text)
+        words = licenses.words_of(text)[:12]
+        for i, (_, length) in enumerate(scanner.automaton.statistics(words)):
+            runs = [k for k in range(i + 2) if any(t[j:j + k] == words[i + 1 - k:i + 1] for t in scanner.texts for j in range(len(t)))]
+            assert length == max(runs)
+    got = {r.doc_id: r for r in licenses.digests(docs).collect()}
+    assert (got[10].n_base, got[10].base_labels, got[10].first_word) == (3, "apache,cc-by,mit", 0) and got[4].n_words == 0 and got[4].first_word is None
+    assert licenses.digests(docs).count() == len(ROWS) and licenses.digests(empty).count() == 0
+    text = "x " + licenses.TEMPLATES[0][1].replace("restriction", "any restriction") + " y"
+    assert [s["label"] for s in scanner.scan(text)[3]] == ["mit"]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j - 1] + (x != y), before[j] + 1, row[j - 1] + 1))
+    return row[-1]
+
+
+def test_decontamination(spark, docs, empty):
+    items = [(i, prose(n, 1000 + i)) for i, n in enumerate([12, 20, 35, 50, 3, 1])] + [(90, None), (91, ""), (92, PASSAGE)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    index = decontam.Index([x for x in items if x[1]], 0.2, 0.95, 6, 5)
+    rng, found, total = random.Random(4), 0, 0
+    for i, text in items[:4]:
+        for _ in range(25):
+            words = text.split()
+            for _ in range(rng.randint(0, index.most(len(words)))):
+                at = rng.randrange(len(words))
+                words[at:at + rng.randint(0, 1)] = ["zz"] * rng.randint(0, 1)
+            page = prose(40, rng.random()) + " " + " ".join(words) + " " + prose(40, rng.random())
+            if distance(text.split(), words) <= index.most(len(text.split())):
+                total += 1
+                found += i in index.search([page])[0]
+    assert found >= 0.9 * total
+    clean = [prose(200, 5000 + k) for k in range(50)]
+    assert all(not {0, 1, 2, 3} & set(h) for h in index.search(clean))
+    got = decontam.contamination(docs, bench.where("item_id <> 5"), block_items=3)
+    assert {r.doc_id for r in got.collect() if r.contaminated} == {2, 3} and got.count() == len(ROWS)
+    assert decontam.contamination(docs, bench.where("false")).where("contaminated").count() == 0
+    assert decontam.contamination(empty, bench).count() == 0
+    kept = decontam.drop_contaminated(docs, bench.where("item_id <> 5"))
+    assert kept.columns == docs.columns and kept.count() == len(ROWS) - 3
+
+
+def test_pipeline_on_the_smallest_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf)
+        assert kept.columns == docs.columns, name
+    assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
