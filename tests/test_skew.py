@@ -12,7 +12,7 @@ ROWS = 60_000
 def skewed(spark):
     """Two thirds of the readings in one batch; half of the readings are replicated."""
     base = spark.range(ROWS).withColumns({
-        "hot": F.col("id") % 3 > 0, "row_ID": F.col("id"), "CharIDText": F.lit("c1")})
+        "hot": F.col("id") % 3 > 0, "row_ID": F.col("id"), "CharIDText": F.lit("c1"), "result_id": F.col("id").cast("string")})
     base = base.withColumns({
         "subid": F.when(F.col("hot"), 1).otherwise((F.col("id") % 7 + 2).cast("int")),
         "actgrp_char": F.when(F.col("hot"), "b-c1").otherwise(F.concat(F.lit("b"), (F.col("id") % 700).cast("string"))),
