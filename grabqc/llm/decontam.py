@@ -168,6 +168,8 @@ class Index:
             for i, lengths in enumerate(self.classes):
                 own = at[(kinds >> i & 1) > 0]
                 least = min(self.least_fresh[x] for x in lengths)
+                if len(own) < least:  # no window can hold enough pairs
+                    continue
                 near = np.flatnonzero(own[least - 1:] - own[:len(own) - least + 1] < lengths[-1] - 1)
                 # a window may begin in the row before
                 for row in np.unique(np.concatenate([rows[own[near]], rows[own[near + least - 1]]])).tolist():

@@ -216,6 +216,17 @@ def test_decontamination(spark, docs, empty):
     assert kept.columns == docs.columns and kept.count() == len(ROWS) - 3
 
 
+def test_decontamination_of_lone_short_texts():
+    words = prose(50, 1003).split()
+    index = decontam.Index([(3, " ".join(words))], 0.2, 0.95, 6, 5)
+    least, most = index.least_fresh[50], index.most(50)
+    assert least > 8
+    for n in range(1, 50 - most):  # up to n - 1 known pairs, in a batch of one text
+        assert index.search([" ".join(words[:n])]) == [{}]
+    assert index.search([" ".join(words)]) == [{3: (0, 0)}]
+    assert index.search([" ".join(words[:least]), "x", " ".join(words)]) == [{}, {}, {3: (0, 0)}]
+
+
 def test_pipeline_on_the_smallest_tables(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
