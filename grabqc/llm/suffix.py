@@ -17,8 +17,9 @@ smaller id. Only suffixes that can share such a string with another document are
    equal strings learns its smallest document.
 4. Each block marks the bytes that its classes cover and cuts them out.
 
-Anchors of more blocks than one sort should hold (``crowd``) are not met as one group: each string
-around them stands by itself under its own hash, and equal ones are aggregated in their block first.
+Anchors with more distinct surroundings than one sort should hold (``crowd``, summed over blocks)
+are not met as one group, so no sort grows with the corpus: each string around them stands by itself
+under its own hash, and equal ones are aggregated in their block first.
 
 Nulls: a null text is empty. A null id counts as larger than any other and stays null; rows that
 share an id, or have none, do not remove bytes from each other. Texts of any length are cut
@@ -202,16 +203,45 @@ class Block:
     def document(self, places):
         return np.searchsorted(self.ends, places, side="right")
 
+    def extent(self, places):
+        """Bytes before and from each place that its surroundings hold, cut where its document ends."""
+        document = self.document(places)
+        start, end = (self.ends - self.sizes)[document], self.ends[document]
+        return np.minimum(self.length - self.anchor, places - start), np.minimum(self.length, end - places)
+
+    def marks(self, places):
+        """Hashes of the surroundings of sorted places."""
+        before = self.length - self.anchor
+        left, right = self.extent(places)
+        most = min(len(self.data), CHUNK + before + self.length) + 1
+        up, down = _powers(BASE, most), _powers(np.uint64(pow(int(BASE), -1, 1 << 64)), most)
+        out = np.zeros(len(places), np.uint64)
+        for at in range(0, len(self.data), CHUNK):
+            own = slice(*np.searchsorted(places, (at, at + CHUNK)))
+            base = max(at - before, 0)
+            part = self.data[base:at + CHUNK + self.length].astype(np.uint64) + np.uint64(1)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up[:len(part)])])
+            low, high = places[own] - left[own] - base, places[own] + right[own] - base
+            out[own] = _mix((sums[high] - sums[low]) * down[low]) + left[own].astype(np.uint64)
+        return out
+
     def anchor_hashes(self):
-        """Sorted hashes of the block; those of several documents stand twice."""
+        """Sorted distinct hashes of the block, whether several documents hold each, and how many distinct surroundings it has."""
         places, hashes = self.anchors()
-        order = np.argsort(hashes, kind="stable")
-        hashes, document = hashes[order], self.document(places)[order]
         if not len(hashes):
-            return hashes
+            return hashes, np.zeros(0, np.uint8), np.zeros(0, np.uint32)
+        order = np.argsort(hashes, kind="stable")
+        marks, hashes, document = self.marks(places)[order], hashes[order], self.document(places)[order]
         first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
         several = np.maximum.reduceat(document, first) > np.minimum.reduceat(document, first)
-        return np.repeat(hashes[first], 1 + several)
+        times = np.diff(np.append(first, len(hashes)))
+        kinds = np.ones(len(first), np.uint32)
+        group = np.repeat(np.flatnonzero(times > 1), times[times > 1])
+        marks = marks[np.repeat(times > 1, times)]
+        order = np.lexsort((marks, group))
+        group, marks = group[order], marks[order]
+        np.add.at(kinds, group[1:][(group[1:] == group[:-1]) & (marks[1:] != marks[:-1])], 1)
+        return hashes[first], several.astype(np.uint8), kinds
 
     def surroundings(self, shared, crowded):
         """Occurrences and distinct surroundings of shared anchors, sorted by hash.
@@ -222,13 +252,13 @@ class Block:
         places, hashes = self.anchors()
         own = _found(shared, hashes)
         places, hashes = places[own], hashes[own]
-        document = self.document(places)
-        start, end = (self.ends - self.sizes)[document], self.ends[document]
-        left, right = np.minimum(before, places - start), np.minimum(self.length, end - places)
+        left, right = self.extent(places)
         dense = _found(crowded, hashes)
         if dense.any():
-            windows = np.unique((places[dense][:, None] - np.arange(before + 1)).ravel())
-            windows = windows[windows >= 0]
+            edges = np.zeros(len(self.data) + 1, np.int32)
+            np.add.at(edges, np.maximum(places[dense] - before, 0), 1)
+            np.add.at(edges, places[dense] + 1, -1)
+            windows = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
             doc = self.document(windows)
             windows = windows[windows + self.length <= self.ends[np.minimum(doc, len(self.ends) - 1)]]
             marks = _mix(string_hashes(self.data, self.length)[windows]) >> np.uint64(16)
@@ -238,18 +268,31 @@ class Block:
             right = np.concatenate([right[~dense], np.full(len(windows), self.length)])
         useful = left + right >= self.length
         places, hashes, left, right = places[useful], hashes[useful], left[useful], right[useful]
-        span = np.arange(-before, self.length, dtype=np.int32)
-        index = places.astype(np.int32)[:, None] + span
-        inside = (span >= -left[:, None]) & (span < right[:, None])
-        texts = np.where(inside, self.data[np.clip(index, 0, max(len(self.data) - 1, 0))], 0) if len(places) else np.zeros((0, len(span)), np.uint8)
-        rows = np.concatenate([hashes.byteswap().view(np.uint8).reshape(-1, 8), left[:, None].astype(np.uint8), right[:, None].astype(np.uint8), texts], axis=1)
-        kinds, which = np.unique(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel(), return_inverse=True)
-        rows = kinds.view(np.uint8).reshape(len(kinds), rows.shape[1])
+        kinds, which = self.distinct(places, hashes, left, right)
+        rows = kinds.view(np.uint8).reshape(len(kinds), -1) if len(kinds) else np.zeros((0, 10 + before + self.length), np.uint8)
         ids = self.ids[self.document(places)]
         least, most = np.full(len(kinds), NO_ID), np.full(len(kinds), np.iinfo(np.int64).min)
         np.minimum.at(least, which, ids)
         np.maximum.at(most, which, ids)
-        return places, which.ravel(), ids, rows, least, most
+        return places, which, ids, rows, least, most
+
+    def distinct(self, places, hashes, left, right):
+        """Sorted distinct surroundings as rows of bytes, and the number of each place's; some places at a time."""
+        span = np.arange(self.anchor - self.length, self.length)
+        order, kinds, which, known = np.argsort(hashes, kind="stable"), [], np.zeros(len(places), np.int64), 0
+        for at in range(0, len(order), CHUNK):
+            part = order[at:at + CHUNK]
+            inside = (span >= -left[part, None]) & (span < right[part, None])
+            texts = np.where(inside, self.data[np.clip(places[part, None] + span, 0, len(self.data) - 1)], 0)
+            rows = np.concatenate([hashes[part].byteswap().view(np.uint8).reshape(-1, 8), left[part, None].astype(np.uint8), right[part, None].astype(np.uint8), texts], axis=1)
+            own, number = np.unique(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel(), return_inverse=True)
+            kinds.append(own)
+            which[part] = number.ravel() + known
+            known += len(own)
+        if len(kinds) < 2:
+            return (kinds or [np.zeros(0, "V1")])[0], which
+        every, number = np.unique(np.concatenate(kinds), return_inverse=True)
+        return every, number.ravel()[which]
 
 
 def _found(known, values):
@@ -400,8 +443,9 @@ def _marked(blocks, length, anchor, crowd, range_bytes):
     def name_anchors(batches):
         for b in batches:
             for r in b.to_pylist():
-                hashes = Block(r, length, anchor).anchor_hashes()
-                rows = [{"range": of, "block": r["block"], "blob": pack(np.diff(hashes[x:y], prepend=np.uint64(0)))} for of, x, y in _by_range(hashes, ranges)]
+                hashes, several, kinds = Block(r, length, anchor).anchor_hashes()
+                rows = [{"range": of, "block": r["block"], "blob": pack(np.diff(hashes[x:y], prepend=np.uint64(0)), several[x:y], kinds[x:y])}
+                        for of, x, y in _by_range(hashes, ranges)]
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=named)
 
@@ -410,14 +454,18 @@ def _marked(blocks, length, anchor, crowd, range_bytes):
 
     def find_shared(table):
         of = table.column("block").to_pylist()
-        hashes = [np.cumsum(unpack(b, np.uint64)[0]) for b in table.column("blob").to_pylist()]
-        every = np.sort(np.concatenate(hashes))
+        parts = [unpack(b, np.uint64, np.uint8, np.uint32) for b in table.column("blob").to_pylist()]
+        hashes = [np.cumsum(p[0]) for p in parts]
+        every = np.concatenate(hashes)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
         first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        times = np.diff(np.append(first, len(every)))
-        shared, dense = every[first[times > 1]], every[first[times >= crowd]]
+        times = np.add.reduceat(np.concatenate([p[1] for p in parts])[order].astype(np.int64) + 1, first)
+        kinds = np.add.reduceat(np.concatenate([p[2] for p in parts])[order].astype(np.int64), first)
+        shared, dense = every[first[times > 1]], every[first[(times > 1) & (kinds >= crowd)]]
         rows = []
         for block, own in zip(of, hashes):
-            own = np.unique(own[_found(shared, own)])
+            own = own[_found(shared, own)]
             if len(own):
                 rows.append({"block": block, "blob": pack(np.diff(own, prepend=np.uint64(0)), _found(dense, own).astype(np.uint8))})
         return pa.Table.from_pylist(rows, schema=answered)

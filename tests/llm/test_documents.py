@@ -105,6 +105,27 @@ def test_repeats(docs, empty):
     assert {r.doc_id: r.text for r in cut.collect() if r.doc_id in (0, 1, 4, 10)} == {0: TEXTS[0], 1: "", 4: None, 10: TEXTS[10]}
 
 
+def test_repeats_of_an_anchor_with_many_surroundings(spark):
+    passage = PASSAGE[:120]
+    rows = [(i, prose(12, 7000 + i) + (" " + passage + " " if i % 3 else " ") + prose(12, 8000 + i)) for i in range(90)]
+    rows += [(100 + i, passage) for i in range(3)] + [(200, "b" * 90), (201, "c" + "b" * 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    crowd = 20  # far more than the blocks, far less than the surroundings of the passage's ends
+    marked, _ = suffix._prepared(docs, "doc_id", "text", 50, 26, crowd, 1 << 20, 1 << 20)
+    met, dense = {}, 0
+    for r in marked.collect():
+        block = suffix.Block(r, 50, 26)
+        shared, crowded = suffix._hashes(r["shared"])
+        dense += len(crowded)
+        for row in block.surroundings(shared, crowded)[3]:
+            met[row[:8].tobytes()] = met.get(row[:8].tobytes(), 0) + 1
+    assert dense and max(met.values()) < crowd
+    want = brute_repeats(rows)
+    assert sum(r[2] for r in want) > 59 * 120
+    for options in ({}, {"crowd": crowd}, {"crowd": crowd, "block_bytes": 3000}):
+        assert tuples(suffix.repeats(docs, **options)) == want
+
+
 def test_suffix_order_and_collisions():
     rng = np.random.default_rng(1)
     texts = rng.integers(97, 99, (300, 12)).astype(np.uint8)
