@@ -7,10 +7,13 @@ outcome, a union-free expression of tags, texts, optional and repeated groups, i
 wrapper. Tasks align the pages they read first, so one partial wrapper for each task and host is
 what meets; a host with a third of all pages costs no more than others.
 
-The wrapper decides which slots are the main text: those inside an article or main element of
-its pages, or where no page of the host has one, inside the group with most text that varies;
-never those inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-comments, told by element and by words of class and id. Pages are then read by their host's slots.
+A host's pages with and without text in an article or main element have a wrapper each, as they
+come from different templates. The wrappers decide which slots are the main text: those inside
+such an element; for pages without, those inside the group with most text that varies, or for
+pages that lack it the next such group, or else all slots; never those inside menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles or comments, told by element and by
+words of class and id. A page is read by the first of its host's sets of slots in which it has
+text. On a host with articles, text outside every element is no main text.
 
 Nulls: a null or empty page has an empty text; pages without a host share one wrapper. Broken
 markup is read like a browser would: unknown closings are ignored, open elements end with their
@@ -21,6 +24,7 @@ import html
 import json
 import re
 from difflib import SequenceMatcher
+from functools import reduce
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -178,8 +182,8 @@ def expression(node):
     return f"({body}){'+' if node[2] else ''}{'?' if node[1] else ''}" if node[1] or node[2] else body
 
 
-def main_slots(wrapper):
-    """Paths of the main text's slots in a wrapper."""
+def text_slots(wrapper):
+    """(path, text, letters) of the slots that may be main text."""
     slots = []
 
     def visit(node, path, gone):
@@ -188,26 +192,52 @@ def main_slots(wrapper):
                 if not gone:
                     slots.append((path, child[4], child[5]))
             else:
-                inside = any(e.split(".")[0] in MAIN for e in path)
-                away = gone or dropped(child[0]) or child[0].split(".")[0] == "header" and not inside
+                away = gone or dropped(child[0]) or child[0].split(".")[0] == "header" and not in_main(path)
                 visit(child, (*path, child[0]), away)
 
     visit(wrapper, (), False)
-    own = {p for p, _, _ in slots if any(e.split(".")[0] in MAIN for e in p)}
+    return slots
+
+
+def in_main(path):
+    return any(e.split(".")[0] in MAIN for e in path)
+
+
+def kind(page):
+    """0 for a page (its tree) with text in an article or main element, else 1."""
+    return 0 if any(in_main(p) for p, _, _ in text_slots(page)) else 1
+
+
+def main_slots(wrapper):
+    """Disjoint sets of paths, the first for most pages: the main text's slots in the wrapper of one kind of pages."""
+    slots = text_slots(wrapper)
+    own = {p for p, _, _ in slots if in_main(p)}
     if own:
-        return own
+        return [own]
     letters = {}
     for path, text, size in slots:
         if text is None or len(slots) == 1:
             letters[path[:-1]] = letters.get(path[:-1], 0) + size
-    best = max(letters, key=lambda p: (letters[p], p), default=None)
-    return {p for p, _, _ in slots if best is None or p[:len(best)] == best}
+    left, sets = {p for p, _, _ in slots}, []
+    for best in [*sorted(letters, key=lambda p: (letters[p], p), reverse=True), ()]:
+        sets.append({p for p in left if p[:len(best)] == best})
+        left -= sets[-1]
+    return [s for s in sets if s]
+
+
+def host_slots(kinds):
+    """The sets of a host's wrappers, given by kind."""
+    sets = [s for k in sorted(kinds) for s in main_slots(kinds[k])]
+    return sets[:1] + [s - {()} for s in sets[1:]] if min(kinds) == 0 else sets
 
 
-def main_text(page, slots):
-    """Blocks of the page's texts at the given paths, one line each."""
+def main_text(page, sets):
+    """Blocks of the page's texts at the paths of the first set in which it has text, one line each."""
+    read = list(walk(page or ""))
+    present = {path for path, text in read if text and not text.isspace()}
+    slots = next((s for s in sets if not s.isdisjoint(present)), ())
     blocks, current = [], []
-    for path, text in walk(page or ""):
+    for path, text in read:
         if text is None:
             if current:
                 blocks.append("".join(current))
@@ -222,9 +252,9 @@ def host(url):
 
 
 def wrappers(pages, url_col="url", html_col="html"):
-    """host, expression and slots of each host's wrapper, from all its pages."""
+    """host, expression and sets of slots of each host's wrapper, from all its pages."""
     rows = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    partial = pa.schema([("host", pa.string()), ("tree", pa.string())])
+    partial = pa.schema([("host", pa.string()), ("kind", pa.int64()), ("tree", pa.string())])
 
     def align(batches):
         known = {}
@@ -232,18 +262,20 @@ def wrappers(pages, url_col="url", html_col="html"):
             for own, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if page:
                     new = tree(page)
-                    known[own] = merge(known[own], new) if own in known else new
+                    key = own, kind(new)
+                    known[key] = merge(known[key], new) if key in known else new
         if known:
-            yield pa.RecordBatch.from_pylist([{"host": h, "tree": json.dumps(t)} for h, t in known.items()], schema=partial)
+            yield pa.RecordBatch.from_pylist([{"host": h, "kind": k, "tree": json.dumps(t)} for (h, k), t in known.items()], schema=partial)
 
     def finish(table):
-        whole = None
-        for text in sorted(table.column("tree").to_pylist()):
-            whole = json.loads(text) if whole is None else merge(whole, json.loads(text))
-        return pa.table({"host": [table.column("host")[0].as_py()], "expression": [expression(whole)],
-                         "slots": [json.dumps(sorted(main_slots(whole)))]})
+        kinds = {}
+        for k, text in sorted(zip(table.column("kind").to_pylist(), table.column("tree").to_pylist())):
+            kinds[k] = merge(kinds[k], json.loads(text)) if k in kinds else json.loads(text)
+        return pa.table({"host": [table.column("host")[0].as_py()], "expression": [expression(reduce(merge, kinds.values()))],
+                         "slots": [json.dumps([sorted(s) for s in host_slots(kinds)])]})
 
-    return rows.mapInArrow(align, "host string, tree string").groupBy("host").applyInArrow(finish, "host string, expression string, slots string")
+    return (rows.mapInArrow(align, "host string, kind long, tree string")
+            .groupBy("host").applyInArrow(finish, "host string, expression string, slots string"))
 
 
 def extract(pages, id_col="page_id", url_col="url", html_col="html"):
@@ -258,7 +290,7 @@ def extract(pages, id_col="page_id", url_col="url", html_col="html"):
             texts = []
             for page, own in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if own not in slots:
-                    slots[own] = {tuple(p) for p in json.loads(own)} if own else set()
+                    slots[own] = [{tuple(p) for p in s} for s in json.loads(own)] if own else []
                 texts.append(main_text(page, slots[own]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=names)
 

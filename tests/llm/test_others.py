@@ -70,6 +70,17 @@ def test_main_text(spark):
     assert html.extract(df.where("false")).count() == 0
 
 
+def test_main_text_of_a_host_with_several_templates(spark):
+    words = [f"w{i} " * 20 for i in range(8)]
+    rows = [(i, "http://a.example/", page(f"<article><h1>T{i}</h1><p>{words[i]}</article>")) for i in range(3)]
+    rows += [(i, "http://a.example/old", page(f"<div class=old><p>{words[i]}</p></div><p>all rights</p>")) for i in (3, 4)]
+    rows += [(5, "http://a.example/home", page(f"<div class=home><h2>{words[5]}</h2></div>")), (6, None, page(f"<div><p>{words[6]}</p></div>")),
+             (7, None, page(f"<main><p>{words[7]}</p></main>"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert got == {i: (f"T{i}\n" if i < 3 else "") + words[i].strip() for i in range(8)}
+
+
 def test_wrapper_alignment():
     one = html.tree("<ul><li>a<li>b</ul><p>x</p>")
     two = html.tree("<ul><li>c</ul><h2>new</h2><p>x</p>")
