@@ -12,7 +12,8 @@ come from different templates. The wrappers decide which slots are the main text
 such an element; for pages without, those inside the group with most text that varies, or for
 pages that lack it the next such group, or else all slots; never those inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or comments, told by element and by
-words of class and id. A page is read by the first of its host's sets of slots in which it has
+whole words of class and id, alone or with usual words before and after them. No class or id drops
+html, body, main or article, nor what holds all of a page's main and article text. A page is read by the first of its host's sets of slots in which it has
 text. On a host with articles, text outside every element is no main text.
 
 Nulls: a null or empty page has an empty text; pages without a host share one wrapper. Broken
@@ -24,7 +25,7 @@ import html
 import json
 import re
 from difflib import SequenceMatcher
-from functools import reduce
+from functools import lru_cache, reduce
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -39,6 +40,10 @@ DROPPED_WORDS = set("ad ads advert adverts advertisement sponsor sponsored promo
                     "sidebar side-bar aside footer header masthead cookie cookies consent notice notices alert popup modal newsletter subscribe "
                     "subscription signup login share sharing social related recommended comment comments reply replies respond disqus "
                     "pagination pager skip-link toolbar widget".split())
+# What may stand before or after a dropped word in a class or id: site-header, ad-slot, cookie-bar.
+AFFIXES = set("site page global top bottom left right primary secondary inner outer wrap wrapper container box bar block area section list item items "
+              "link links button buttons icon icons slot unit panel group form mobile desktop".split())
+KEPT = set("html body main article".split())  # no class or id makes these something else
 RAW = "script|style|title|textarea|noscript|template|iframe|svg|xmp|noembed|noframes"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small span strike "
@@ -58,9 +63,16 @@ def mark(name, rest):
     return ".".join([name, *words])
 
 
+@lru_cache(1 << 16)
 def dropped(element):
+    """Whether an element is not main text by its name, or by a whole word of its class or id."""
     name, *words = element.split(".")
-    return name in DROPPED or any(w in DROPPED_WORDS or not DROPPED_WORDS.isdisjoint(re.split(r"[-_]", w)) for w in words)
+    return name in DROPPED or name not in KEPT and any(map(dropped_word, words))
+
+
+def dropped_word(word):
+    parts = set(re.split(r"[-_]+", word))
+    return word in DROPPED_WORDS or not parts.isdisjoint(DROPPED_WORDS) and parts <= DROPPED_WORDS | AFFIXES
 
 
 def walk(page):
@@ -182,8 +194,15 @@ def expression(node):
     return f"({body}){'+' if node[2] else ''}{'?' if node[1] else ''}" if node[1] or node[2] else body
 
 
-def text_slots(wrapper):
-    """(path, text, letters) of the slots that may be main text."""
+def holds_main(node):
+    return any(c[0].split(".")[0] in MAIN or holds_main(c) for c in node[3])
+
+
+def text_slots(wrapper, held=False):
+    """(path, text, letters) of the slots that may be main text.
+
+    With ``held``, no class or id drops an element that holds an article or main element.
+    """
     slots = []
 
     def visit(node, path, gone):
@@ -192,7 +211,8 @@ def text_slots(wrapper):
                 if not gone:
                     slots.append((path, child[4], child[5]))
             else:
-                away = gone or dropped(child[0]) or child[0].split(".")[0] == "header" and not in_main(path)
+                name = child[0].split(".")[0]
+                away = gone or name in DROPPED or name == "header" and not in_main(path) or dropped(child[0]) and not (held and holds_main(child))
                 visit(child, (*path, child[0]), away)
 
     visit(wrapper, (), False)
@@ -204,16 +224,15 @@ def in_main(path):
 
 
 def kind(page):
-    """0 for a page (its tree) with text in an article or main element, else 1."""
-    return 0 if any(in_main(p) for p, _, _ in text_slots(page)) else 1
+    """0 for a page (its tree) with text in an article or main element, 1 if only a class or id of what holds it drops that, else 2."""
+    return next((k for k in (0, 1) if any(in_main(p) for p, _, _ in text_slots(page, k == 1))), 2)
 
 
-def main_slots(wrapper):
-    """Disjoint sets of paths, the first for most pages: the main text's slots in the wrapper of one kind of pages."""
-    slots = text_slots(wrapper)
-    own = {p for p, _, _ in slots if in_main(p)}
-    if own:
-        return [own]
+def main_slots(wrapper, of):
+    """Disjoint sets of paths, the first for most pages: the main text's slots in the wrapper of the pages of one kind."""
+    slots = text_slots(wrapper, of == 1)
+    if of < 2:
+        return [{p for p, _, _ in slots if in_main(p)}]
     letters = {}
     for path, text, size in slots:
         if text is None or len(slots) == 1:
@@ -227,8 +246,8 @@ def main_slots(wrapper):
 
 def host_slots(kinds):
     """The sets of a host's wrappers, given by kind."""
-    sets = [s for k in sorted(kinds) for s in main_slots(kinds[k])]
-    return sets[:1] + [s - {()} for s in sets[1:]] if min(kinds) == 0 else sets
+    sets = [s for k in sorted(kinds) for s in main_slots(kinds[k], k)]
+    return [s - {()} for s in sets] if min(kinds) < 2 else sets
 
 
 def main_text(page, sets):

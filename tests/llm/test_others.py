@@ -81,6 +81,22 @@ def test_main_text_of_a_host_with_several_templates(spark):
     assert got == {i: (f"T{i}\n" if i < 3 else "") + words[i].strip() for i in range(8)}
 
 
+def test_classes_that_only_tell_of_a_layout(spark):
+    def of(before, inside):
+        return f"<html><head><title>t</title></head>{before}{inside}</html>"
+
+    pages = [of(f"<body class='{c}'>", f"<article class='{a}'><p>text</article><div class='comment-list'><p>no</div>")
+             for c, a in (("has-sidebar", "post with-related"), ("no-sidebar comments-open", "x"), ("admin-toolbar", "comment"), ("", "ad"))]
+    pages += [of("<body>", "<main id='content-navbar'><p>text</main>"), of("<body>", "<div class='sidebar'><article><p>text</article></div>"),
+              of("<body>", "<div class='has-sidebar'><p>text</p></div><div id='site-footer'><p>no</p></div><div class='left_sidebar'>no</div>"),
+              of("<body class='sidebar'>", "<article><p>text</article><div class='related'><article>no</article></div>")]
+    rows = [(i, f"http://{h}.example/", p) for i, p in enumerate(pages) for h in ("one", f"own{i}")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [(r.page_id, r.url) for r in html.extract(df).collect() if r.text != "text"] == []
+    assert all(map(html.dropped, ["div.ad", "div.cookie-notice", "nav", "div.ad-slot", "ul.share-buttons", "div.x.top_banner"]))
+    assert not any(map(html.dropped, ["span.hljs-comment", "div.no-sidebar", "div.comments-open", "body.widget", "div.entry-header"]))
+
+
 def test_wrapper_alignment():
     one = html.tree("<ul><li>a<li>b</ul><p>x</p>")
     two = html.tree("<ul><li>c</ul><h2>new</h2><p>x</p>")
