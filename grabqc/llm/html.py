@@ -78,7 +78,8 @@ def dropped_word(word):
 def walk(page):
     """(path, text or None) in page order: a text at its path, or None where a block begins or ends.
 
-    A path is the tuple of the open elements that are not inline.
+    A path is the tuple of the open elements that are not inline. An inline element that is dropped
+    is part of it, as are those inside, and begins no block, nor does what it holds.
     """
     stack = []
     for m in TOKENS.finditer(page):
@@ -93,11 +94,18 @@ def walk(page):
         if name in INLINE:
             if name == "br":
                 yield tuple(stack), " "
-            elif dropped(known := mark(name, m["rest"])) and not m["close"]:
-                yield tuple([*stack, known]), None
+                continue
+            inline = next((i for i, e in enumerate(stack) if e.split(".")[0] in INLINE), len(stack))
+            if m["close"] or name == "a":  # a link ends the one before
+                del stack[next((i for i in range(len(stack) - 1, inline - 1, -1) if stack[i].split(".")[0] == name), len(stack)):]
+            if not m["close"] and name not in VOID and not m["rest"].rstrip().endswith("/"):
+                known = mark(name, m["rest"])
+                if inline < len(stack) or dropped(known):
+                    stack.append(known)
             continue
-        yield tuple(stack), None
         names = [e.split(".")[0] for e in stack]
+        if INLINE.isdisjoint(names):
+            yield tuple(stack), None
         if m["close"]:
             if name in names:
                 del stack[len(names) - 1 - names[::-1].index(name):]
@@ -112,7 +120,8 @@ def walk(page):
                 break
             if names[at] in SCOPES:
                 break
-        yield tuple(stack), None  # what has ended by now
+        if INLINE.isdisjoint(e.split(".")[0] for e in stack):
+            yield tuple(stack), None  # what has ended by now
         if name not in VOID and not m["rest"].rstrip().endswith("/"):
             stack.append(mark(name, m["rest"]))
     yield (), None

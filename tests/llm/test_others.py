@@ -97,6 +97,15 @@ def test_classes_that_only_tell_of_a_layout(spark):
     assert not any(map(html.dropped, ["span.hljs-comment", "div.no-sidebar", "div.comments-open", "body.widget", "div.entry-header"]))
 
 
+def test_dropped_inline_elements():
+    inside = ("<p>one <span class='ad'>buy <span>this</span> <b>now</b><br></span>two <a class=share href=x>share</a>three <img class=ad> <code><span class=hljs-comment># four</span></code>"
+              "<p>five <span class='ad'>not closed</p><p>six</p><ul><li>a <span class=ad>x<li>b</ul> <a class=share>x<a href=y>seven</a>")
+    text = f"<html><body><article>{inside}</article></body></html>"
+    assert html.main_text(text, html.main_slots(html.tree(text), 0)) == "one two three # four\nfive\nsix\na\nb\nseven"
+    block = "<article>a <a class=share><div>s</div></a> b</article>"
+    assert html.main_text(block, html.main_slots(html.tree(block), 0)) == "a b"
+
+
 def test_wrapper_alignment():
     one = html.tree("<ul><li>a<li>b</ul><p>x</p>")
     two = html.tree("<ul><li>c</ul><h2>new</h2><p>x</p>")
