@@ -2,7 +2,9 @@
 
 import os
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -57,3 +59,26 @@ def map_batches(df, columns, function, schema):
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, fields)], schema=fields)
 
     return picked.mapInArrow(run, schema)
+
+
+def narrow(whole):
+    """(name, array): whole numbers in the smallest type that holds them."""
+    most = int(np.abs(whole).max()) if whole.size else 0
+    kind = "int8" if most < 1 << 7 else "int16" if most < 1 << 15 else "int32" if most < 1 << 31 else "int64"
+    return kind, np.ascontiguousarray(whole, kind)
+
+
+def whole_vectors(batch, dims, scale, largest, others=()):
+    """Ids and vectors of a batch (vec_id, vector, ...), components times ``scale`` rounded down.
+
+    Leaves out vectors that are null, not of ``dims`` components, or hold a component that is null,
+    not finite or too large. ``others`` names columns whose kept values are returned as arrays too.
+    """
+    vector = batch.column(1)
+    batch = batch.filter(pc.fill_null(pc.equal(pc.list_value_length(vector), dims), False))
+    values = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims) * scale
+    with np.errstate(invalid="ignore"):
+        good = (np.abs(values) < largest).all(axis=1)
+    batch = batch.filter(pa.array(good))
+    out = batch.column(0).to_pylist(), np.floor(values[good]).astype(np.int64)
+    return (*out, [batch.column(n) for n in others]) if others else out
