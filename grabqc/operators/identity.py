@@ -43,6 +43,44 @@ def with_identifiers(results):
                           "actgrp_char": paste("-", "act_group", "CharIDText")}))
 
 
+def row_key(*values):
+    """128-bit key of a row's values. Equal values give equal keys, and a NULL is a value of its own.
+
+    Each value is written with its length, so that no two rows of different values read alike.
+    """
+    parts = []
+    for value in values:
+        text = (F.col(f"`{value}`") if isinstance(value, str) else value).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+def with_row_keys(results):
+    """Add the submission and the keys of each result, its activity and its batch.
+
+    The text ids leave out what may differ between two rows: visits of one station, minute and type
+    share an activity id, and so do their results. The keys tell such rows apart. A result is
+    one cell of the template; an activity and a batch are what their target holds of them.
+    """
+    return results.withColumns({
+        "submission": F.col("subid"),
+        "result_key": row_key(*[c for c in RESULT_IDENTITY if c in results.columns]),
+        "act_key": row_key(*ACTIVITY_IDENTITY),
+        "group_key": row_key("subid", "act_group", batch_comment())})
+
+
+RESULT_IDENTITY = ["subid", "row_ID", "CharIDText", "sample_type", "Char"]
+ACTIVITY_IDENTITY = ["act_id", "act_type", "subid", "LASAR_ID", "DateTime", "SubOrganizationID", "samplers", "SampleDepth",
+                     "SampleDepthUnit", "DEQ_Comment", "Org_Comment"]
+SAMPLER_BATCH_COMMENT = "batched through calendar year by sampler"
+
+
+def batch_comment():
+    """The day of a batch, or that it spans a year; NULL without a batch type."""
+    return (F.when(F.col("DupBatchType") == BATCH_BY_SAMPLER, SAMPLER_BATCH_COMMENT)
+            .when(F.col("DupBatchType").isNotNull(), F.col("Date4group")))
+
+
 def identify_results(melted, project, types, submissions):
     """Attach project, activity-type and submission attributes, then build the ids.
 

@@ -31,7 +31,7 @@ def replicate_pairs(results):
         "primary": F.max(F.when(primary, F.col("Result"))).over(key), "mean": F.when(whole, F.avg("Result").over(key)),
         "before": F.lag("Result").over(line), "place": F.row_number().over(line)})
     return placed.where(replicate | ((F.col("replicates") == 0) & (F.col("place") == 1))).select(
-        *PAIR_KEY, "actgrp_char", "LASAR_ID", "DateTime", "Low_QC", "result_id", "primary", "primaries", "mean",
+        *PAIR_KEY, *[c for c in ("Char",) if c in results.columns], "actgrp_char", "LASAR_ID", "DateTime", "Low_QC", "result_id", "primary", "primaries", "mean",
         F.when(replicate, F.col("before")).otherwise(F.col("Result")).alias("sample"),
         F.when(replicate, F.col("Result")).alias("dup"),
         F.when(~replicate | (F.col("place") == F.col("primaries") + 1), F.col("primaries")).otherwise(0).alias("n_sample"),
@@ -98,9 +98,9 @@ def graded_pairs(results, characteristics, criteria):
 
 
 def replicate_precision(graded):
-    """Precision and grade of each replicate with a primary, under the replicate's id."""
+    """Precision and grade of each replicate with a primary, under the replicate's id and, where known, its cell."""
     return (graded.where("paired")
-            .select(*PAIR_KEY, "result_id", "QCcalc", "prec_val", "DQLA", "DQLB", "prec_DQL"))
+            .select(*PAIR_KEY, "result_id", *[c for c in ("Char",) if c in graded.columns], "QCcalc", "prec_val", "DQLA", "DQLB", "prec_DQL"))
 
 
 def signed_series(graded, grade_on="signed"):

@@ -1,6 +1,7 @@
 """Registered queries: each operator run over the whole test tables."""
 
 import os
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +12,10 @@ from grabqc.operators.precision import BATCH_KEY, PAIR_KEY
 from grabqc.plans import workflow
 from grabqc.session import scratch_path
 from grabqc.sinks import reports
-from grabqc.sinks.publish import assign_ids, publish
+from grabqc.sinks.publish import assign_ids, key_map, publish, published
 from grabqc.sources import template as template_source
 from grabqc.sources import testdata as td
-from grabqc.sources.tables import load_outputs, materialise, rows_of_batch, save_outputs
+from grabqc.sources.tables import load_outputs, materialise, read_lookup, read_target, rows_of_batch, save_outputs, submissions_of
 
 KNOWN = {f"c{i}" for i in range(1, td.CHARACTERISTICS + 1)}
 DIGITS = 6
@@ -38,6 +39,11 @@ def plain(df, *optional):
     return df.withColumns(changed) if changed else df
 
 
+def spelled(df, *columns):
+    """The named columns as text, blank where there is no value: for columns that may hold nothing at all."""
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns})
+
+
 def _graded_pairs(spark, sf_dir, res=None, several=False):
     res = td.results(spark, sf_dir) if res is None else res
     return precision.graded_pairs(res, td.characteristics(spark), td.precision_criteria(spark, several))
@@ -131,7 +137,10 @@ def audit_repeat_keys(spark, sf_dir):
 
 
 def audit_repeat_keys_across_rows(spark, sf_dir):
-    return plain(audits.repeated_keys(td.raw_readings(spark, sf_dir), across_rows=True))
+    """Some visits are entered a second time, in a row of their own."""
+    raw = td.raw_readings(spark, sf_dir)
+    again = raw.where(F.col("row_ID") % 16 == 0).withColumn("row_ID", F.col("row_ID") + td.NEXT_VISIT)
+    return plain(audits.repeated_keys(raw.unionByName(again), across_rows=True))
 
 
 def audit_unreadable(spark, sf_dir):
@@ -150,10 +159,9 @@ def audit_required_nulls(spark, sf_dir):
     res = td.results(spark, sf_dir).withColumn("final_DQL", F.lit(None).cast("string"))
     none = spark.range(0).select(F.lit(0).alias("subid"), F.col("id").alias("row_ID"), F.lit("").alias("CharIDText"), F.lit("").alias("result_id"),
                                  F.lit(0.0).alias("prec_val"), F.lit("").alias("prec_DQL"))
-    shaped = tables.result_table(res, td.characteristics(spark), td.units(spark), td.methods(spark, complete=False), none)
-    visits = res.select(F.col("act_id").alias("ActivityIDText")).distinct()
-    keyed = assign_ids(visits.where(~F.col("ActivityIDText").startswith("1995-")), "ActivityIDText", "ActivityID")
-    return plain(audits.missing_required(tables.with_activity_keys(shaped, keyed)).select(
+    shaped = tables.result_table(res, td.characteristics(spark), td.units(spark), td.methods(spark, complete=False), none, keyed=True)
+    keyed = assign_ids(_activity_keys(res).where("submission <> 1995"), "row_key", "ActivityID")
+    return plain(audits.missing_required(tables.with_activity_ids(shaped, keyed)).select(
         "ResultIDText", "ActivityID", "CharID", "MethodID", "Result"), "ActivityID", "MethodID")
 
 
@@ -172,7 +180,7 @@ def precision_rule_choice(spark, sf_dir):
 
 
 def _precision(spark, sf_dir, several):
-    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir, several=several)))
+    return plain(precision.replicate_precision(_graded_pairs(spark, sf_dir, several=several)).drop("Char"))
 
 
 def replicate_precision(spark, sf_dir):
@@ -305,17 +313,20 @@ def table_activity_group(spark, sf_dir):
 
 
 def table_activity(spark, sf_dir):
-    # Columns that hold nothing but NULLs are left out.
-    return plain(tables.activity_table(td.results(spark, sf_dir), td.stations(spark, sf_dir), td.context(spark),
-                                       "America/Los_Angeles").select(*ACTIVITY_FILLED), "SmplDepthUnitID")
+    shaped = tables.activity_table(td.results(spark, sf_dir), td.stations(spark, sf_dir), td.context(spark), "America/Los_Angeles")
+    return spelled(plain(shaped, "SmplDepthUnitID"), *NEVER_SET["t_Activity"])
 
 
-ACTIVITY_FILLED = ["ActivityIDText", "ActivityTypeId", "SubID", "SiteDescription", "StartDateTime",
-                   "StartDateTimeZoneID", "MediaID", "ActivityOrgID", "SmplDepth", "SmplDepthUnitID", "Org_Comment",
-                   "DEQ_Comment", "Samplers", "fkStnID"]
-RESULT_FILLED = ["ResultIDText", "act_id", "CharID", "Result", "RsltQual", "UnitID", "MethodID", "MethodSpeciation",
-                 "RsltTypeID", "LOQ", "LOQ_UnitID", "QCorigACC", "QCorigPREC", "QCorigDQL", "DEQ_PREC",
-                 "PrecisionValue", "ORDEQ_DQL", "StoretQualID", "Org_RsltComment", "RsltStatusID"]
+# Target columns for which the definition gives no value.
+NEVER_SET = {
+    "t_Activity": ["EndDateTime", "EndDateTimeZoneID", "SmplColMthdID", "SmplColEquip", "SmplEquipID", "SmplColEquipComment"],
+    "t_Result": ["AnalyticalLaboratoryID", "AnalyticalStartTime", "AnalyticalStartTimeZoneID", "AnalyticalEndTime",
+                 "AnalyticalEndTimeZoneID", "LabCommentCode", "DEQ_ACC", "BiasValue", "StatisticalBasisID", "RsltTimeBasisID",
+                 "DEQ_RsltComment"],
+    "exchange": ["EndDate", "EndTime", "EndDateTimeZoneID", "SmplColEquipComment", "OrgName", "AnStartDate", "AnStartTime",
+                 "AnalyticalStartTimeZoneID", "AnEndDate", "AnEndTime", "AnalyticalEndTimeZoneID", "LabCommentCode",
+                 "BiasValue", "StatisticalBasisID", "RsltTimeBasisID"],
+}
 
 
 def _shaped(spark, sf_dir):
@@ -329,37 +340,31 @@ def table_result(spark, sf_dir):
     looked = td.lookups(spark, sf_dir)
     shaped = tables.result_table(graded["final_DQL"], looked["characteristics"], looked["units"], looked["methods"],
                                  graded["prec_grade"])
-    return _numeric(shaped.select(*RESULT_FILLED), "PrecisionValue")
+    return spelled(_numeric(shaped, "PrecisionValue"), *NEVER_SET["t_Result"])
 
 
 def table_anomaly(spark, sf_dir):
     raised = anomalies.raised_anomalies(_flagged(spark, sf_dir))
-    return tables.anomaly_table(raised, td.types(spark)).select("result_id", "AnomalyTypeID")
+    return spelled(tables.anomaly_table(raised, td.types(spark)), "AnomalyComment")
 
 
-def _keyed(spark, sf_dir):
-    """Final results, shaped tables, and activities with keys as their target would hold them."""
-    final, shaped = _shaped(spark, sf_dir)
-    activities = materialise(assign_ids(shaped["t_Activity"], "ActivityIDText", "ActivityID"), "activities")
-    return final, shaped, activities
+def _activity_keys(res):
+    return identity.with_row_keys(res).select("submission", F.col("act_key").alias("row_key")).distinct()
 
 
 def table_group_activity(spark, sf_dir):
     res = td.results(spark, sf_dir)
-    groups = assign_ids(tables.activity_group_table(res), "ActGrpIDText", "ActGrpID")
-    activities = assign_ids(res.select(F.col("act_id").alias("ActivityIDText")).distinct(), "ActivityIDText", "ActivityID")
-    return tables.group_activity_table(res, activities, groups)
+    groups = assign_ids(materialise(tables.activity_group_table(res, keyed=True), "groups"), "row_key", "ActGrpID")
+    activities = assign_ids(materialise(_activity_keys(res), "activities"), "row_key", "ActivityID")
+    return tables.group_activity_table(res, activities, groups).drop("submission")
 
 
 def table_review(spark, sf_dir):
-    final, shaped, activities = _keyed(spark, sf_dir)
-    results = tables.with_activity_keys(shaped["t_Result"], activities)
-    # Results that share an id cannot be told apart by it, so one is kept for the keys.
-    firsts = results.dropDuplicates(["ResultIDText"])
-    published = assign_ids(firsts, "ResultIDText", "ResultID")
-    return plain(tables.review_table(final, published).select(
-        "ResultID", "ActivityID", "SubmissionID", "CharID", "StartDateTime", "UnitID", "StoretQualID", "prelim_DQL",
-        *anomalies.COUNT_COLUMNS, "DQLCmt"), *anomalies.COUNT_COLUMNS)
+    final, shaped = _shaped(spark, sf_dir)
+    activities = assign_ids(materialise(_activity_keys(final), "activities"), "row_key", "ActivityID")
+    results = materialise(tables.with_activity_ids(shaped["t_Result"], activities), "results")
+    rows = tables.review_table(final, assign_ids(results, "row_key", "ResultID"))
+    return plain(rows.drop("submission"), *anomalies.COUNT_COLUMNS)
 
 
 def surrogate_keys(spark, sf_dir):
@@ -374,34 +379,49 @@ def publish_reconciliation(spark, sf_dir):
 
 def publish_again(spark, sf_dir):
     """The activity groups of half the submissions, then of all of them."""
-    root, groups = scratch_path(spark, "targets"), tables.activity_group_table(td.results(spark, sf_dir))
-    half = groups.where(F.substring("ActGrpIDText", 1, 4).cast("int") % 2 == 0)
-    publish(half, root, "t_ActGrp")
+    root = scratch_path(spark, "targets")
+    groups = materialise(tables.activity_group_table(td.results(spark, sf_dir), keyed=True), "groups")
+    publish(groups.where("submission % 2 = 0"), root, "t_ActGrp")
     return publish(groups, root, "t_ActGrp", on_existing="new_only")
 
 
+def publish_keeps_ids(spark, sf_dir):
+    """Per submission: activities, and how many have the id they got when half of them were published."""
+    root = scratch_path(spark, "targets")
+    rows = materialise(tables.activity_table(td.results(spark, sf_dir), td.stations(spark, sf_dir), td.context(spark), keyed=True), "activities")
+    half = rows.where(F.conv(F.substring(F.hex("row_key"), 1, 1), 16, 10).cast("int") < 8)
+    submissions = submissions_of(rows)
+    publish(half, root, "t_Activity")
+    first = materialise(key_map(spark, root, "t_Activity", submissions), "first")
+    publish(rows, root, "t_Activity", on_existing="new_only")
+    now = published(spark, root, "t_Activity", submissions).select("submission", "row_key", "ActivityID")
+    both = now.join(first.withColumn("kept", F.lit(1)), ["submission", "row_key", "ActivityID"], "left")
+    return both.groupBy("submission").agg(F.count("*").alias("activities"), F.count_distinct("ActivityID").alias("ids"),
+                                          F.count("kept").alias("kept_ids"))
+
+
 def keyed_readback(spark, sf_dir):
-    """Published groups of the batches that hold an ungraded-qualifier result."""
+    """Published groups of the batches that hold an ungraded-qualifier result, from their partitions."""
+    root = scratch_path(spark, "targets")
     res = td.results(spark, sf_dir)
-    batch = res.where(F.col("RsltQual") == "R").select(F.col("act_group").alias("ActGrpIDText"))
-    return rows_of_batch(tables.activity_group_table(res), batch, "ActGrpIDText")
+    publish(tables.activity_group_table(res, keyed=True), root, "t_ActGrp")
+    batch = materialise(res.where(F.col("RsltQual") == "R").select(F.col("subid").alias("submission"), F.col("act_group").alias("ActGrpIDText")).distinct(), "batch")
+    return rows_of_batch(read_target(spark, os.path.join(root, "t_ActGrp")), batch, "ActGrpIDText").select(
+        "ActGrpIDText", "ActGrpComment", "ActGrpTypeID")
 
 
 def exchange_export(spark, sf_dir):
-    final, shaped, activities = _keyed(spark, sf_dir)
-    looked = td.lookups(spark, sf_dir)
-    root = scratch_path(spark, "targets")
-    results = tables.with_activity_keys(shaped["t_Result"], activities)
-    save_outputs({"t_Activity": activities, "t_Result": results}, root)
+    """Activities and results published, read back by their keys and written as the exchange file."""
+    final, shaped = _shaped(spark, sf_dir)
+    root, looked = scratch_path(spark, "targets"), td.lookups(spark, sf_dir)
+    publish(shaped["t_Activity"], root, "t_Activity")
+    activities = key_map(spark, root, "t_Activity", submissions_of(shaped["t_Activity"]))
+    results = materialise(tables.with_activity_ids(shaped["t_Result"], activities), "results")
+    publish(results, root, "t_Result")
     path = reports.write_exchange(
-        workflow.export(root, shaped["t_Activity"], shaped["t_Result"], looked), os.path.join(root, "exchange"))
+        workflow.export(root, shaped["t_Activity"], results, looked), os.path.join(root, "exchange"))
     back = spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in tables.EXCHANGE_COLUMNS))
-    return _numeric(back, "PrecisionValue").select(*EXCHANGE_FILLED)
-
-
-EXCHANGE_FILLED = ["ActivityTypeId", "MLocID", "StartDate", "StartTime", "StartDateTimeZoneID", "SmplDepth",
-                   "SmplDepthUnitID", "Org_Comment", "CharAbbr", "result", "UnitIdText", "ShortName",
-                   "MethodSpeciation", "RsltTypeID", "LOQ", "PrecisionValue", "ORDEQ_DQL", "comment"]
+    return spelled(_numeric(back, "PrecisionValue"), *NEVER_SET["exchange"])
 
 
 TAB_ORDERS = 100_000
@@ -445,16 +465,81 @@ def project_source_roundtrip(spark, sf_dir):
     return template_source.read_project(spark, path).select("subid", "CharID", "LOQ", "Low_QC", "UNITS", "FieldOrLab")
 
 
+def _reread(spark, df, report, schema):
+    path = reports.write_report(df, scratch_path(spark, "reports"), report)
+    return spark.read.csv(path, header=True, nullValue="NA", schema=schema)
+
+
 def report_roundtrip(spark, sf_dir):
     """Batch summary written as the per-submission report and read back."""
-    path = reports.write_report(batch_summary(spark, sf_dir), scratch_path(spark, "reports"), "batch_summary")
-    back = spark.read.csv(path, header=True, nullValue="NA", schema=(
+    back = _reread(spark, batch_summary(spark, sf_dir), "batch_summary", (
         "actgrp_char string, grp_count bigint, sumofQC bigint, sumofNonQC bigint, sumofA bigint, sumofB bigint, "
         "sumofC bigint, pctQC double, pctQCtononQC double, pctA double, pctB double, pctC double, prelim_dql string, "
         "subid int"))
     return back.select(*BATCH_KEY, *grading.SUMMARY_COLUMNS)
 
 
+def report_data_summary(spark, sf_dir):
+    """Data summary written as the per-submission report and read back."""
+    percentiles = ", ".join(f"`{p}` double" for p in summaries.DATA_PERCENTILES)
+    return _reread(spark, data_summary(spark, sf_dir), "data_summary", (
+        f"Station string, Characteristic string, Count bigint, Mean double, Min double, {percentiles}, Max double, subid int"))
+
+
+def report_qc_summary(spark, sf_dir):
+    """Replicate summary written as the per-submission report and read back."""
+    percentiles = ", ".join(f"`{p}` double" for p in summaries.QC_PERCENTILES)
+    return _reread(spark, qc_summary(spark, sf_dir), "qc_summary", (
+        f"charid string, QCcalc string, Count bigint, Mean double, Min double, {percentiles}, Max double, CountA bigint, CountB bigint, "
+        "CountCorE bigint, Count_QC bigint, PercentA double, PercentB double, PercentCorE double, Count_Missing bigint, subid int"))
+
+
+def report_pair_scatter(spark, sf_dir):
+    """Replicate pairs with their bands written as the per-submission report and read back."""
+    return _reread(spark, pair_scatter_bands(spark, sf_dir), "pair_scatter", (
+        "row_ID bigint, CharIDText string, LASAR_ID bigint, DateTime string, act_group string, actgrp_char string, prec_val double, DQLA double, "
+        "DQLB double, dup double, sample double, A_QC_U double, A_QC_L double, B_QC_U double, B_QC_L double, subid int"))
+
+
+def lookup_columns(spark, sf_dir):
+    """A lookup table kept as files, of which only the named columns are read."""
+    root = scratch_path(spark, "lookups")
+    save_outputs({"tlu_Stations": td.stations(spark, sf_dir)}, root)
+    return read_lookup(spark, root, "tlu_Stations", ["STATION_KEY", "StnID", "MLocID"])
+
+
+def format_data_results(spark, sf_dir):
+    """The whole first step: template, project and lookups to identified results."""
+    return plain(_formatted(spark, sf_dir)["res"].select(
+        "subid", "row_ID", "Char", "CharIDText", "sample_type", "Result", "RsltQual", "Res_comment", "UNITS", "act_type", "DupBatchType",
+        "LOQ", "act_id", "act_group", "result_id", "actgrp_char"), "DupBatchType")
+
+
+def format_data_audits(spark, sf_dir):
+    """How many rows each audit of the first step holds; all must be none before grading."""
+    outputs = _formatted(spark, sf_dir)
+    names = ["bad_batch", "redundant_result", "redundant_act_char", "name_check", "orphan_metadata"]
+    parts = [outputs[n].agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("audit"), "n_rows") for n in names]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _formatted(spark, sf_dir):
+    wide = materialise(td.template(spark, sf_dir), "template")
+    known = td.characteristics(spark).where("CharIDText <> 'c7'")
+    return workflow.format_data(wide, td.project(spark, sf_dir), td.types(spark), td.submissions(spark, sf_dir, gaps=True), known, KNOWN)
+
+
+def summarise_outputs(spark, sf_dir):
+    """The whole third step: rows of each report and chart table, with a sum of one of its columns."""
+    counts = materialise(anomalies.station_counts(td.results(spark, sf_dir)), "values")
+    outputs = workflow.summarise(materialise(_graded_pairs(spark, sf_dir), "pairs"), counts)
+    sums = {"data_summary": "Count", "qc_summary": "Count_QC", "box_plot_stats": "n", "box_plot_outliers": "occurs",
+            "control_chart_series": "row_ID", "pair_scatter": "row_ID"}
+    parts = [outputs[n].agg(F.count("*").alias("n_rows"), F.sum(F.col(c).cast("bigint")).alias("total")).select(F.lit(n).alias("output"), "n_rows", "total")
+             for n, c in sums.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def stage_resume(spark, sf_dir):
     """Named outputs saved by one step and loaded by the next."""
     path = scratch_path(spark, "saved")
@@ -473,8 +558,9 @@ QUERIES = [
     submission_percentiles, station_percentiles, anomaly_flags, anomaly_counts, final_grade,
     data_summary, qc_summary, box_plot_stats, box_plot_outliers, characteristics_present, control_chart_series,
     pair_scatter_bands, table_activity_group, table_activity, table_result, table_anomaly, table_group_activity,
-    table_review, surrogate_keys, publish_reconciliation, publish_again, keyed_readback, exchange_export,
-    template_source_roundtrip, project_source_roundtrip, report_roundtrip, stage_resume,
+    table_review, surrogate_keys, publish_reconciliation, publish_again, publish_keeps_ids, keyed_readback, exchange_export,
+    template_source_roundtrip, project_source_roundtrip, report_roundtrip, report_data_summary, report_qc_summary,
+    report_pair_scatter, stage_resume, lookup_columns, format_data_results, format_data_audits, summarise_outputs,
 ]
 
 

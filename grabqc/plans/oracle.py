@@ -319,6 +319,26 @@ out AS (SELECT f.*, CASE WHEN f.sample_type = 'dup' THEN p.prec_val END AS prec_
     USING (subid, row_ID, CharIDText, sample_type))"""
 
 
+def _identity(*columns):
+    """The key of a row: the digest of its values, each written with its length."""
+    return "md5(" + " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+BATCH_COMMENT = "CASE WHEN DupBatchType = 450 THEN 'batched through calendar year by sampler' ELSE Date4group END"
+ACT_KEY = _identity("act_id", "act_type", "subid", "LASAR_ID", '"DateTime"', "SubOrganizationID", "samplers", "SampleDepth",
+                    "SampleDepthUnit", "DEQ_Comment", "Org_Comment")
+RESULT_KEY = _identity("subid", "row_ID", "CharIDText", "sample_type", "Char")
+GROUP_KEY = _identity("subid", "act_group", BATCH_COMMENT)
+
+
+def _row_ids(source, key, name):
+    return f"SELECT k, row_number() OVER (ORDER BY k) AS {name} FROM (SELECT DISTINCT {key} AS k FROM {source})"
+
+
+def _blank(*columns):
+    return ", ".join(f"'' AS {c}" for c in columns)
+
+
 def _keys(source, column, key, name, start=0):
     return (f"SELECT {column} AS {key}, {start} + row_number() OVER (ORDER BY substr(md5({column}), 1, 4), {column}) "
             f"AS {name} FROM (SELECT DISTINCT {column} FROM {source})")
@@ -364,15 +384,15 @@ def oracle_sql():
         "audit_unbatched": _with(IDENTIFIED, "SELECT subid, row_ID, Char, Result, actgrp_char FROM res WHERE act_group = 'ERROR'"),
         "audit_repeat_results": _repeats(f"row_ID, {READING}, Result"),
         "audit_repeat_keys": _repeats(f"row_ID, {READING}"),
-        "audit_repeat_keys_across_rows": _repeats(READING),
+        "audit_repeat_keys_across_rows": _repeats(READING).replace("FROM raw)", """FROM (SELECT * FROM raw UNION ALL
+            SELECT * REPLACE (row_ID + 1000000000000 AS row_ID) FROM raw WHERE row_ID % 16 = 0))"""),
         "audit_unreadable": _with(WIDE, """SELECT subid, row_ID, 'c1_r' AS Char, 'c1' AS CharIDText, '<' || CAST(c1_r AS VARCHAR) AS text
             FROM wide WHERE row_ID % 13 = 0 AND c1_r IS NOT NULL"""),
         "audit_unknown_char": _with(RES, "SELECT subid, row_ID, Char, CharIDText, Result FROM res WHERE CharIDText = 'c7'"),
-        "audit_required_nulls": _with(RES + ",\nkeyed AS (" + _keys(
-            "(SELECT act_id FROM res WHERE subid <> 1995)", "act_id", "act_id", "ActivityID") + ")",
+        "audit_required_nulls": _with(RES + ",\nkeyed AS (" + _row_ids("(SELECT * FROM res WHERE subid <> 1995)", ACT_KEY, "ActivityID") + ")",
             f"""SELECT result_id AS ResultIDText, CAST(ActivityID AS VARCHAR) AS ActivityID, num * 10 AS CharID,
             CASE WHEN num <> 4 THEN CAST(num + 200 AS VARCHAR) END AS MethodID, {text_result} AS Result
-            FROM res LEFT JOIN keyed USING (act_id) WHERE num = 4 OR ActivityID IS NULL"""),
+            FROM res LEFT JOIN keyed ON k = {ACT_KEY} WHERE num = 4 OR ActivityID IS NULL"""),
         "audit_orphan_metadata": _with(WIDE, _metadata_cells(lambda i: f" AND coalesce(c{i}_r, 0) < 10 AND c{i}d_r IS NULL")),
         "precision_rule_choice": _with(LEVELS, f"SELECT {KEY}, QCcalc, DQLA, DQLB, USE FROM rule"),
         "replicate_precision": _with(PREC, f"SELECT {KEY}, result_id, QCcalc, {_r('prec_val')}, DQLA, DQLB, prec_DQL FROM prec"),
@@ -424,18 +444,22 @@ def oracle_sql():
         "stage_resume": scatter,
         "table_activity_group": _with(RES, GROUPS),
         "table_activity": _with(RES + "," + ACTIVITY, f"""SELECT * REPLACE ({TIME.format('StartDateTime')},
-            CAST(SmplDepthUnitID AS VARCHAR) AS SmplDepthUnitID) FROM ({_activities(PACIFIC)})"""),
+            CAST(SmplDepthUnitID AS VARCHAR) AS SmplDepthUnitID),
+            {_blank("EndDateTime", "EndDateTimeZoneID", "SmplColMthdID", "SmplColEquip", "SmplEquipID", "SmplColEquipComment")}
+            FROM ({_activities(PACIFIC)})"""),
         "table_result": _with(FINAL + "," + RESULT_ROWS, f"""SELECT result_id AS ResultIDText, act_id, num * 10 AS CharID,
             {text_result} AS Result, RsltQual, num % 3 + 1 AS UnitID, num + 200 AS MethodID, MethodSpeciation,
             19 AS RsltTypeID, {NUMBER.format('LOQ')} AS LOQ, num % 3 + 1 AS LOQ_UnitID, OG_ACC AS QCorigACC,
             OG_PREC AS QCorigPREC, OG_DQL AS QCorigDQL, prec_DQL AS DEQ_PREC, {_r('prec_val', 'PrecisionValue')},
-            final_DQL AS ORDEQ_DQL, num + 1000 AS StoretQualID, Res_comment AS Org_RsltComment, 7 AS RsltStatusID FROM out"""),
-        "table_anomaly": _with(FLAGS, f"""SELECT result_id, AnomalyTypeID FROM raised
+            final_DQL AS ORDEQ_DQL, num + 1000 AS StoretQualID, Res_comment AS Org_RsltComment, 7 AS RsltStatusID,
+            {_blank("AnalyticalLaboratoryID", "AnalyticalStartTime", "AnalyticalStartTimeZoneID", "AnalyticalEndTime", "AnalyticalEndTimeZoneID",
+                    "LabCommentCode", "DEQ_ACC", "BiasValue", "StatisticalBasisID", "RsltTimeBasisID", "DEQ_RsltComment")} FROM out"""),
+        "table_anomaly": _with(FLAGS, f"""SELECT result_id, '' AS AnomalyComment, AnomalyTypeID FROM raised
             LEFT JOIN (VALUES {labels}) t(AnomalyTypeID, Anom) USING (Anom)"""),
         "table_group_activity": _with(
-            RES + f",\ng AS ({_keys('res', 'act_group', 'act_group', 'ActGrpID')}),\na AS ({_keys('res', 'act_id', 'act_id', 'ActivityID')})",
-            """SELECT DISTINCT ActGrpID, ActivityID, Date4group AS AG2AComment FROM res JOIN g USING (act_group)
-            JOIN a USING (act_id)"""),
+            RES + f",\ng AS ({_row_ids('res', GROUP_KEY, 'ActGrpID')}),\na AS ({_row_ids('res', ACT_KEY, 'ActivityID')})",
+            f"""SELECT DISTINCT ActGrpID, ActivityID, Date4group AS AG2AComment FROM res JOIN g ON g.k = {GROUP_KEY}
+            JOIN a ON a.k = {ACT_KEY}"""),
         "surrogate_keys": _with(RES, _keys("res", "act_id", "ActivityIDText", "ActivityID", 100)),
         "keyed_readback": _with(RES, GROUPS + " WHERE act_group IN (SELECT act_group FROM res WHERE RsltQual = 'R')"),
         "template_source_roundtrip": _with(WIDE + """,
@@ -444,15 +468,18 @@ def oracle_sql():
                 FROM read WHERE {c} IS NOT NULL""" for c, q in (("c1_r", "c1_qual"), ("c1d_r", "c1_qual"), ("c2_r", "NULL")))),
         "project_source_roundtrip": _with(RES, """SELECT DISTINCT subid, CharIDText AS CharID, LOQ, Low_QC, UNITS, FieldOrLab
             FROM res WHERE CharIDText <> 'c3'"""),
-        "publish_again": _with(RES + f",\ng AS ({GROUPS})", """SELECT 't_ActGrp' AS target, count(*) AS batch_rows,
+        "publish_again": _with(RES + f",\ng AS ({GROUPS})", """SELECT 't_ActGrp' AS target, count(*) AS source_rows, count(*) AS batch_rows,
             count(*) FILTER (CAST(substr(ActGrpIDText, 1, 4) AS INTEGER) % 2 = 0) AS already_present,
             count(*) FILTER (CAST(substr(ActGrpIDText, 1, 4) AS INTEGER) % 2 = 1) AS loaded_rows,
             count(*) AS matched_rows, true AS verified FROM g"""),
-        "table_review": _with(FINAL + f""",\na AS ({_keys('res', 'act_id', 'act_id', 'ActivityID')}),
-            r AS ({_keys('res', 'result_id', 'result_id', 'ResultID')})""", f"""SELECT ResultID, ActivityID,
+        "publish_keeps_ids": _with(RES + f",\nk AS (SELECT DISTINCT subid, {ACT_KEY} AS k FROM res)", """SELECT subid AS submission, count(*) AS activities,
+            count(*) AS ids, count(*) FILTER (substr(k, 1, 1) < '8') AS kept_ids FROM k GROUP BY subid"""),
+        "table_review": _with(FINAL + "," + RESULT_ROWS + f""",\na AS ({_row_ids('res', ACT_KEY, 'ActivityID')}),
+            r AS ({_row_ids('res', RESULT_KEY, 'ResultID')})""", f"""SELECT ResultID, ActivityID,
             subid AS SubmissionID, num * 10 AS CharID, {AT.replace('AS "DateTime"', 'AS StartDateTime')},
-            num % 3 + 1 AS UnitID, num + 1000 AS StoretQualID, prelim_dql AS prelim_DQL,
-            {TEXT_COUNTS.split(', ', 1)[1]}, DQLCmt FROM final JOIN a USING (act_id) JOIN r USING (result_id)"""),
+            Result, RsltQual, num % 3 + 1 AS UnitID, num + 1000 AS StoretQualID, OG_DQL AS QCorigDQL, prec_DQL AS DEQ_PREC,
+            prelim_dql AS prelim_DQL, final_DQL, {TEXT_COUNTS.split(', ', 1)[1]}, DQLCmt
+            FROM out JOIN a ON a.k = {ACT_KEY} JOIN r ON r.k = {RESULT_KEY}"""),
         "exchange_export": _with(FINAL + "," + RESULT_ROWS + "," + ACTIVITY, f"""SELECT CAST(act_type AS VARCHAR) AS ActivityTypeId,
             MLocID, strftime("DateTime", '%Y-%m-%d') AS StartDate, strftime("DateTime", '%H:%M:%S') AS StartTime,
             '23' AS StartDateTimeZoneID, SampleDepth AS SmplDepth,
@@ -460,14 +487,38 @@ def oracle_sql():
             'Char ' || CAST(num AS VARCHAR) AS CharAbbr, coalesce(RsltQual, '') || {text_result} AS result,
             UNITS AS UnitIdText, method AS ShortName, MethodSpeciation, '19' AS RsltTypeID, {NUMBER.format('LOQ')} AS LOQ,
             {_r('prec_val', 'PrecisionValue')}, final_DQL AS ORDEQ_DQL,
-            CASE WHEN Res_comment IS NOT NULL THEN Res_comment || ':NA' END AS comment
+            CASE WHEN Res_comment IS NOT NULL THEN Res_comment || ':NA' END AS comment,
+            {_blank("EndDate", "EndTime", "EndDateTimeZoneID", "SmplColEquipComment", "OrgName", "AnStartDate", "AnStartTime",
+                    "AnalyticalStartTimeZoneID", "AnEndDate", "AnEndTime", "AnalyticalEndTimeZoneID", "LabCommentCode", "BiasValue",
+                    "StatisticalBasisID", "RsltTimeBasisID")}
             FROM out LEFT JOIN stn USING (LASAR_ID)"""),
         "publish_reconciliation": _with(FINAL + "," + ACTIVITY + f""",
             sizes AS (SELECT 't_ActGrp' AS target, count(*) AS n FROM ({GROUPS})
-              UNION ALL SELECT 't_Activity', count(*) FROM ({_activities('23')})
-              UNION ALL SELECT 'tjct_ActGrp2Act', count(*) FROM (SELECT DISTINCT act_group, act_id FROM res)
+              UNION ALL SELECT 't_Activity', count(*) FROM (SELECT DISTINCT {ACT_KEY} FROM res)
+              UNION ALL SELECT 'tjct_ActGrp2Act', count(*) FROM (SELECT DISTINCT {GROUP_KEY}, {ACT_KEY} FROM res)
               UNION ALL SELECT 't_Result', count(*) FROM res UNION ALL SELECT 't_Anomaly', count(*) FROM raised
-              UNION ALL SELECT 'grabdataforreview', count(*) FROM res)""", """SELECT target, n AS batch_rows,
+              UNION ALL SELECT 'grabdataforreview', count(*) FROM res)""", """SELECT target, n AS source_rows, n AS batch_rows,
             CAST(0 AS BIGINT) AS already_present, n AS loaded_rows, n AS matched_rows, true AS verified FROM sizes"""),
     }
+    sql |= {
+        "report_data_summary": sql["data_summary"],
+        "report_qc_summary": sql["qc_summary"],
+        "report_pair_scatter": sql["pair_scatter_bands"],
+        "lookup_columns": "WITH " + ACTIVITY.strip() + " SELECT LASAR_ID AS STATION_KEY, StnID, MLocID FROM stn",
+        "format_data_results": _with(IDENTIFIED, """SELECT subid, row_ID, Char, CharIDText, sample_type, Result,
+            first_value(RsltQual) OVER w AS RsltQual, first_value(Res_comment) OVER w AS Res_comment, UNITS, act_type,
+            CAST(DupBatchType AS VARCHAR) AS DupBatchType, LOQ, act_id, act_group, result_id, actgrp_char
+            FROM res WINDOW w AS (PARTITION BY subid, row_ID, CharIDText ORDER BY rn)"""),
+        "format_data_audits": _with(IDENTIFIED + ",\nwide AS (" + WIDE.split("wide AS (", 1)[1], f"""
+            SELECT 'bad_batch' AS audit, count(*) FILTER (act_group = 'ERROR') AS n_rows FROM res
+            UNION ALL SELECT 'redundant_result', coalesce(sum(n) FILTER (n > 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM res GROUP BY row_ID, {READING}, Result)
+            UNION ALL SELECT 'redundant_act_char', coalesce(sum(n) FILTER (n > 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM res GROUP BY row_ID, {READING})
+            UNION ALL SELECT 'name_check', count(*) FILTER (CharIDText = 'c7') FROM res
+            UNION ALL SELECT 'orphan_metadata', count(*) FROM ({_metadata_cells(lambda i: f" AND c{i}_r IS NULL AND c{i}d_r IS NULL")})"""),
+        "summarise_outputs": "SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{name}' AS output, count(*) AS n_rows, CAST(sum({column}) AS BIGINT) AS total FROM ({sql[query]})"
+            for name, column, query in (("data_summary", "Count", "data_summary"), ("qc_summary", "Count_QC", "qc_summary"), ("box_plot_stats", "n", "box_plot_stats"),
+                                        ("box_plot_outliers", "occurs", "box_plot_outliers"), ("control_chart_series", "row_ID", "control_chart_series"),
+                                        ("pair_scatter", "row_ID", "pair_scatter_bands"))) + ")",
+    }
     return sql

@@ -3,14 +3,15 @@
 Each takes frames and returns frames by name. Every step works on any number of submissions.
 """
 
-import os
 from functools import reduce
 
+from pyspark.sql import functions as F
+
 from grabqc.operators import anomalies, audits, grading, identity, precision, reshape, summaries, tables
 from grabqc.operators.percentiles import has_large_group
 from grabqc.sinks import reports
-from grabqc.sinks.publish import publish
-from grabqc.sources.tables import materialise, rows_of_batch
+from grabqc.sinks.publish import key_map, publish, published
+from grabqc.sources.tables import materialise, rows_of_batch, submissions_of
 
 
 def format_data(template, project, types, submissions, characteristics, known=None):
@@ -70,46 +71,63 @@ def write_reports(outputs, directory):
 
 
 def shape_tables(final, prec_grade, lookups, zone="UTC"):
-    """The four tables that do not need published keys."""
+    """The four tables that do not need published ids, with the keys of their rows."""
     return {
-        "t_ActGrp": tables.activity_group_table(final),
-        "t_Activity": tables.activity_table(final, lookups["stations"], lookups["context"], zone),
+        "t_ActGrp": tables.activity_group_table(final, keyed=True),
+        "t_Activity": tables.activity_table(final, lookups["stations"], lookups["context"], zone, keyed=True),
         "t_Result": tables.result_table(final, lookups["characteristics"], lookups["units"], lookups["methods"],
-                                        prec_grade),
-        "t_Anomaly": tables.anomaly_table(anomalies.raised_anomalies(final), lookups["types"]),
+                                        prec_grade, keyed=True),
+        "t_Anomaly": tables.anomaly_table(anomalies.raised_anomalies(final), lookups["types"], keyed=True),
     }
 
 
+def source_counts(final):
+    """How many rows each target should get, counted on the final results themselves.
+
+    Results are brought to one row per batch and activity first; all counts follow from those.
+    """
+    pairs = materialise(identity.with_row_keys(final).groupBy("submission", "group_key", "act_key").agg(
+        F.count("*").alias("results"), F.sum(F.bit_count(anomalies.BITS)).alias("anomalies")), "source")
+    total = pairs.agg(F.count("*").alias("pairs"), F.sum("results").alias("results"), F.sum("anomalies").alias("anomalies")).first()
+    kinds = {key: pairs.select("submission", key).distinct().count() for key in ("group_key", "act_key")}
+    return {"t_ActGrp": kinds["group_key"], "t_Activity": kinds["act_key"], "tjct_ActGrp2Act": total["pairs"],
+            "t_Result": total["results"] or 0, "t_Anomaly": total["anomalies"] or 0, "grabdataforreview": total["results"] or 0}
+
+
 def publish_all(final, shaped, root, on_existing="refuse"):
     """Publish the six targets in order of dependence; one reconciliation row for each.
 
-    Keys given to one target are read back by natural key for the next.
+    Ids given to one target are read back by row key for the next, from the batch's partitions only.
     """
-    spark = final.sparkSession
+    spark, due = final.sparkSession, source_counts(final)
+    submissions = submissions_of(final.select(F.col("subid").alias("submission")))
 
-    def published(table):
-        return spark.read.parquet(os.path.join(root, table))
+    def load(table, rows):
+        return publish(rows, root, table, on_existing, due[table])
 
-    done = [publish(shaped["t_ActGrp"], root, "t_ActGrp", on_existing),
-            publish(shaped["t_Activity"], root, "t_Activity", on_existing)]
-    groups = rows_of_batch(published("t_ActGrp"), shaped["t_ActGrp"], "ActGrpIDText")
-    activities = rows_of_batch(published("t_Activity"), shaped["t_Activity"], "ActivityIDText")
-    done.append(publish(tables.group_activity_table(final, activities, groups), root, "tjct_ActGrp2Act", on_existing))
-    result_rows = materialise(tables.with_activity_keys(shaped["t_Result"], activities), "results")
+    def ids(table):
+        return key_map(spark, root, table, submissions)
+
+    done = [load("t_ActGrp", shaped["t_ActGrp"]), load("t_Activity", shaped["t_Activity"])]
+    done.append(load("tjct_ActGrp2Act", tables.group_activity_table(final, ids("t_Activity"), ids("t_ActGrp"))))
+    result_rows = materialise(tables.with_activity_ids(shaped["t_Result"], ids("t_Activity")), "results")
     if not audits.missing_required(result_rows).isEmpty():
         raise ValueError("results lack required values; see audits.missing_required")
-    done.append(publish(result_rows, root, "t_Result", on_existing))
-    results = rows_of_batch(published("t_Result"), result_rows, "ResultIDText")
-    done.append(publish(tables.with_result_keys(shaped["t_Anomaly"], results), root, "t_Anomaly", on_existing))
-    done.append(publish(tables.review_table(final, results), root, "grabdataforreview", on_existing))
+    done.append(load("t_Result", result_rows))
+    done.append(load("t_Anomaly", tables.with_result_ids(shaped["t_Anomaly"], ids("t_Result"))))
+    done.append(load("grabdataforreview", tables.review_table(final, published(spark, root, "t_Result", submissions))))
     return reduce(lambda a, b: a.unionByName(b), done)
 
 
 def export(root, batch_activities, batch_results, lookups):
-    """Exchange rows of one batch, from what is published now (after review)."""
+    """Exchange rows of one batch, from what is published now (after review).
+
+    Only the batch's partitions of the targets are read.
+    """
     spark = batch_results.sparkSession
-    activities = rows_of_batch(spark.read.parquet(os.path.join(root, "t_Activity")),
-                               batch_activities, "ActivityIDText")
-    results = rows_of_batch(spark.read.parquet(os.path.join(root, "t_Result")), batch_results, "ResultIDText")
-    return tables.exchange_rows(activities, results, lookups["characteristics"], lookups["units"],
-                                lookups["methods"], lookups["organisations"], lookups["stations"])
+
+    def rows(table, batch):
+        return rows_of_batch(published(spark, root, table, submissions_of(batch)), batch, "row_key")
+
+    return tables.exchange_rows(rows("t_Activity", batch_activities), rows("t_Result", batch_results), lookups["characteristics"],
+                                lookups["units"], lookups["methods"], lookups["organisations"], lookups["stations"])

@@ -1,11 +1,15 @@
 """Lookup tables, keyed read-back of published tables, and saved stages."""
 
 import os
+import re
 
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from grabqc.session import scratch_path
 
+PARTITION = "submission"
+
 
 def read_lookup(spark, directory, table, columns=None, jdbc=None):
     """A whole lookup table, from parquet files or, with JDBC options, from a database.
@@ -29,9 +33,34 @@ def read_target(spark, path):
         raise
 
 
+def submissions_of(batch):
+    """The submissions of a batch, which are the partitions its target is read and written in.
+
+    One number for each partition comes to the driver, which lists them for the write anyway.
+    """
+    return sorted(r[0] for r in batch.select(PARTITION).distinct().collect() if r[0] is not None)
+
+
+def rows_of_submissions(target, submissions):
+    """Rows of a published table in the given submissions: a filter on partitions, others are not read."""
+    return None if target is None else target.where(F.col(PARTITION).isin(submissions))
+
+
 def rows_of_batch(target, batch, key):
-    """Rows of a published table whose natural key occurs in the batch."""
-    return target.join(batch.select(key).distinct(), key, "left_semi")
+    """Rows of a published table whose natural key occurs in the batch.
+
+    Where both hold the submission, only the batch's partitions of the target are read.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if PARTITION in target.columns and PARTITION in batch.columns:
+        target, keys = rows_of_submissions(target, submissions_of(batch)), [*dict.fromkeys([PARTITION, *keys])]
+    return target.join(batch.select(*keys).distinct(), keys, "left_semi")
+
+
+def highest_partition(df, name):
+    """Highest value of a partition column, from the names of the files alone; 0 where there are none."""
+    found = [re.search(f"/{name}=([0-9]+)/", f) for f in df.inputFiles()] if df is not None else []
+    return max((int(m.group(1)) for m in found if m), default=0)
 
 
 def materialise(df, label):
@@ -43,7 +72,7 @@ def materialise(df, label):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def save_outputs(outputs, directory):

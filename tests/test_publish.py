@@ -2,12 +2,14 @@ import os
 from datetime import datetime
 
 import pytest
+from helpers import result, results
 from pyspark.sql import functions as F
 
 from grabqc import schemas
 from grabqc.functions.text import number_text, paste
 from grabqc.functions.times import time_zone_id, visit_time
 from grabqc.operators import tables
+from grabqc.operators.identity import row_key
 from grabqc.plans import catalog, workflow
 from grabqc.session import scratch_path
 from grabqc.sinks import publish as pub
@@ -19,8 +21,13 @@ from grabqc.sources.tables import load_outputs, read_lookup, read_target, rows_o
 SF = "/root/testdata/sf0.001"
 
 
-def groups(spark, names):
-    return spark.createDataFrame([(n, "day", 311) for n in names], "ActGrpIDText string, ActGrpComment string, ActGrpTypeID int")
+def groups(spark, names, submission=1):
+    rows = spark.createDataFrame([(submission, n, "day", 311) for n in names], "submission int, ActGrpIDText string, ActGrpComment string, ActGrpTypeID int")
+    return rows.withColumn("row_key", row_key("submission", "ActGrpIDText"))
+
+
+def held(spark, root, table="t_ActGrp"):
+    return read_target(spark, os.path.join(root, table))
 
 
 def test_publishing_twice_is_refused_or_adds_nothing(spark):
@@ -33,13 +40,110 @@ def test_publishing_twice_is_refused_or_adds_nothing(spark):
     assert (again["loaded_rows"], again["verified"]) == (0, True)
     half = pub.publish(groups(spark, "cde"), root, "t_ActGrp", "new_only").first()
     assert (half["already_present"], half["loaded_rows"], half["verified"]) == (1, 2, True)
-    table = read_target(spark, os.path.join(root, "t_ActGrp"))
+    table = held(spark, root)
     assert sorted(r["ActGrpIDText"] for r in table.collect()) == list("abcde")
     assert sorted(r["ActGrpID"] for r in table.collect()) == [1, 2, 3, 4, 5]
     assert rows_of_batch(table, groups(spark, "bz"), "ActGrpIDText").count() == 1
     assert read_target(spark, os.path.join(root, "none")) is None
 
 
+def test_an_empty_batch_and_a_batch_with_one_key_twice(spark):
+    root = scratch_path(spark, "t")
+    none = pub.publish(groups(spark, "a").where("false"), root, "t_ActGrp").first()
+    assert (none["batch_rows"], none["loaded_rows"], none["verified"]) == (0, 0, True)
+    with pytest.raises(pub.RepeatedKey):
+        pub.publish(groups(spark, "aa"), root, "t_ActGrp")
+    short = pub.publish(groups(spark, "ab"), root, "t_ActGrp", source_rows=3).first()
+    assert (short["source_rows"], short["matched_rows"], short["verified"]) == (3, 2, False)
+
+
+@pytest.mark.parametrize("step", ["staged t_ActGrp", "loaded t_ActGrp", "keys"])
+def test_a_run_that_died_is_repeated_without_loss_or_double_rows(spark, monkeypatch, step):
+    """It dies as it stages, as it loads, or between the keys and the load."""
+    root = scratch_path(spark, "t")
+    pub.publish(groups(spark, "ab", 7).unionByName(groups(spark, "c", 8)), root, "t_ActGrp")
+    ids = {r["ActGrpIDText"]: r["ActGrpID"] for r in held(spark, root).collect()}
+    batch = groups(spark, "bxy", 7).unionByName(groups(spark, "z", 9))
+    write, extend = pub._write, pub._extend_keys
+
+    def dies(df, path, label, **how):
+        if label == step:
+            raise RuntimeError("lost")
+        return write(df, path, label, **how)
+
+    def dies_after_keys(*args):
+        extend(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(pub, "_write", dies)
+    if step == "keys":
+        monkeypatch.setattr(pub, "_extend_keys", dies_after_keys)
+    with pytest.raises(RuntimeError):
+        pub.publish(batch, root, "t_ActGrp", "new_only")
+    monkeypatch.undo()
+    given = pub.key_map(spark, root, "t_ActGrp", [7, 8, 9]).collect()
+    done = pub.publish(batch, root, "t_ActGrp", "new_only").first()
+    assert (done["batch_rows"], done["already_present"], done["loaded_rows"], done["verified"]) == (4, 1, 3, True)
+    rows = held(spark, root).collect()
+    assert sorted((r["submission"], r["ActGrpIDText"]) for r in rows) == [(7, "a"), (7, "b"), (7, "x"), (7, "y"), (8, "c"), (9, "z")]
+    assert len({r["ActGrpID"] for r in rows}) == 6
+    assert all(r["ActGrpID"] == ids[r["ActGrpIDText"]] for r in rows if r["ActGrpIDText"] in ids)
+    after = {tuple(r) for r in pub.key_map(spark, root, "t_ActGrp", [7, 8, 9]).collect()}
+    assert {tuple(r) for r in given} <= after and len(after) == 6
+
+
+def test_targets_are_read_by_partition(spark):
+    root = scratch_path(spark, "t")
+    for submission in (3, 4, 5):
+        pub.publish(groups(spark, "ab", submission), root, "t_ActGrp")
+    rows = rows_of_batch(held(spark, root), groups(spark, "a", 4), "ActGrpIDText")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(submission" in plan and "(submission" in plan and "= 4)" in plan
+    assert rows.inputFiles() and rows.count() == 1
+    assert pub.published(spark, root, "t_ActGrp", [4, 5]).count() == 4
+
+
+def visits(spark, items):
+    """Results of one station, minute and type; ``items`` are (row, sampler, value)."""
+    out = results(spark, [result(row, value) for row, _, value in items])
+    names = spark.createDataFrame([(row, name) for row, name, _ in items], "row_ID bigint, samplers string")
+    return (out.join(names, "row_ID").withColumns({
+        "act_id": F.lit("1-201906011000-100-FM"), "act_type": F.lit(149), "SubOrganizationID": F.lit(100), "result_id": F.lit("1-201906011000-100-FM-ph"),
+        **{c: F.lit(None).cast("string") for c in ("SampleDepth", "SampleDepthUnit", "DEQ_Comment", "Org_Comment", "MethodSpeciation", "RsltQual", "Res_comment",
+                                                    "OG_ACC", "OG_PREC", "OG_DQL", "DQLCmt")},
+        "act_group": F.lit("b"), "DupBatchType": F.lit(448), "Date4group": F.lit("20190601"), "Method Short Name": F.lit("M"), "UNITS": F.lit("u"), "prelim_dql": F.lit("A"),
+        "final_DQL": F.lit("A"), "anomaly_bits": F.lit(3), **{c: F.lit(1).cast("bigint") for c in ("anom_sub_95", "anom_amb_99", "anom_amb_95", "anom_WQS", "anom_BelowLOQ")}}))
+
+
+def test_rows_that_share_their_text_ids_stay_apart(spark):
+    final = visits(spark, [(1, "ann", 7.0), (2, "bob", 8.0), (3, "bob", 9.0)])
+    lookups = {"characteristics": spark.createDataFrame([(1, "ph", "pH", 9)], "CharID int, CharIDText string, CharAbbr string, StoretUniqueID int"),
+               "units": spark.createDataFrame([(1, "u")], "UnitID int, UnitIdText string"), "methods": spark.createDataFrame([(1, "M")], "MethodID int, ShortName string"),
+               "types": td.types(spark), "context": td.context(spark),
+               "stations": spark.createDataFrame([], "STATION_KEY bigint, StnID int, StationDes string, MLocID string, ContextID string")}
+    none = spark.createDataFrame([], "subid int, row_ID bigint, CharIDText string, result_id string, prec_val double, prec_DQL string")
+    root = scratch_path(spark, "t")
+    out = workflow.publish_all(final, workflow.shape_tables(final, none, lookups), root).collect()
+    assert [(r["target"], r["source_rows"], r["loaded_rows"], r["verified"]) for r in out] == [
+        ("t_ActGrp", 1, 1, True), ("t_Activity", 2, 2, True), ("tjct_ActGrp2Act", 2, 2, True), ("t_Result", 3, 3, True),
+        ("t_Anomaly", 6, 6, True), ("grabdataforreview", 3, 3, True)]
+    activities = {r["ActivityID"]: r["Samplers"] for r in held(spark, root, "t_Activity").collect()}
+    assert sorted((activities[r["ActivityID"]], r["Result"]) for r in held(spark, root, "t_Result").collect()) == [("ann", "7"), ("bob", "8"), ("bob", "9")]
+    review = held(spark, root, "grabdataforreview")
+    assert sorted(r["Result"] for r in review.collect()) == [7.0, 8.0, 9.0] and review.select("ResultID").distinct().count() == 3
+
+
+def test_row_keys(spark):
+    df = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "c"), ("", "c"), ("-", "c"), ("NA", "c"), ("ab", "c")], "x string, y string")
+    keys = [bytes(r["k"]) for r in df.coalesce(1).select(row_key("x", "y").alias("k")).collect()]
+    assert len(keys[0]) == 16 and keys[0] == keys[-1] and len(set(keys)) == 6
+
+
+def test_new_keys_are_numbered_without_gaps(spark):
+    keys = spark.range(1000).repartition(7).withColumnRenamed("id", "k")
+    assert sorted(r["n"] for r in pub.number_new(keys, "n", 41).collect()) == list(range(42, 1042))
+
+
 def test_ids_are_dense_and_depend_on_the_key_alone(spark):
     keys = spark.range(500).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
     one = {r["key"]: r["n"] for r in pub.assign_ids(keys, "key", "n", start=7).collect()}
@@ -57,7 +161,7 @@ def test_whole_chain_on_the_test_tables(spark):
                            "grabdataforreview": schemas.REVIEW}.items():
         got = spark.read.parquet(os.path.join(root, table))
         key = pub.TARGET_IDS.get(table)
-        assert [c for c in got.columns if c != key or c in columns] == list(columns)
+        assert [c for c in got.columns if c != "submission" and (c != key or c in columns)] == list(columns)
     results = spark.read.parquet(os.path.join(root, "t_Result"))
     assert results.where("ActivityID IS NULL OR ResultID IS NULL").isEmpty()
     assert results.count() == final.count()
