@@ -40,31 +40,31 @@ COUNT_COLUMNS = {"anom_sub_95": "submit_95", "anom_amb_99": "ambient_99", "anom_
                  "anom_WQS": "ViolateWQS", "anom_BelowLOQ": "BelowLOQ"}
 
 
-def station_counts(results):
+def station_counts(results, times=None):
     """Histogram of results by submission, station and characteristic; one read serves all."""
-    return value_counts(results, STATION_KEY, "Result")
+    return value_counts(results, STATION_KEY, "Result", times)
 
 
-def submission_percentiles(counts, large_groups=True):
+def submission_percentiles(counts):
     """Percentiles of each characteristic within its submission."""
-    return (summarise_counts(roll_up(counts, SUBMISSION_KEY), SUBMISSION_KEY, SUBMISSION_PERCENTILES, large_groups)
+    return (summarise_counts(roll_up(counts, SUBMISSION_KEY), SUBMISSION_KEY, SUBMISSION_PERCENTILES)
             .select(*SUBMISSION_KEY, *SUBMISSION_PERCENTILES))
 
 
-def station_percentiles(counts, large_groups=True):
+def station_percentiles(counts):
     """Percentiles of each station and characteristic within its submission."""
-    return (summarise_counts(counts, STATION_KEY, STATION_PERCENTILES, large_groups)
+    return (summarise_counts(counts, STATION_KEY, STATION_PERCENTILES)
             .select(*STATION_KEY, *STATION_PERCENTILES))
 
 
-def with_limits(results, criteria, counts, large_groups=True):
+def with_limits(results, criteria, counts):
     """Attach fixed criteria and both kinds of percentiles.
 
     The two percentile tables meet first, so the results are joined only once to data that
     grows with them; the criteria are a lookup.
     """
-    observed = station_percentiles(counts, large_groups).join(
-        submission_percentiles(counts, large_groups), SUBMISSION_KEY, "left")
+    observed = station_percentiles(counts).join(
+        submission_percentiles(counts), SUBMISSION_KEY, "left")
     fixed = criteria.where(F.col("charidText").isNotNull()).select(F.col("charidText").alias("CharIDText"), *CRITERIA_COLUMNS)
     return results.join(observed, STATION_KEY, "left").join(fixed, "CharIDText", "left")
 
@@ -135,6 +135,6 @@ def finalise(counted):
     ), "DQLCmt": F.lit("")})
 
 
-def flag_results(graded_results, criteria, counts, large_groups=True):
+def flag_results(graded_results, criteria, counts):
     """Graded results with limits, flags, counts and final grade, in one pass over them."""
-    return finalise(with_counts(with_flags(with_limits(graded_results, criteria, counts, large_groups))))
+    return finalise(with_counts(with_flags(with_limits(graded_results, criteria, counts))))

@@ -1,36 +1,44 @@
 """Ordered computations inside groups of any size.
 
-A plain window puts a whole group into one task. The helpers here split a group by a *chunk*
-column that rises with the order, run the window inside each chunk, and carry only one or two
-rows per chunk to the second step, so that a group holding a third of the data is still spread
-over the cluster.
+A plain window puts a whole group into one task. Here rows are first laid out in ranges of (group,
+order), so that a group takes as many ranges as it has rows for, and each row knows the number of its
+range. Windows run inside a group's part of a range; what is carried from range to range is one row for
+each. The plan is the same for groups of any size, and two rows of a group are in one range
+only if they are near each other in the order, however close their values are.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grabqc.operators.joins import join_null_safe
+from grabqc.sources.tables import materialise
 
+RANGE = "__range"
 
-def running_totals(df, keys, chunk, order, sums):
-    """Running sums inside each group, in ``order``, over any number of rows per group.
+
+def in_ranges(df, keys, order, label):
+    """Rows laid out by (group, order) and stored, with the number of their range.
+
+    Range numbers rise with the order inside a group. They are stored, as the bounds are sampled and
+    another run could cut elsewhere.
+    """
+    return materialise(df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id()), label)
+
+
+def running_totals(ranged, keys, order, sums):
+    """Running sums inside each group, in ``order``, of rows laid out with ``in_ranges``.
 
     ``sums`` maps an output name to the column it accumulates. Adds, per output, the running
-    sum including the current row (``name``) and the total of the group (``name_total``).
-    ``chunk`` must be non-null and rise with ``order``; leave it out only where every group is
-    known to be small enough for one task.
+    sum including the current row (``name``) and the total of the group (``name_total``): the sum
+    inside the range, and the sums of the group's ranges before it.
     """
-    if chunk is None:
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()}
-                              | {f"{n}_total": F.sum(c).over(Window.partitionBy(*keys)) for n, c in sums.items()})
-    cells = [*keys, chunk]
+    cells = [*keys, RANGE]
     inside = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.repartition(*cells).withColumns({f"__l_{n}": F.sum(c).over(inside) for n, c in sums.items()})
+    local = ranged.withColumns({f"__l_{n}": F.sum(c).over(inside) for n, c in sums.items()})
 
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    totals = df.groupBy(*cells).agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
+    totals = ranged.groupBy(*cells).agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
     offsets = totals.select(
         *cells,
         *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in sums],
@@ -38,35 +46,27 @@ def running_totals(df, keys, chunk, order, sums):
     )
     joined = join_null_safe(local, offsets, cells)
     joined = joined.withColumns({n: F.col(f"__l_{n}") + F.col(f"__o_{n}") for n in sums})
-    return joined.drop(*[f"__l_{n}" for n in sums], *[f"__o_{n}" for n in sums])
+    return joined.drop(RANGE, *[f"__l_{n}" for n in sums], *[f"__o_{n}" for n in sums])
 
 
-def neighbours(df, keys, chunk, order, fields, is_large=None):
+def neighbours(ranged, keys, order, fields):
     """Previous and next row of each row inside its group, as structs ``prev`` and ``next``.
 
-    Groups flagged by ``is_large`` are cut into chunks; the first and last row of each chunk
-    then look for their outer neighbour among the other chunks' edge rows only. ``chunk`` must
-    be constant in the groups that are not flagged; leave it out where none is.
+    Rows are laid out with ``in_ranges``. Where a group goes on in the next range, its last row here and
+    its first row there look for each other among such edge rows only: two for each range at most.
     """
-    if chunk is None:
-        order_in_group = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({"prev": F.lag(F.struct(*fields)).over(order_in_group),
-                               "next": F.lead(F.struct(*fields)).over(order_in_group)})
-    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
+    cells = [*keys, RANGE]
+    inside = Window.partitionBy(*cells).orderBy(*order)
     row = F.struct(*fields)
-    local = df.repartition(*keys, chunk).withColumns({
-        "prev": F.lag(row).over(inside),
-        "next": F.lead(row).over(inside),
-        "__first": F.row_number().over(inside) == 1,
-        "__last": F.lead(F.lit(True)).over(inside).isNull(),
-    })
-    edge = F.col(is_large) & (F.col("__first") | F.col("__last"))
-    across = Window.partitionBy(*keys).orderBy(*order)
-    edges = local.where(edge).withColumns({
-        "prev": F.when(F.col("__first"), F.lag(row).over(across)).otherwise(F.col("prev")),
-        "next": F.when(F.col("__last"), F.lead(row).over(across)).otherwise(F.col("next")),
-    })
-    return local.where(~edge).unionByName(edges).drop("__first", "__last")
+    placed = F.struct(F.struct(*order).alias("at"), row.alias("row"))
+    local = ranged.withColumns({"prev": F.lag(row).over(inside), "next": F.lead(row).over(inside)})
+    across = Window.partitionBy(*keys).orderBy(RANGE)
+    edges = (ranged.groupBy(*cells).agg(F.min(placed).alias("first"), F.max(placed).alias("last"))
+             .select(*cells, F.lag("last.row").over(across).alias("__before"), F.lead("first.row").over(across).alias("__after"))
+             .where(F.col("__before").isNotNull() | F.col("__after").isNotNull()))
+    return (join_null_safe(local, edges, cells)
+            .withColumns({"prev": F.coalesce("prev", "__before"), "next": F.coalesce("next", "__after")})
+            .drop(RANGE, "__before", "__after"))
 
 
 def dense_index(df, scope, block, order, name, start=0):

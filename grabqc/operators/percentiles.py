@@ -8,17 +8,17 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from grabqc.operators.ordered import running_totals
+from grabqc.operators.ordered import in_ranges, running_totals
 
-# Most distinct values of one group that are ranked in a single task.
-LARGE_GROUP = 1_000_000
 
+def value_counts(df, keys, value, times=None):
+    """One row per group and distinct non-null value, with its number of occurrences.
 
-def value_counts(df, keys, value):
-    """One row per group and distinct non-null value, with its number of occurrences."""
+    ``times`` names a column that says how often a row counts.
+    """
     return (df.where(F.col(value).isNotNull())
             .groupBy(*keys, F.col(value).cast("double").alias("value"))
-            .agg(F.count("*").alias("occurs")))
+            .agg((F.sum(times) if times else F.count("*")).alias("occurs")))
 
 
 def roll_up(counts, keys):
@@ -26,29 +26,15 @@ def roll_up(counts, keys):
     return counts.groupBy(*keys, "value").agg(F.sum("occurs").alias("occurs"))
 
 
-def has_large_group(counts, keys, limit=LARGE_GROUP):
-    """Whether some group has more histogram rows than one task should rank. Runs a job."""
-    return not counts.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit).isEmpty()
-
-
-def value_band(value):
-    """Integer that rises with ``value``: 128 bands per doubling of magnitude plus one."""
-    band = F.floor(F.log2(F.abs(value) + 1.0) * 128)
-    return F.when(value < 0, -band).otherwise(band)
-
-
-def summarise_counts(counts, keys, probs, large_groups=True):
+def summarise_counts(counts, keys, probs):
     """Per group: ``n``, ``mean``, ``min``, ``max`` and one column per requested percentile.
 
     ``probs`` maps an output name to a probability in [0, 1]. The place of a percentile among n
-    values is 1 + (n - 1) p; between two places the two values are weighted by the fraction. By
-    default a group may hold any number of distinct values: they are ranked in bands over many
-    tasks. ``large_groups=False``, for histograms checked with ``has_large_group``, ranks each
-    group in one task.
+    values is 1 + (n - 1) p; between two places the two values are weighted by the fraction.
+    Values are laid out in ranges of (group, value), so those of one group, however many and
+    however close, are ranked by as many tasks as they need.
     """
-    if large_groups:
-        counts = counts.withColumn("__band", value_band(F.col("value")))
-    ranked = running_totals(counts, keys, "__band" if large_groups else None, ["value"], {"upto": F.col("occurs")})
+    ranked = running_totals(in_ranges(counts, keys, ["value"], "ranks"), keys, ["value"], {"upto": F.col("occurs")})
     # A value takes the places from ``since + 1`` to ``upto``; a percentile needs the values at
     # the whole places on either side of its own.
     places = {name: f"1 + (upto_total - 1) * {float(p)!r}D" for name, p in probs.items()}

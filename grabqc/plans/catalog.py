@@ -51,8 +51,7 @@ def _graded_pairs(spark, sf_dir, res=None, several=False):
 
 def _batches(spark, sf_dir):
     graded = materialise(_graded_pairs(spark, sf_dir), "pairs")
-    batch_rows = materialise(grading.batches(graded), "batches")
-    return graded, batch_rows, grading.has_large_batch(batch_rows)
+    return graded, materialise(grading.batches(graded), "batches")
 
 
 def _grade(spark, sf_dir):
@@ -61,8 +60,7 @@ def _grade(spark, sf_dir):
 
 
 def _counts(spark, sf_dir):
-    counts = materialise(anomalies.station_counts(td.results(spark, sf_dir)), "values")
-    return counts, workflow.has_large_group(counts, anomalies.SUBMISSION_KEY)
+    return anomalies.station_counts(td.results(spark, sf_dir))
 
 
 # Template, identifiers and audits
@@ -205,17 +203,16 @@ def batch_summary(spark, sf_dir):
 
 
 def qc_applicability(spark, sf_dir):
-    graded, batch_rows, large = _batches(spark, sf_dir)
-    return plain(grading.qc_applicability(graded, batch_rows, large_batches=large))
+    return plain(grading.qc_applicability(*_batches(spark, sf_dir)))
 
 
 def _interval(spark, sf_dir, overlaps):
-    graded, batch_rows, large = _batches(spark, sf_dir)
-    windows = grading.qc_applicability(graded, batch_rows, large_batches=large)
-    covered = grading.covering_windows(graded, batch_rows, windows, large_batches=large)
+    graded, batch_rows = _batches(spark, sf_dir)
+    covered = grading.covering_windows(graded, batch_rows, grading.qc_applicability(graded, batch_rows))
+    grades = grading.interval_grades(covered, overlaps)
     return (td.results(spark, sf_dir).select(*PAIR_KEY, "sample_type", "actgrp_char", "DateTime")
-            .join(grading.interval_grades(covered, overlaps), grading.INSTANT_KEY)
-            .select(*PAIR_KEY, "sample_type", "actgrp_char", "prec_DQL"))
+            .join(grades, grading.INSTANT_KEY)
+            .select(*PAIR_KEY, "sample_type", "actgrp_char", "prec_DQL", *[c for c in grades.columns if c == "periods"]))
 
 
 def interval_grade(spark, sf_dir):
@@ -227,9 +224,8 @@ def interval_grade_overlaps(spark, sf_dir):
 
 
 def graded_results(spark, sf_dir):
-    graded, batch_rows, large = _batches(spark, sf_dir)
-    windows = grading.qc_applicability(graded, batch_rows, large_batches=large)
-    covered = grading.covering_windows(graded, batch_rows, windows, large_batches=large)
+    graded, batch_rows = _batches(spark, sf_dir)
+    covered = grading.covering_windows(graded, batch_rows, grading.qc_applicability(graded, batch_rows))
     out = grading.grade_results(td.results(spark, sf_dir), graded, batch_rows, grading.interval_grades(covered))
     return out.select(*PAIR_KEY, "sample_type", "actgrp_char", "Result", "grp_count", "sumofQC", "prelim_dql")
 
@@ -237,17 +233,16 @@ def graded_results(spark, sf_dir):
 # Anomalies and final grade
 
 def submission_percentiles(spark, sf_dir):
-    return plain(anomalies.submission_percentiles(*_counts(spark, sf_dir)))
+    return plain(anomalies.submission_percentiles(_counts(spark, sf_dir)))
 
 
 def station_percentiles(spark, sf_dir):
-    return plain(anomalies.station_percentiles(*_counts(spark, sf_dir)))
+    return plain(anomalies.station_percentiles(_counts(spark, sf_dir)))
 
 
 def _flagged(spark, sf_dir):
-    counts, crowded = _counts(spark, sf_dir)
-    return anomalies.with_flags(anomalies.with_limits(
-        td.results(spark, sf_dir), td.anomaly_criteria(spark), counts, crowded))
+    counts = materialise(_counts(spark, sf_dir), "values")
+    return anomalies.with_flags(anomalies.with_limits(td.results(spark, sf_dir), td.anomaly_criteria(spark), counts))
 
 
 def anomaly_flags(spark, sf_dir):
@@ -270,23 +265,19 @@ def final_grade(spark, sf_dir):
 # Summaries and chart data
 
 def data_summary(spark, sf_dir):
-    return plain(summaries.data_summary(*_counts(spark, sf_dir)))
+    return plain(summaries.data_summary(_counts(spark, sf_dir)))
 
 
 def qc_summary(spark, sf_dir):
-    graded = materialise(_graded_pairs(spark, sf_dir), "pairs")
-    series = precision.signed_series(graded)
-    keys = ["subid", "CharIDText", "QCcalc"]
-    crowded = workflow.has_large_group(summaries.value_counts(series, keys, "prec_val"), keys)
-    return plain(summaries.qc_summary(series, crowded))
+    return plain(summaries.qc_summary(precision.signed_series(materialise(_graded_pairs(spark, sf_dir), "pairs"))))
 
 
 def box_plot_stats(spark, sf_dir):
-    return plain(summaries.box_plot_stats(*_counts(spark, sf_dir)))
+    return plain(summaries.box_plot_stats(materialise(_counts(spark, sf_dir), "values")))
 
 
 def box_plot_outliers(spark, sf_dir):
-    return plain(summaries.box_plot_outliers(*_counts(spark, sf_dir)))
+    return plain(summaries.box_plot_outliers(materialise(_counts(spark, sf_dir), "values")))
 
 
 def characteristics_present(spark, sf_dir):

@@ -133,7 +133,7 @@ win AS (
         FROM prec p JOIN batch b ON b.subid = p.subid AND b.actgrp_char = p.actgrp_char AND b.prelim_dql = 'Mixed'
         WINDOW o AS (PARTITION BY p.subid, p.actgrp_char ORDER BY p."DateTime", p.row_ID, p.result_id))),
 hit AS (
-  SELECT r.subid, r.row_ID, r.CharIDText, r.sample_type, r.actgrp_char, w.prec_DQL
+  SELECT r.subid, r.row_ID, r.CharIDText, r.sample_type, r.actgrp_char, w.prec_DQL, w.row_ID AS by_row
   FROM res r JOIN batch b ON b.subid = r.subid AND b.actgrp_char = r.actgrp_char AND b.prelim_dql = 'Mixed'
   LEFT JOIN win w ON w.subid = r.subid AND w.actgrp_char = r.actgrp_char
     AND r."DateTime" >= w.ApplicableStart AND r."DateTime" <= w.ApplicableEnd),
@@ -416,7 +416,8 @@ def oracle_sql():
         "qc_applicability": _with(WINDOWS, f"""SELECT subid, actgrp_char, row_ID, prec_DQL,
             {AT}, {TIME.format('ApplicableStart')}, {TIME.format('ApplicableEnd')} FROM win"""),
         "interval_grade": _with(WINDOWS, f"SELECT {KEY}, sample_type, actgrp_char, prec_DQL FROM worst"),
-        "interval_grade_overlaps": _with(WINDOWS, f"SELECT {KEY}, sample_type, actgrp_char, prec_DQL FROM hit"),
+        "interval_grade_overlaps": _with(WINDOWS, f"""SELECT {KEY}, sample_type, actgrp_char, prec_DQL, count(by_row) AS periods
+            FROM hit GROUP BY ALL"""),
         "graded_results": _with(WINDOWS, f"""SELECT {KEY}, sample_type, actgrp_char, Result, grp_count, sumofQC, prelim_dql
             FROM graded"""),
         "submission_percentiles": _with(FLAGS, "SELECT subid, CharIDText, " + ", ".join(_r(c) for c in SUB) + " FROM sub_pct"),

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from grabqc.operators import anomalies, audits, grading, identity, precision, reshape, summaries, tables
-from grabqc.operators.percentiles import has_large_group
 from grabqc.sinks import reports
 from grabqc.sinks.publish import key_map, publish, published
 from grabqc.sources.tables import materialise, rows_of_batch, submissions_of
@@ -32,35 +31,34 @@ def grade(res, characteristics, criteria, anomaly_criteria, overlaps="worst"):
 
     ``res`` should be a stored table: it is scanned a few times, each with few columns, but
     joined whole only twice. Pairs, batches and the value histogram are stored once and read
-    by the rest; their sizes choose between one-task and many-task ordering of a group.
+    by the rest. With ``overlaps='all'`` a result has one row per grade of the periods that cover it, and
+    counts as often as ``periods`` says, once where none does.
     """
     graded = materialise(precision.graded_pairs(res, characteristics, criteria), "pairs")
     batch_rows = materialise(grading.batches(graded), "batches")
-    large = grading.has_large_batch(batch_rows)
-    windows = grading.qc_applicability(graded, batch_rows, large_batches=large)
-    covered = grading.covering_windows(graded, batch_rows, windows, large_batches=large)
+    windows = materialise(grading.qc_applicability(graded, batch_rows), "periods")
+    covered = grading.covering_windows(graded, batch_rows, windows)
     with_grade = grading.grade_results(res, graded, batch_rows, grading.interval_grades(covered, overlaps))
-    counts = materialise(anomalies.station_counts(res if overlaps == "worst" else with_grade), "values")
-    crowded = has_large_group(counts, anomalies.SUBMISSION_KEY)
+    counted = res if overlaps == "worst" else with_grade.withColumn("times", F.greatest("periods", F.lit(1)))
+    counts = materialise(anomalies.station_counts(counted, None if overlaps == "worst" else "times"), "values")
     return {
         "graded_pairs": graded,
         "prec_grade": precision.replicate_precision(graded),
         "batch_summary": grading.batch_summary(batch_rows),
         "qc_applicability": windows,
         "value_counts": counts,
-        "final_DQL": anomalies.flag_results(with_grade, anomaly_criteria, counts, crowded),
+        "final_DQL": anomalies.flag_results(with_grade, anomaly_criteria, counts),
     }
 
 
 def summarise(graded, counts):
     """Report and chart data, from the graded pairs and the value histogram."""
     series = precision.signed_series(graded)
-    crowded = has_large_group(counts, anomalies.SUBMISSION_KEY)
     return {
-        "data_summary": summaries.data_summary(counts, crowded),
+        "data_summary": summaries.data_summary(counts),
         "qc_summary": summaries.qc_summary(series),
-        "box_plot_stats": summaries.box_plot_stats(counts, crowded),
-        "box_plot_outliers": summaries.box_plot_outliers(counts, crowded),
+        "box_plot_stats": summaries.box_plot_stats(counts),
+        "box_plot_outliers": summaries.box_plot_outliers(counts),
         "control_chart_series": series,
         "pair_scatter": summaries.pair_scatter(graded),
     }

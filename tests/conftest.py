@@ -24,3 +24,12 @@ def rows():
         got = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
         return sorted(got, key=lambda r: tuple((v is not None, str(v)) for v in r))
     return collect
+
+
+@pytest.fixture(params=["one range", "many ranges"])
+def ranges(request, spark):
+    """Rows laid out in ranges: all in one, as few rows are, or in as many as there are shuffle partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, str(request.param == "one range").lower())
+    yield request.param
+    spark.conf.unset(name)

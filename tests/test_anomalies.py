@@ -54,13 +54,12 @@ def test_fourteen_labels_map_to_eight_codes(spark):
     assert got == {label: code for _, label, _, _, code in A.RULES} | {"none of them": None}
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_percentiles_stay_within_the_submission(spark, large):
+def test_percentiles_stay_within_the_submission(spark, ranges):
     data = [(s, 100 + i % 3, "ph", float(i * s)) for s in (1, 2) for i in range(30)]
     counts = A.station_counts(spark.createDataFrame(data, "subid int, LASAR_ID int, CharIDText string, Result double"))
-    for r in A.submission_percentiles(counts, large).collect():
+    for r in A.submission_percentiles(counts).collect():
         mine = [v for s, _, _, v in data if s == r["subid"]]
         assert [r[k] for k in A.SUBMISSION_PERCENTILES] == pytest.approx([quantile(mine, p) for p in A.SUBMISSION_PERCENTILES.values()])
-    for r in A.station_percentiles(counts, large).collect():
+    for r in A.station_percentiles(counts).collect():
         mine = [v for s, st, _, v in data if (s, st) == (r["subid"], r["LASAR_ID"])]
         assert [r[k] for k in A.STATION_PERCENTILES] == pytest.approx([quantile(mine, p) for p in A.STATION_PERCENTILES.values()])

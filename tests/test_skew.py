@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from grabqc.operators import anomalies as A
 from grabqc.operators import grading as G
+from grabqc.operators import ordered
 from grabqc.operators import precision as P
 
 ROWS = 60_000
@@ -24,28 +25,38 @@ def skewed(spark):
         "Result", F.expr("20.0D + id % 30 + if(sample_type = 'dup', id * 13 % 23, 0)")).drop("id", "hot")
 
 
-def test_hot_batch_gets_the_same_grades_in_chunks(spark, tmp_path):
-    skewed(spark).write.parquet(str(tmp_path / "r"))
+def test_a_hot_batch_and_a_hot_hour_take_several_tasks(spark, tmp_path):
+    """Two thirds of the readings in one batch, and half of these within one hour."""
+    hour = F.expr("timestampadd(SECOND, cast(row_ID % 3600 AS int), timestamp_ntz'2019-02-01 00:00:00')")
+    rows = skewed(spark).withColumn("DateTime", F.when(F.col("row_ID") % 6 < 4, hour).otherwise(F.col("DateTime")))
+    rows.write.parquet(str(tmp_path / "r"))
     res = spark.read.parquet(str(tmp_path / "r"))
     chars = spark.createDataFrame([(1, "c1")], "CharID int, CharIDText string")
     crit = spark.createDataFrame([(1, "c1", "AbsDiff", 5.0, 15.0)], "charid int, charidText string, QCcalc string, DQLA double, DQLB double")
     P.graded_pairs(res, chars, crit).write.parquet(str(tmp_path / "g"))
     graded = spark.read.parquet(str(tmp_path / "g"))
-    rows = G.batches(graded)
-    assert G.has_large_batch(rows, 10_000) and not G.has_large_batch(rows, 100_000)
+    batch_rows = G.batches(graded)
     out = {}
-    for large in (True, False):
-        windows = G.qc_applicability(graded, rows, large_batches=large, limit=10_000)
-        covered = G.covering_windows(graded, rows, windows, large_batches=large, limit=10_000)
-        final = G.grade_results(res, graded, rows, G.interval_grades(covered))
-        out[large] = final.groupBy("subid", "actgrp_char", "prelim_dql").agg(
+    for few in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", few)
+        windows = G.qc_applicability(graded, batch_rows)
+        final = G.grade_results(res, graded, batch_rows, G.interval_grades(G.covering_windows(graded, batch_rows, windows)))
+        out[few] = final.groupBy("subid", "actgrp_char", "prelim_dql").agg(
             F.count("*").alias("n"), F.sum("row_ID").alias("ids")).orderBy("subid", "actgrp_char", "prelim_dql").collect()
-    assert out[True] == out[False]
-    assert sum(r["n"] for r in out[True]) == res.count()
-    assert {r["prelim_dql"] for r in out[True] if r["actgrp_char"] == "b-c1"} == {"A", "B", "C"}
+    qc = graded.where("n_dup > 0 AND actgrp_char = 'b-c1'")
+    hot = ordered.in_ranges(qc, P.BATCH_KEY, ["DateTime", "row_ID"], "t").where("DateTime < timestamp_ntz'2019-02-01 01:00:00' AND DateTime >= timestamp_ntz'2019-02-01 00:00:00'")
+    sizes = [r["count"] for r in hot.groupBy(ordered.RANGE).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert out["true"] == out["false"]
+    assert sum(r["n"] for r in out["true"]) == res.count()
+    assert {r["prelim_dql"] for r in out["true"] if r["actgrp_char"] == "b-c1"} == {"A", "B", "C"}
+    assert len(sizes) > 1 and max(sizes) < 0.7 * sum(sizes)
 
 
-def test_hot_station_percentiles_are_the_same_in_bands(spark):
+def test_hot_station_percentiles_are_the_same_in_many_ranges(spark):
     counts = A.station_counts(skewed(spark)).cache()
     for summary in (A.submission_percentiles, A.station_percentiles):
-        assert sorted(summary(counts, True).collect()) == sorted(summary(counts, False).collect())
+        one = sorted(summary(counts).collect())
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert sorted(summary(counts).collect()) == one
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -15,10 +15,9 @@ def values(spark):
     return data, anomalies.station_counts(df).cache()
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_data_summary_has_both_levels(values, large):
+def test_data_summary_has_both_levels(values, ranges):
     data, counts = values
-    rows = summaries.data_summary(counts, large).collect()
+    rows = summaries.data_summary(counts).collect()
     assert {(r["subid"], r["Station"]) for r in rows} == {(s, t) for s in (1, 2) for t in ("All", "10", "20")}
     for r in rows:
         mine = [v for s, t, _, v in data if s == r["subid"] and r["Station"] in ("All", str(t))]
@@ -29,13 +28,12 @@ def test_data_summary_has_both_levels(values, large):
     assert list(rows[0].asDict())[:6] == ["subid", "Station", "Characteristic", "Count", "Mean", "Min"]
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_box_plot(values, large):
+def test_box_plot(values, ranges):
     data, counts = values
     outliers = {}
-    for r in summaries.box_plot_outliers(counts, large).collect():
+    for r in summaries.box_plot_outliers(counts).collect():
         outliers.setdefault((r["subid"], r["LASAR_ID"]), []).extend([r["value"]] * r["occurs"])
-    for r in summaries.box_plot_stats(counts, large).collect():
+    for r in summaries.box_plot_stats(counts).collect():
         mine = [v for s, t, _, v in data if (s, t) == (r["subid"], r["LASAR_ID"])]
         q1, q3 = quantile(mine, 0.25), quantile(mine, 0.75)
         inside = [v for v in mine if q1 - 1.5 * (q3 - q1) <= v <= q3 + 1.5 * (q3 - q1)]
