@@ -14,8 +14,16 @@ def blank_to_null(column):
 
 
 def number_text(column):
-    """A number as plain text: no exponent, no trailing zeros."""
+    """A number as plain text: no exponent, no trailing zeros, all its digits.
+
+    Only doubles are written with an exponent; the digits before it are moved by as many places.
+    """
     plain = column.cast("string")
-    fixed = F.regexp_replace(column.cast("decimal(38,15)").cast("string"), r"0+$", "")
-    text = F.when(plain.contains("E"), fixed).otherwise(plain)
-    return F.regexp_replace(text, r"\.0*$", "")
+    digits = F.regexp_replace(F.regexp_extract(plain, r"^-?(.*)E", 1), r"\.0*$", "")
+    whole, part = F.substring_index(digits, ".", 1), F.when(digits.contains("."), F.substring_index(digits, ".", -1)).otherwise("")
+    places = F.regexp_extract(plain, r"E(.*)$", 1).try_cast("int")
+    point = F.when(F.length(part) > places, F.concat(F.lit("."), F.substr(part, places + 1))).otherwise("")
+    large = F.concat(whole, F.rpad(part, places, "0"), point)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -places - 1), whole, part)
+    moved = F.concat(F.when(plain.startswith("-"), "-").otherwise(""), F.when(places > 0, large).otherwise(small))
+    return F.regexp_replace(F.when(plain.contains("E"), moved).otherwise(plain), r"\.0*$", "")

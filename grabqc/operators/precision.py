@@ -21,9 +21,10 @@ def replicate_pairs(results):
     ``sample`` is the reading before the replicate; ``n_sample`` counts the key's primaries on
     its first row only, so that sums over rows count each once.
     """
-    key = Window.partitionBy(*PAIR_KEY)
     primary, replicate = F.col("sample_type") == "sample", F.col("sample_type") == "dup"
-    line = key.orderBy(replicate, *[c for c in ("Char", "result_id", "Result") if c in results.columns])
+    line = Window.partitionBy(*PAIR_KEY).orderBy(replicate, *[c for c in ("Char", "result_id", "Result") if c in results.columns])
+    # the whole key, in the same order, so that one sort serves all
+    key = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     whole = F.count("Result").over(key) == F.count(F.lit(1)).over(key)
     placed = results.select(*PAIR_KEY, "actgrp_char", "LASAR_ID", "DateTime", "Low_QC", "result_id", "Result", "sample_type",
                             *[c for c in ("Char",) if c in results.columns]).withColumns({

@@ -138,6 +138,14 @@ def melt_metadata(template, family):
     return template.select(*ROW_KEY, _unfold(cells, fields, family))
 
 
+def melt_all_metadata(template):
+    """One row per non-missing cell of any metadata family, with the family's name; one pass over the rows."""
+    cells = [f"named_struct('family', '{family}', 'column', {_quote(column)}, 'CharIDText', {_quote(code)}, 'value', {_text(column)})"
+             for family in METADATA_SUFFIXES for column, code in metadata_columns(template.columns, family)]
+    fields = {n: "string" for n in ("family", "column", "CharIDText", "value")}
+    return template.select(*ROW_KEY, _unfold(cells, fields, "value"))
+
+
 def visit_comments(template):
     """Template rows holding a comment of either organisation."""
     return (template.select(*ROW_KEY, "DEQ_Comment", "Org_Comment")

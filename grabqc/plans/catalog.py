@@ -76,14 +76,7 @@ def template_metadata_join(spark, sf_dir):
 
 
 def template_metadata_long(spark, sf_dir):
-    rows = td.template(spark, sf_dir)
-    parts = [reshape.melt_metadata(rows, family).select("subid", "row_ID", "column", "CharIDText",
-                                                        F.lit(family).alias("family"), F.col(family).alias("value"))
-             for family in reshape.METADATA_SUFFIXES]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reshape.melt_all_metadata(td.template(spark, sf_dir))
 
 
 def template_visit_comments(spark, sf_dir):
@@ -444,6 +437,29 @@ def template_source_roundtrip(spark, sf_dir):
         "subid", "row_ID", "LASAR_ID", "DateTime", "Char", "Result", "RsltQual"))
 
 
+def audit_unreadable_stations(spark, sf_dir):
+    """Tabs in which some stations are no numbers; what is listed, and how many rows are read beside it."""
+    path = scratch_path(spark, "tabs")
+    station = F.when(F.col("row_ID") % 29 == 0, F.concat(F.lit("A-"), F.col("LASAR_ID").cast("string"))).otherwise(F.col("LASAR_ID").cast("string"))
+    rows = td.visits(spark, sf_dir).select("subid", "row_ID", station.alias("LASAR_ID"), F.date_format("DateTime", "yyyy-MM-dd").alias("StartDate"),
+                                           F.date_format("DateTime", "HH:mm").alias("StartTime"))
+    _write_tabs(rows, path, ["LASAR_ID", "StartDate", "StartTime"], "row_ID", F.expr(f"row_ID div {TAB_ORDERS}"))
+    listed = template_source.unreadable_stations(spark, path).groupBy("subid", "text").agg(F.count("*").alias("n_rows"))
+    read = template_source.read_template(spark, path).groupBy("subid").agg(F.count("*").alias("n_rows"))
+    return listed.unionByName(read.select("subid", F.lit("read").alias("text"), "n_rows"))
+
+
+def audit_unreadable_limits(spark, sf_dir):
+    """Project tabs in which some limits are no numbers."""
+    path = scratch_path(spark, "tabs")
+    odd = F.expr("(subid + cast(substring(CharIDText, 2) AS int)) % 3 = 0")
+    rows = td.results(spark, sf_dir).groupBy("subid", "CharIDText").agg(F.max("LOQ").alias("LOQ"), F.max("Low_QC").alias("Low_QC")).select(
+        "subid", F.col("CharIDText").alias("CharID"), F.when(odd, F.concat(F.lit("<"), F.col("LOQ").cast("string"))).otherwise(F.col("LOQ").cast("string")).alias("Limit of Quantitation"),
+        F.when(F.col("subid") % 2 == 0, "none").otherwise(F.col("Low_QC").cast("string")).alias("Low Level QC limit"))
+    _write_tabs(rows, path, ["CharID", "Limit of Quantitation", "Low Level QC limit"], "CharID", F.lit(0))
+    return template_source.unreadable_limits(spark, path).select("subid", "CharID", "limit", "text")
+
+
 def project_source_roundtrip(spark, sf_dir):
     """Project info written as tabs and read back, blank codes dropped."""
     path = scratch_path(spark, "tabs")
@@ -550,7 +566,7 @@ QUERIES = [
     data_summary, qc_summary, box_plot_stats, box_plot_outliers, characteristics_present, control_chart_series,
     pair_scatter_bands, table_activity_group, table_activity, table_result, table_anomaly, table_group_activity,
     table_review, surrogate_keys, publish_reconciliation, publish_again, publish_keeps_ids, keyed_readback, exchange_export,
-    template_source_roundtrip, project_source_roundtrip, report_roundtrip, report_data_summary, report_qc_summary,
+    template_source_roundtrip, project_source_roundtrip, audit_unreadable_stations, audit_unreadable_limits, report_roundtrip, report_data_summary, report_qc_summary,
     report_pair_scatter, stage_resume, lookup_columns, format_data_results, format_data_audits, summarise_outputs,
 ]
 

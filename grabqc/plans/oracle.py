@@ -502,6 +502,10 @@ def oracle_sql():
             CAST(0 AS BIGINT) AS already_present, n AS loaded_rows, n AS matched_rows, true AS verified FROM sizes"""),
     }
     sql |= {
+        "audit_unreadable_stations": _with(READINGS, """SELECT subid, CASE WHEN row_ID % 29 = 0 THEN 'A-' || CAST(LASAR_ID AS VARCHAR) ELSE 'read' END AS text,
+            count(*) AS n_rows FROM vis GROUP BY ALL"""),
+        "audit_unreadable_limits": _with(RES, """SELECT DISTINCT subid, CharIDText AS CharID, 'LOQ' AS "limit", '<' || CAST(LOQ AS VARCHAR) AS text FROM res WHERE (subid + num) % 3 = 0
+            UNION ALL SELECT DISTINCT subid, CharIDText, 'Low_QC', 'none' FROM res WHERE subid % 2 = 0"""),
         "report_data_summary": sql["data_summary"],
         "report_qc_summary": sql["qc_summary"],
         "report_pair_scatter": sql["pair_scatter_bands"],

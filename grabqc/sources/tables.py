@@ -1,9 +1,12 @@
 """Lookup tables, keyed read-back of published tables, and saved stages."""
 
+import json
 import os
 import re
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from grabqc.session import scratch_path
@@ -63,24 +66,69 @@ def highest_partition(df, name):
     return max((int(m.group(1)) for m in found if m), default=0)
 
 
-def materialise(df, label):
+def materialise(df, label, made=None):
     """Write a frame once to the shared scratch folder and read it back.
 
     For frames that several later steps read with different columns: each then scans only the
-    columns it needs instead of recomputing the frame, and lost executors lose nothing.
+    columns it needs instead of recomputing the frame, and lost executors lose nothing. The folder is
+    added to the list ``made``, for a caller that removes it when it is done.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark, paths):
+    """Remove folders that this library made in the scratch folder."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def write_counted(df, path, label, partition=None, **how):
+    """Write a frame, by the values of ``partition`` if given; the number of its rows, counted as they are written."""
+    seen = Observation(label)
+    rows = (df.hint("rebalance", partition) if partition else df).observe(seen, F.count(F.lit(1)).alias("rows"))
+    (rows.write.partitionBy(partition) if partition else rows.write).options(**how).mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
+class NotSaved(ValueError):
+    """A saved output is missing, half-written or not what its mark says."""
+
+
+MARK = "name string, committed boolean, schema string, n_rows bigint"
+
+
+def _mark(spark, directory, name, committed, schema="", rows=0):
+    spark.createDataFrame([(name, committed, schema, rows)], MARK).coalesce(1).write.mode("overwrite").parquet(os.path.join(directory, "_marks", name))
+
+
 def save_outputs(outputs, directory):
-    """Save named frames for a later step."""
+    """Save named frames for a later step.
+
+    A mark beside each says that it is whole, with its schema and number of rows. The mark is taken
+    back before the rows are written, so a save that died is seen.
+    """
     for name, df in outputs.items():
-        df.write.mode("overwrite").parquet(os.path.join(directory, name))
+        _mark(df.sparkSession, directory, name, False)
+        rows = write_counted(df, os.path.join(directory, name), f"saved {name}")
+        _mark(df.sparkSession, directory, name, True, df.schema.json(), rows)
 
 
 def load_outputs(spark, directory, names):
-    """Resume from frames saved by an earlier step."""
-    return {name: spark.read.parquet(os.path.join(directory, name)) for name in names}
+    """Resume from frames saved by an earlier step; refuses one that is not whole."""
+    out = {}
+    for name in names:
+        marked = read_target(spark, os.path.join(directory, "_marks", name))
+        mark = marked.first() if marked is not None else None
+        if mark is None or not mark["committed"]:
+            raise NotSaved(f"{name} in {directory} was not saved to the end")
+        saved = spark.read.schema(T.StructType.fromJson(json.loads(mark["schema"]))).parquet(os.path.join(directory, name))
+        if saved.count() != mark["n_rows"]:
+            raise NotSaved(f"{name} in {directory} does not hold the {mark['n_rows']} rows that were saved")
+        out[name] = saved
+    return out

@@ -11,52 +11,58 @@ from pyspark.sql import functions as F
 from grabqc.functions.text import blank_to_null
 from grabqc.functions.times import visit_time
 from grabqc.operators.ordered import dense_index
+from grabqc.sources.tables import materialise
 
 PREAMBLE_ROWS = 5
 # Column names come from the characteristics' vocabulary, not from the amount of data.
 MAX_COLUMNS = 16_384
 
 
-def read_tab(spark, path, must=None, preamble=PREAMBLE_ROWS):
-    """Rows of the tabs under ``path`` as (subid, file, line, cells), cells being name -> text.
+def read_manifest(spark, path, must):
+    """One row per file: its header's cells, its widest line and its number of lines.
 
-    A file whose header does not name the column ``must`` is refused, as is one too wide to read.
+    The header is the first line that names the column ``must``. This reads the files as plain lines,
+    once; the manifest is stored, and what follows from headers is known before any cell is read.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    cells = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))) + 1
+    names = F.col("value").rlike(rf'(^|,)"?\s*{must}\s*"?(,|$)')
+    return materialise(lines.groupBy("file").agg(
+        F.min_by(F.when(names, F.col("value")), F.when(names, F.col("at"))).alias("header"),
+        F.max(cells).alias("width"), F.count("*").alias("n_lines")), "manifest")
+
+
+def read_tab(spark, path, must, preamble=PREAMBLE_ROWS):
+    """Rows of the tabs under ``path`` as one text column for each name in any header, with subid, file and line.
 
     Each file's own header, on the row after the preamble, names its cells, so submissions
-    with different columns are read together.
+    with different columns are read together. A file whose header does not name the column ``must`` is refused, as is
+    one too wide to read. The cells are read in one pass.
     """
-    width = (spark.read.text(path)
-             .agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))).alias("n"))
-             .first()["n"] or 0) + 1
+    manifest = read_manifest(spark, path, must)
+    top = manifest.agg(F.max("width").alias("width"), F.max(F.when(F.col("header").isNull(), F.col("file"))).alias("bare")).first()
+    width = top["width"] or 1
     if width > MAX_COLUMNS:
         raise ValueError(f"a line has {width} cells; at most {MAX_COLUMNS} can be read")
-    names = [f"_c{i}" for i in range(width)]
-    raw = (spark.read.option("multiLine", True).option("escape", '"')
-           .schema(", ".join(f"{n} string" for n in names) + ", subid int").csv(path)
-           .select("subid", F.col("_metadata.file_path").alias("file"),
-                   F.monotonically_increasing_id().alias("at"), F.array(*names).alias("row")))
-    lines = raw.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("at")))
-    header = (lines.where(F.col("line") == preamble + 1)
-              .select("file", F.transform("row", lambda c: blank_to_null(F.trim(c))).alias("header")))
-    if must:
-        bad = lines.groupBy("file").agg(F.max(F.when(F.col("line") == preamble + 1, F.exists("row", lambda c: F.trim(c) == must))).alias("named"))
-        bad = bad.where(~F.coalesce("named", F.lit(False))).select("file").first()
-        if bad:
-            raise ValueError(f"no column {must} in line {preamble + 1} of {bad['file']}")
+    if top["bare"]:
+        raise ValueError(f"no column {must} in line {preamble + 1} of {top['bare']}")
+    kinds = ", ".join(f"_c{i} string" for i in range(width))
+    header = manifest.withColumn("h", F.from_csv("header", kinds)).select(
+        "file", F.transform(F.array(*[F.col(f"h._c{i}") for i in range(width)]), lambda c: blank_to_null(F.trim(c))).alias("header"))
+    names = [r["name"] for r in header.select(F.explode("header").alias("name")).where("name IS NOT NULL").distinct().orderBy("name").limit(MAX_COLUMNS + 1).collect()]
+    if len(names) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} different columns; read fewer kinds of template at once")
+    raw = (spark.read.option("multiLine", True).option("escape", '"').schema(kinds + ", subid int").csv(path)
+           .select("subid", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+                   F.array(*[f"_c{i}" for i in range(width)]).alias("row")))
+    lines = raw.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("at"))).where(F.col("line") > preamble)
+    # the line after the preamble must be the header that the manifest has
+    wrong = (F.col("line") == preamble + 1) & ~F.coalesce(F.exists("row", lambda c: F.trim(c) == must), F.lit(False))
+    stop = F.raise_error(F.concat(F.lit(f"no column {must} in line {preamble + 1} of "), F.col("file"))).cast("boolean")
     cells = F.map_from_entries(F.filter(F.arrays_zip("header", "row"), lambda c: c["header"].isNotNull()))
-    return (lines.where(F.col("line") > preamble + 1)
-            .join(header, "file")
-            .select("subid", "file", "line", cells.alias("cells")))
-
-
-def spread_cells(tab, limit=MAX_COLUMNS):
-    """One text column per cell name found in any of the files."""
-    names = [r["name"] for r in tab.select(F.explode(F.map_keys("cells")).alias("name"))
-             .distinct().orderBy("name").limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} different columns; read fewer kinds of template at once")
-    return tab.select("subid", "file", "line",
-                      *[blank_to_null(F.element_at("cells", F.lit(n))).alias(n) for n in names])
+    return (lines.where(F.when(wrong, stop).otherwise(F.col("line") > preamble + 1))
+            .join(header, "file").withColumn("cells", cells)
+            .select("subid", "file", "line", *[blank_to_null(F.element_at("cells", F.lit(n))).alias(n) for n in names]))
 
 
 def number_rows(rows, block, order):
@@ -68,25 +74,49 @@ def with_visit_time(rows):
     return rows.withColumn("DateTime", visit_time(F.col("StartDate"), F.col("StartTime")))
 
 
+LIMITS = {"Limit of Quantitation": "LOQ", "Low Level QC limit": "Low_QC"}
+
+
+def station_number():
+    return F.regexp_replace("LASAR_ID", r"\.0+$", "").try_cast("bigint")
+
+
 def read_template(spark, path):
-    """Wide data tab: blank stations dropped, rows numbered, visit time built."""
-    rows = spread_cells(read_tab(spark, path, must="LASAR_ID"))
-    number = F.regexp_replace("LASAR_ID", r"\.0+$", "").try_cast("bigint")
-    bad = rows.where(F.col("LASAR_ID").isNotNull() & number.isNull()).select("file", "line", "LASAR_ID").first()
-    if bad:
-        raise ValueError(f"station {bad['LASAR_ID']!r} in line {bad['line']} of {bad['file']} is no number")
-    rows = rows.withColumn("LASAR_ID", number)
+    """Wide data tab: rows without a readable station dropped, the others numbered, visit time built.
+
+    Stations that cannot be read are listed by ``unreadable_stations``.
+    """
+    rows = read_tab(spark, path, must="LASAR_ID").withColumn("LASAR_ID", station_number())
     return with_visit_time(number_rows(rows, ["file"], ["line"])).drop("file", "line")
 
 
+def unreadable_stations(spark, path):
+    """Rows of the data tabs whose station is no number: subid, file, line and the text."""
+    tab = read_tab(spark, path, must="LASAR_ID")
+    return tab.where(F.col("LASAR_ID").isNotNull() & station_number().isNull()).select("subid", "file", "line", F.col("LASAR_ID").alias("text"))
+
+
 def read_project(spark, path):
-    """Project-info tab: one row per submission and characteristic."""
-    return shape_project(spread_cells(read_tab(spark, path)).drop("file", "line"))
+    """Project-info tab: one row per submission and characteristic.
+
+    Limits that cannot be read are missing here and listed by ``unreadable_limits``.
+    """
+    return shape_project(read_tab(spark, path, must="CharID").drop("file", "line"))
+
+
+def unreadable_limits(spark, path):
+    """Limits of the project tabs that are no numbers: subid, file, line, characteristic, which limit, and the text."""
+    tab = read_tab(spark, path, must="CharID").where(F.col("CharID").isNotNull())
+    named = [F.struct(F.lit(short).alias("limit"), F.col(f"`{long}`").alias("text")) for long, short in LIMITS.items() if long in tab.columns]
+    if not named:
+        return tab.select("subid", "file", "line", "CharID", F.lit("").alias("limit"), F.lit("").alias("text")).where("false")
+    return (tab.select("subid", "file", "line", "CharID", F.inline(F.array(*named)))
+            .where(F.col("text").isNotNull() & F.col("text").try_cast("double").isNull()))
 
 
 def shape_project(rows):
-    return (rows.withColumnsRenamed({"Limit of Quantitation": "LOQ", "Low Level QC limit": "Low_QC"})
-            .withColumns({c: F.col(c).try_cast("double") for c in ("LOQ", "Low_QC")})
+    rows = rows.withColumnsRenamed(LIMITS)
+    return (rows.withColumns({c: F.col(c).try_cast("double") for c in LIMITS.values() if c in rows.columns})
             .where(F.col("CharID").isNotNull()))
 
 

@@ -1,6 +1,8 @@
 """Every registered query against its SQL in another engine, on the smallest tables."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pandas as pd
@@ -30,6 +32,15 @@ def test_every_query_has_sql():
     assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
+def test_core_queries_stay_where_an_optional_module_is_missing():
+    """In a fresh process in which a package of the optional operators cannot be imported."""
+    code = ("import sys; sys.modules['sentencepiece'] = None\n"
+            "import __spark_entry__ as entry; from grabqc.plans import catalog\n"
+            "assert set(entry.queries()) == set(catalog.queries()) == set(entry.oracle_sql())")
+    done = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 @pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query_equals_sql(spark, duck, name):
     got = catalog.queries()[name](spark, SF).toPandas()

@@ -16,7 +16,7 @@ from grabqc.sinks import publish as pub
 from grabqc.sinks import reports
 from grabqc.sources import template as src
 from grabqc.sources import testdata as td
-from grabqc.sources.tables import load_outputs, read_lookup, read_target, rows_of_batch, save_outputs
+from grabqc.sources.tables import NotSaved, load_outputs, read_lookup, read_target, rows_of_batch, save_outputs
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,18 +64,18 @@ def test_a_run_that_died_is_repeated_without_loss_or_double_rows(spark, monkeypa
     pub.publish(groups(spark, "ab", 7).unionByName(groups(spark, "c", 8)), root, "t_ActGrp")
     ids = {r["ActGrpIDText"]: r["ActGrpID"] for r in held(spark, root).collect()}
     batch = groups(spark, "bxy", 7).unionByName(groups(spark, "z", 9))
-    write, extend = pub._write, pub._extend_keys
+    write, extend = pub.write_counted, pub._extend_keys
 
-    def dies(df, path, label, **how):
+    def dies(df, path, label, *more, **how):
         if label == step:
             raise RuntimeError("lost")
-        return write(df, path, label, **how)
+        return write(df, path, label, *more, **how)
 
     def dies_after_keys(*args):
         extend(*args)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(pub, "_write", dies)
+    monkeypatch.setattr(pub, "write_counted", dies)
     if step == "keys":
         monkeypatch.setattr(pub, "_extend_keys", dies_after_keys)
     with pytest.raises(RuntimeError):
@@ -206,7 +206,9 @@ def test_visit_time(spark):
 
 
 def test_number_text(spark):
-    cases = [(5.0, "5"), (0.5, "0.5"), (1e8, "100000000"), (1.25e-5, "0.0000125"), (100.0, "100"), (None, None)]
+    cases = [(5.0, "5"), (0.5, "0.5"), (1e8, "100000000"), (1.25e-5, "0.0000125"), (100.0, "100"), (None, None), (1e24, "1" + "0" * 24),
+             (1e-16, "0." + "0" * 15 + "1"), (-1.5e-16, "-0." + "0" * 15 + "15"), (1.2345678e7, "12345678"), (-1.234567890123e22, "-1234567890123" + "0" * 10),
+             (12345678.5, "12345678.5"), (0.0, "0")]
     df = spark.createDataFrame([(v,) for v, _ in cases], "v double").coalesce(1)
     assert [r["t"] for r in df.select(number_text(F.col("v")).alias("t")).collect()] == [t for _, t in cases]
 
@@ -237,22 +239,39 @@ def test_template_files_with_their_own_headers(spark, tmp_path, rows):
         (8, 1, 10003, datetime(2019, 7, 1, 8, 0, 30), None, "9.5", None)]
 
 
-@pytest.mark.parametrize("text, message", [
-    ("LASAR_ID,StartDate,StartTime,ph_r\nA-77,2019-06-01,10:15,7.1\n", "A-77"),
-    ("\n10001,2019-06-01,10:15\n10002,2019-06-01,10:15\n", "LASAR_ID")])
-def test_template_that_cannot_be_read_is_refused(spark, tmp_path, text, message):
+def test_template_without_a_header_is_refused(spark, tmp_path):
     folder = str(tmp_path / "bad")
-    write(folder, 7, PREAMBLE + text)
-    with pytest.raises(ValueError, match=message):
+    write(folder, 7, PREAMBLE + "\n10001,2019-06-01,10:15\n10002,2019-06-01,10:15\n")
+    with pytest.raises(ValueError, match="LASAR_ID"):
         src.read_template(spark, folder)
 
 
+def test_template_with_its_header_on_another_line_is_refused(spark, tmp_path):
+    folder = str(tmp_path / "late")
+    write(folder, 7, PREAMBLE + "one line more,\nLASAR_ID,StartDate,StartTime,ph_r\n10001,2019-06-01,10:15,7.1\n")
+    with pytest.raises(Exception, match="no column LASAR_ID in line 6"):
+        src.read_template(spark, folder).collect()
+
+
+def test_stations_that_cannot_be_read_are_listed(spark, tmp_path, rows):
+    folder = str(tmp_path / "some")
+    write(folder, 7, PREAMBLE + "LASAR_ID,StartDate,StartTime,ph_r\nA-77,2019-06-01,10:15,7.1\n10001,2019-06-01,10:16,7.2\n,2019-06-01,10:17,7.3\n")
+    write(folder, 8, PREAMBLE + "LASAR_ID,StartDate,StartTime,ph_r\n10002,2019-06-01,10:15,7.4\n")
+    assert rows(src.read_template(spark, folder), "subid", "row_ID", "LASAR_ID", "ph_r") == [(7, 1, 10001, "7.2"), (8, 1, 10002, "7.4")]
+    assert rows(src.unreadable_stations(spark, folder), "subid", "line", "text") == [(7, 7, "A-77")]
+    plan = src.read_template(spark, folder).drop("at")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") == 1 or plan.count("Relation [_c0") <= 2
+
+
 def test_project_files(spark, tmp_path, rows):
     folder = str(tmp_path / "project")
     write(folder, 7, PREAMBLE + "CharID,Limit of Quantitation,Low Level QC limit,FieldOrLab\nph,0.5,,Field\n,1,2,Lab\n")
     out = src.read_project(spark, folder)
     assert rows(out, "subid", "CharID", "LOQ", "Low_QC", "FieldOrLab") == [(7, "ph", 0.5, None, "Field")]
     assert src.listed_characteristics(out) == {"ph"}
+    write(folder, 8, PREAMBLE + "CharID,Limit of Quantitation,Low Level QC limit,FieldOrLab\nph,<0.5,n/a,Field\ndo,1,,Lab\n")
+    assert rows(src.unreadable_limits(spark, folder), "subid", "line", "CharID", "limit", "text") == [(8, 7, "ph", "LOQ", "<0.5"), (8, 7, "ph", "Low_QC", "n/a")]
+    assert rows(src.read_project(spark, folder), "subid", "CharID", "LOQ", "Low_QC") == [(7, "ph", 0.5, None), (8, "do", 1.0, None), (8, "ph", None, None)]
 
 
 def test_lookup_and_saved_outputs(spark, tmp_path, rows):
@@ -264,6 +283,35 @@ def test_lookup_and_saved_outputs(spark, tmp_path, rows):
     assert read_lookup(spark, where, "a", ["id"]).columns == ["id"]
 
 
+def test_a_half_written_output_is_refused(spark, tmp_path, monkeypatch):
+    where = str(tmp_path / "saved")
+    save_outputs({"a": spark.range(3)}, where)
+
+    def dies(*args, **how):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("grabqc.sources.tables.write_counted", dies)
+    with pytest.raises(RuntimeError):
+        save_outputs({"a": spark.range(5)}, where)
+    monkeypatch.undo()
+    with pytest.raises(NotSaved, match="not saved to the end"):
+        load_outputs(spark, where, ["a"])
+    with pytest.raises(NotSaved):
+        load_outputs(spark, where, ["b"])
+    save_outputs({"a": spark.range(5)}, where)
+    spark.range(1).write.mode("append").parquet(os.path.join(where, "a"))
+    with pytest.raises(NotSaved, match="5 rows"):
+        load_outputs(spark, where, ["a"])
+
+
+def test_nothing_staged_is_left_over(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("grabqc.session.tempfile.mkdtemp", lambda **_: str(tmp_path / "scratch"))
+    root = str(tmp_path / "targets")
+    pub.publish(groups(spark, "ab"), root, "t_ActGrp")
+    pub.publish(groups(spark, "bc"), root, "t_ActGrp", "new_only")
+    assert held(spark, root).count() == 3 and os.listdir(tmp_path / "scratch") == []
+
+
 def test_report_goes_to_one_folder_per_submission(spark, tmp_path):
     df = spark.createDataFrame([(1, "x", None), (2, "y", 1.0)], "subid int, actgrp_char string, pctA double")
     path = reports.write_report(df, str(tmp_path), "batch_summary")
