@@ -1,4 +1,5 @@
 import os
+import uuid
 from datetime import datetime
 
 import pytest
@@ -305,7 +306,8 @@ def test_a_half_written_output_is_refused(spark, tmp_path, monkeypatch):
 
 
 def test_nothing_staged_is_left_over(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("grabqc.session.tempfile.mkdtemp", lambda **_: str(tmp_path / "scratch"))
+    for module in ("grabqc.sinks.publish", "grabqc.sources.tables"):
+        monkeypatch.setattr(f"{module}.scratch_path", lambda _, label: str(tmp_path / "scratch" / f"{label}-{uuid.uuid4().hex}"))
     root = str(tmp_path / "targets")
     pub.publish(groups(spark, "ab"), root, "t_ActGrp")
     pub.publish(groups(spark, "bc"), root, "t_ActGrp", "new_only")
