@@ -1,6 +1,7 @@
 """Helpers the operators share."""
 
 import os
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,12 @@ def keep(df, label):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns, base):
+    """A name for a helper column that none of the columns has, in any case."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in chain([base], (f"{base}_{i}" for i in count(1))) if n.lower() not in taken)
+
+
 def utf8(text):
     """Bytes of a text; null is empty. Lone surrogates cannot come from Spark but may from callers."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

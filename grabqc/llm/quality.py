@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grabqc.llm.common import utf8
+from grabqc.llm.common import free_name, utf8
 
 FEATURES = ["bytes", "words", "word_length", "longest_word", "upper", "digits", "symbols", "beyond_ascii", "distinct_words",
             "commonest_word", "repeats", "bare_marks", "ends_in_mark", "lines", "line_length", "distinct_lines", "title_words"]
@@ -168,7 +168,9 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_id="doc_id", label
 
 
 def with_scores(docs, model, name="quality_score", text_col="text"):
-    """All columns of ``docs`` and, last, the score."""
+    """All columns of ``docs`` and, last, the score; ``name`` must be free."""
+    if free_name(docs.columns, name) != name:
+        raise ValueError(f"there is a column {name} already")
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -188,6 +190,10 @@ def classify(docs, labels, id_col="doc_id", text_col="text", threshold=0.3, **op
 
 
 def drop_rejected(docs, labels, id_col="doc_id", text_col="text", threshold=0.3, **options):
-    """The rows of ``docs`` that are not predicted to be bad. The name ``quality_score`` is taken."""
-    model = fit(docs, labels, id_col, text_col, **options)
-    return with_scores(docs, model, text_col=text_col).where(F.col("quality_score") >= threshold).drop("quality_score")
+    """The rows of ``docs`` that are not predicted to be bad, with their columns as they are.
+
+    Null and empty texts are scored like any other, so they stay or go by their score; repeated rows
+    share their fate; rows with a null id are scored too.
+    """
+    model, name = fit(docs, labels, id_col, text_col, **options), free_name(docs.columns, "quality_score")
+    return with_scores(docs, model, name, text_col).where(F.col(name) >= threshold).drop(name)

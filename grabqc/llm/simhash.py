@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grabqc.llm.common import keep, utf8
+from grabqc.llm.common import free_name, keep, utf8
 
 SEED = 42
 
@@ -227,16 +227,17 @@ def _grouped(rows, radius, tree_limit):
 def drop_near_duplicates(docs, id_col="doc_id", text_col="text", shingle=3, radius=2, tree_limit=4096):
     """The rows of ``docs`` without all but one of each group: the row with the smallest id.
 
-    Rows that share that id, or have none, are told apart by their place in a written copy.
-    Column names starting with ``near_dup_`` are taken.
+    Rows that share that id, or have none, are told apart by their place in a written copy. Null and
+    empty texts have fingerprint zero and count as copies of each other. Columns stay as they are.
     """
-    marked = docs.withColumn("near_dup_row", F.monotonically_increasing_id())
-    marked = keep(with_fingerprints(marked, text_col, "near_dup_print", shingle), "fingerprinted")
-    rows = marked.select(F.col("near_dup_row").alias("row"), F.col(id_col).alias("doc_id"), F.col("near_dup_print").alias("fp"))
+    place, print_ = free_name(docs.columns, "near_dup_row"), free_name(docs.columns, "near_dup_print")
+    marked = docs.withColumn(place, F.monotonically_increasing_id())
+    marked = keep(with_fingerprints(marked, text_col, print_, shingle), "fingerprinted")
+    rows = marked.select(F.col(place).alias("row"), F.col(id_col).alias("doc_id"), F.col(print_).alias("fp"))
     prints = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
     prints = keep(prints, "distinct-fingerprints")
     stars = connected(links(prints.select("fp"), radius, tree_limit))
     labelled = prints.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select(
         F.coalesce("root", "fp").alias("root"), "least")
-    kept = labelled.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("near_dup_row"))
-    return marked.join(kept, "near_dup_row", "left_semi").select(*docs.columns)
+    kept = labelled.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias(place))
+    return marked.join(kept, place, "left_semi").select(*docs.columns)
