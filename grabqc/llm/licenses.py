@@ -1,8 +1,9 @@
 """License scans: matching statistics from a suffix automaton of licence words.
 
-The automaton knows every run of words of every template. A text's words are streamed through
-it; at each word it knows the longest run that ends there and occurs in a template. Maximal runs
-of at least ``min_run`` words are chained, for each template, in the order of the text and of
+The automaton knows every run of words of every template, and all its places. A text's words are
+streamed through it; at each word it knows the longest run that ends there and occurs in a template, and by
+its suffix links the longest that ends there for each place of each other template. Runs
+of at least ``min_run`` words that go no further are chained, for each template, in the order of the text and of
 the template; a template of which a chain covers ``min_cover`` of the words gives its label.
 
 Before streaming, neighbouring words that are neighbours in no template are found at once; no
@@ -59,22 +60,21 @@ class Automaton:
     """Generalised suffix automaton of lists of words."""
 
     def __init__(self, texts):
-        self.next, self.link, self.length, self.ends = [{}], [-1], [0], [{}]
+        self.next, self.link, self.length, self.ends = [{}], [-1], [0], [set()]
         for t, words in enumerate(texts):
             last = 0
             for i, word in enumerate(words):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(t, i + 1)
+                self.ends[last].add((t, i + 1))
+        # a state's own places; those of the longer runs below it are its places too
         for state in sorted(range(1, len(self.link)), key=lambda v: -self.length[v]):
-            above = self.ends[self.link[state]]
-            for t, end in self.ends[state].items():
-                above[t] = min(above.get(t, end), end)
+            self.ends[self.link[state]] |= self.ends[state]
 
     def _state(self, following, link, length):
         self.next.append(following)
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self.ends.append(set())
         return len(self.link) - 1
 
     def _split(self, state, word):
@@ -144,6 +144,7 @@ class Scanner:
         self.labels = [label for label, _ in templates] + [label for _, label in phrases]
         self.texts, self.templates = texts, len(templates)
         self.min_run, self.min_cover = min_run, min_cover
+        self.shortest = min(map(len, texts[:self.templates]), default=min_run)
         self.automaton = Automaton(texts)
         self.phrase_at = {}
         for t in range(self.templates, len(texts)):
@@ -167,6 +168,21 @@ class Scanner:
         edges = np.flatnonzero(np.diff(np.concatenate([[False], together, [False]])))
         return [(int(a), int(b) + 1) for a, b in edges.reshape(-1, 2)]
 
+    def runs(self, state, length):
+        """(template, place after it, words) of the runs that end at a state: the longest that each place of each template holds.
+
+        Along the suffix links runs grow shorter and are held in more places.
+        """
+        least, met = min(self.min_run, self.shortest), set()
+        while state > 0 and length >= least:
+            for t, at in self.automaton.ends[state]:
+                if (t, at) not in met and t < self.templates:
+                    met.add((t, at))
+                    if length >= min(self.min_run, len(self.texts[t])):
+                        yield t, at, length
+            state = self.automaton.link[state]
+            length = self.automaton.length[state]
+
     def scan(self, text):
         words = words_of(text)
         places, base, matches = [], set(), {}
@@ -178,10 +194,11 @@ class Scanner:
                         if length >= n:
                             places.append(begin + i + 1 - n)
                             base.add(label)
-                if length >= min(self.min_run, 2) and (i + 1 == len(states) or states[i + 1][1] <= length):
-                    for t, at in self.automaton.ends[state].items():
-                        if t < self.templates and length >= min(self.min_run, len(self.texts[t])):
-                            matches.setdefault(t, []).append((begin + i + 1 - length, at - length, length))
+                following = words[begin + i + 1] if i + 1 < len(states) else None
+                for t, at, n in self.runs(state, length):
+                    # a run that goes on in the template is met again at the next word
+                    if at == len(self.texts[t]) or self.texts[t][at] != following:
+                        matches.setdefault(t, []).append((begin + i + 1 - n, at - n, n))
         spans, score = [], 1.0 if base else 0.0
         for t, found in sorted(matches.items()):
             total, first, end = chain(found)
