@@ -13,7 +13,8 @@ such an element; for pages without, those inside the group with most text that v
 pages that lack it the next such group, or else all slots; never those inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or comments, told by element and by
 whole words of class and id, alone or with usual words before and after them. No class or id drops
-html, body, main or article, nor what holds all of a page's main and article text. A page is read by the first of its host's sets of slots in which it has
+html, body, main or article, nor what holds all of a page's main and article text. Elements nested more than
+``DEEPEST`` deep are not told apart, but for those that drop or hold the main text. A page is read by the first of its host's sets of slots in which it has
 text. On a host with articles, text outside every element is no main text.
 
 Nulls: a null or empty page has an empty text; pages without a host share one wrapper. Broken
@@ -25,7 +26,7 @@ import html
 import json
 import re
 from difflib import SequenceMatcher
-from functools import lru_cache, reduce
+from functools import reduce
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -54,20 +55,36 @@ MAIN = ("article", "main")
 TOKENS = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>|<[!?][^>]*>?|(?P<text>[^<]+|<)", re.S | re.I)
-MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+DEEPEST = 200  # open elements that a path names one by one
+MARKS = re.compile(r"(?P<kind>class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def mark(name, rest):
-    """An element as the wrapper knows it: its name and the words of its class and id."""
-    words = sorted({w.lower() for m in MARKS.finditer(rest) for w in " ".join(filter(None, m.groups())).split()}) if "=" in rest else []
-    return ".".join([name, *words])
+    """An element as the wrapper knows it: its name and the words of its class, role and id that tell of a template.
+
+    A word with a digit in it and a word of an id mostly tell one page or element from the next; they count only if they
+    drop the element. Else each page would have paths of its own.
+    """
+    words = set()
+    for m in MARKS.finditer(rest) if "=" in rest else ():
+        kind, *texts = m.groups()
+        for word in " ".join(filter(None, texts)).lower().split():
+            if dropped_word(word) or kind.lower() != "id" and not any(map(str.isdigit, word)):
+                words.add(word)
+    return ".".join([name, *sorted(words)])
 
 
-@lru_cache(1 << 16)
 def dropped(element):
     """Whether an element is not main text by its name, or by a whole word of its class or id."""
-    name, *words = element.split(".")
-    return name in DROPPED or name not in KEPT and any(map(dropped_word, words))
+    if element not in SEEN:
+        if len(SEEN) >= 1 << 16:
+            SEEN.clear()
+        name, *words = element.split(".")
+        SEEN[element] = name in DROPPED or name not in KEPT and any(map(dropped_word, words))
+    return SEEN[element]
+
+
+SEEN = {}  # answers of a task; a plain dict goes to the workers by value, where a cache would be looked up by name
 
 
 def dropped_word(word):
@@ -75,55 +92,101 @@ def dropped_word(word):
     return word in DROPPED_WORDS or not parts.isdisjoint(DROPPED_WORDS) and parts <= DROPPED_WORDS | AFFIXES
 
 
+class Open:
+    """The open elements of a page, by mark and name.
+
+    A path names the ``DEEPEST`` outermost of them. Of those further in it names the first that is dropped, the first
+    article or main element and the first header, as these decide what is main text; what is nested
+    deeper than any real template then stays in the slot of the element around it.
+    """
+
+    def __init__(self):
+        self.marks, self.names, self.inline, self.told, self.path = [], [], 0, [], ()
+
+    def push(self, known):
+        name = known.split(".")[0]
+        self.marks.append(known)
+        self.names.append(name)
+        self.inline += name in INLINE
+        if len(self.marks) > DEEPEST:
+            kinds = [k for k, is_it in (("gone", dropped(known)), ("main", name in MAIN), ("header", name == "header")) if is_it]
+            if any(k not in before for k in kinds for before in [{k for _, ks, _ in self.told for k in ks}]):
+                self.told.append((len(self.marks), kinds, known))
+        self._changed()
+
+    def cut(self, size):
+        """Close all but the ``size`` outermost."""
+        if size < len(self.marks):
+            self.inline -= sum(n in INLINE for n in self.names[size:])
+            del self.marks[size:], self.names[size:]
+            while self.told and self.told[-1][0] > size:
+                self.told.pop()
+            self._changed()
+
+    def _changed(self):
+        path = (*self.marks[:DEEPEST], *(known for _, _, known in self.told))
+        self.path = path if path != self.path else self.path
+
+    def last(self, name):
+        """How many elements stand around the innermost of that name; None without one."""
+        for at in range(len(self.names) - 1, -1, -1):
+            if self.names[at] == name:
+                return at
+        return None
+
+
 def walk(page):
     """(path, text or None) in page order: a text at its path, or None where a block begins or ends.
 
     A path is the tuple of the open elements that are not inline. An inline element that is dropped
     is part of it, as are those inside, and begins no block, nor does what it holds.
     """
-    stack = []
+    opened = Open()
     for m in TOKENS.finditer(page):
         text = m["text"]
         if text is not None:
-            yield tuple(stack), text
+            yield opened.path, text
             continue
         name = m["name"]
         if name is None:
             continue
         name = name.lower()
+        single = name in VOID or m["rest"].rstrip().endswith("/")
         if name in INLINE:
             if name == "br":
-                yield tuple(stack), " "
+                yield opened.path, " "
                 continue
-            inline = next((i for i, e in enumerate(stack) if e.split(".")[0] in INLINE), len(stack))
-            if m["close"] or name == "a":  # a link ends the one before
-                del stack[next((i for i in range(len(stack) - 1, inline - 1, -1) if stack[i].split(".")[0] == name), len(stack)):]
-            if not m["close"] and name not in VOID and not m["rest"].rstrip().endswith("/"):
+            if opened.inline and (m["close"] or name == "a"):  # a link ends the one before
+                first = next(i for i, n in enumerate(opened.names) if n in INLINE)
+                at = opened.last(name)
+                if at is not None and at >= first:
+                    opened.cut(at)
+            if not m["close"] and not single:
                 known = mark(name, m["rest"])
-                if inline < len(stack) or dropped(known):
-                    stack.append(known)
+                if opened.inline or dropped(known):
+                    opened.push(known)
             continue
-        names = [e.split(".")[0] for e in stack]
-        if INLINE.isdisjoint(names):
-            yield tuple(stack), None
+        if not opened.inline:
+            yield opened.path, None
         if m["close"]:
-            if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name):]
+            at = opened.last(name)
+            if at is not None:
+                opened.cut(at)
             continue
-        if "p" in names:  # a block ends an open paragraph
-            at = len(names) - 1 - names[::-1].index("p")
-            if not SCOPES.intersection(names[at + 1:]):
-                del stack[at:], names[at:]
-        for at in range(len(names) - 1, -1, -1):
-            if names[at] in CLOSED_BY.get(name, ()):
-                del stack[at:]
-                break
-            if names[at] in SCOPES:
-                break
-        if INLINE.isdisjoint(e.split(".")[0] for e in stack):
-            yield tuple(stack), None  # what has ended by now
-        if name not in VOID and not m["rest"].rstrip().endswith("/"):
-            stack.append(mark(name, m["rest"]))
+        at = opened.last("p")  # a block ends an open paragraph
+        if at is not None and SCOPES.isdisjoint(opened.names[at + 1:]):
+            opened.cut(at)
+        if name in CLOSED_BY:
+            for at in range(len(opened.names) - 1, -1, -1):
+                if opened.names[at] in CLOSED_BY[name]:
+                    opened.cut(at)
+                    break
+                if opened.names[at] in SCOPES:
+                    break
+        if not opened.inline:
+            yield opened.path, None  # what has ended by now
+        if not single:
+            opened.push(mark(name, m["rest"]))
     yield (), None
 
 
