@@ -402,7 +402,7 @@ def _blocks(docs, id_col, text_col, block_bytes, extra=()):
                 ids.append(own)
                 texts.append(utf8(text))
                 size += len(texts[-1])
-                if size >= block_bytes:
+                if size >= block_bytes or len(ids) >= MOST_DOCUMENTS:
                     rows.append(batch.select(range(2, batch.num_columns)).slice(start, i + 1 - start) if extra else None)
                     yield row()
                     number, ids, texts, rows, size, start = number + 1, [], [], [], 0, i + 1
@@ -414,6 +414,8 @@ def _blocks(docs, id_col, text_col, block_bytes, extra=()):
     return picked.mapInArrow(run, schema)
 
 
+MOST_DOCUMENTS = 1 << 16  # in a block, however short
+
 BLOCK = ["ids", "sizes", "data", "copies"]
 
 
@@ -553,13 +555,18 @@ def removed(block, shared, runs, ranges):
     return np.cumsum(edges[:-1]) > 0
 
 
-def _prepared(docs, id_col, text_col, length, anchor, crowd, block_bytes, range_bytes, extra=()):
+def _prepared(docs, id_col, text_col, length, anchor, crowd, block_bytes, range_bytes, extra=(), bucket_bytes=32 << 20):
+    """Blocks stored in buckets, whose number follows the bytes of the texts. The catalog forgets the table at once."""
     spark = docs.sparkSession
     path = scratch_path(spark, "blocks")
     name = "grabqc_blocks_" + path.rsplit("-", 1)[1]
-    (_blocks(docs, id_col, text_col, block_bytes, extra).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // bucket_bytes + 1)
+    (_blocks(docs, id_col, text_col, block_bytes, extra).write.bucketBy(buckets, "block")
      .option("compression", "uncompressed").option("path", path).format("parquet").saveAsTable(name))
-    return _marked(spark.table(name), length, anchor, crowd, range_bytes)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return _marked(stored, length, anchor, crowd, range_bytes)
 
 
 def repeats(docs, id_col="doc_id", text_col="text", length=50, anchor=26, crowd=16_000, block_bytes=4 << 20, range_bytes=4 << 20):
