@@ -16,7 +16,8 @@ from grabqc.session import build_session  # noqa: E402
 
 HEADLINE = ["template_melt_results", "identifiers", "replicate_precision", "batch_summary", "interval_grade",
             "graded_results", "station_percentiles", "anomaly_counts", "final_grade", "data_summary", "qc_summary",
-            "box_plot_stats", "pair_scatter_bands", "table_activity", "table_result", "surrogate_keys", "template_metadata_long", "replicate_precision_of_many"]
+            "box_plot_stats", "pair_scatter_bands", "table_activity", "table_result", "surrogate_keys", "template_metadata_long", "replicate_precision_of_many",
+            "publish_again", "keyed_readback", "table_review"]
 
 
 def main():
