@@ -7,7 +7,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from grabqc.llm import centroids, codes, substrings
 
