@@ -13,7 +13,10 @@ such an element; for pages without, those inside the group with most text that v
 pages that lack it the next such group, or else all slots; never those inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles or comments, told by element and by
 whole words of class and id, alone or with usual words before and after them. No class or id drops
-html, body, main or article, nor what holds all of a page's main and article text. Elements nested more than
+html, body, main or article, nor what holds all of a page's main and article text. Nor are the slots main text that the wrapper
+knows as the template's own: those that every page of the host has, with the same text on each, where at least
+``ENOUGH`` pages with different main texts were aligned and most of their text varies. A page that has no other text keeps them.
+Elements nested more than
 ``DEEPEST`` deep are not told apart, but for those that drop or hold the main text. A page is read by the first of its host's sets of slots in which it has
 text. On a host with articles, text outside every element is no main text.
 
@@ -55,6 +58,7 @@ MAIN = ("article", "main")
 TOKENS = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>|<[!?][^>]*>?|(?P<text>[^<]+|<)", re.S | re.I)
+ENOUGH = 4  # pages with different main texts that tell a template's own text from an article's
 DEEPEST = 200  # open elements that a path names one by one
 MARKS = re.compile(r"(?P<kind>class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -271,54 +275,74 @@ def holds_main(node):
 
 
 def text_slots(wrapper, held=False):
-    """(path, text, letters) of the slots that may be main text.
+    """(path, text, letters, whether every page has it) of the slots that may be main text.
 
     With ``held``, no class or id drops an element that holds an article or main element.
     """
     slots = []
 
-    def visit(node, path, gone):
+    def visit(node, path, gone, everywhere):
         for child in node[3]:
             if child[0] == "#":
                 if not gone:
-                    slots.append((path, child[4], child[5]))
+                    slots.append((path, child[4], child[5], everywhere and not child[1]))
             else:
                 name = child[0].split(".")[0]
                 away = gone or name in DROPPED or name == "header" and not in_main(path) or dropped(child[0]) and not (held and holds_main(child))
-                visit(child, (*path, child[0]), away)
+                visit(child, (*path, child[0]), away, everywhere and not child[1])
 
-    visit(wrapper, (), False)
+    visit(wrapper, (), False, True)
     return slots
 
 
+def template_slots(slots):
+    """Paths of slots that are the template's own: on every page, with one text."""
+    return {p for p, _, _, _ in slots} - {p for p, text, _, everywhere in slots if text is None or not everywhere}
+
+
 def in_main(path):
     return any(e.split(".")[0] in MAIN for e in path)
 
 
 def kind(page):
     """0 for a page (its tree) with text in an article or main element, 1 if only a class or id of what holds it drops that, else 2."""
-    return next((k for k in (0, 1) if any(in_main(p) for p, _, _ in text_slots(page, k == 1))), 2)
+    return next((k for k in (0, 1) if any(in_main(p) for p, *_ in text_slots(page, k == 1))), 2)
+
+
+def main_digest(page, of):
+    """Digest of what may be main text of a page (its tree) of one kind."""
+    return digest(json.dumps([(p, text) for p, text, *_ in text_slots(page, of == 1) if of == 2 or in_main(p)]))
 
 
-def main_slots(wrapper, of):
-    """Disjoint sets of paths, the first for most pages: the main text's slots in the wrapper of the pages of one kind."""
+def main_slots(wrapper, of, enough=False):
+    """Disjoint sets of paths, the first for most pages: the main text's slots in the wrapper of the pages of one kind.
+
+    With ``enough`` pages behind the wrapper, slots of the template's own come last.
+    """
     slots = text_slots(wrapper, of == 1)
     if of < 2:
-        return [{p for p, _, _ in slots if in_main(p)}]
+        slots = [s for s in slots if in_main(s[0])]
+    own = template_slots(slots) if enough else set()
+    fixed = sum(size for p, _, size, _ in slots if p in own)
+    if 2 * fixed >= sum(size for _, _, size, _ in slots):  # copies of one page tell nothing of a template
+        own = set()
+    left = {p for p, *_ in slots} - own
+    if of < 2:
+        return [s for s in (left, own) if s]
     letters = {}
-    for path, text, size in slots:
+    for path, text, size, _ in slots:
         if text is None or len(slots) == 1:
             letters[path[:-1]] = letters.get(path[:-1], 0) + size
-    left, sets = {p for p, _, _ in slots}, []
+    sets = []
     for best in [*sorted(letters, key=lambda p: (letters[p], p), reverse=True), ()]:
         sets.append({p for p in left if p[:len(best)] == best})
         left -= sets[-1]
-    return [s for s in sets if s]
+    return [s for s in (*sets, own) if s]
 
 
-def host_slots(kinds):
-    """The sets of a host's wrappers, given by kind."""
-    sets = [s for k in sorted(kinds) for s in main_slots(kinds[k], k)]
+def host_slots(kinds, texts=None):
+    """The sets of a host's wrappers, given by kind, with digests of up to ``ENOUGH`` different main texts behind each."""
+    sets = [s for k in sorted(kinds) for s in main_slots(kinds[k], k, texts is not None and len(texts[k]) >= ENOUGH)]
     return [s - {()} for s in sets] if min(kinds) < 2 else sets
 
 
@@ -345,27 +369,31 @@ def host(url):
 def wrappers(pages, url_col="url", html_col="html"):
     """host, expression and sets of slots of each host's wrapper, from all its pages."""
     rows = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    partial = pa.schema([("host", pa.string()), ("kind", pa.int64()), ("tree", pa.string())])
+    partial = pa.schema([("host", pa.string()), ("kind", pa.int64()), ("tree", pa.string()), ("texts", pa.list_(pa.string()))])
 
     def align(batches):
-        known = {}
+        known, texts = {}, {}
         for batch in batches:
             for own, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if page:
                     new = tree(page)
                     key = own, kind(new)
                     known[key] = merge(known[key], new) if key in known else new
+                    if len(texts.setdefault(key, set())) < ENOUGH:
+                        texts[key].add(main_digest(new, key[1]))
         if known:
-            yield pa.RecordBatch.from_pylist([{"host": h, "kind": k, "tree": json.dumps(t)} for (h, k), t in known.items()], schema=partial)
+            yield pa.RecordBatch.from_pylist([{"host": key[0], "kind": key[1], "tree": json.dumps(t), "texts": sorted(texts[key])}
+                                              for key, t in known.items()], schema=partial)
 
     def finish(table):
-        kinds = {}
-        for k, text in sorted(zip(table.column("kind").to_pylist(), table.column("tree").to_pylist())):
+        kinds, texts = {}, {}
+        for k, text, own in sorted(zip(*[table.column(c).to_pylist() for c in ("kind", "tree", "texts")])):
             kinds[k] = merge(kinds[k], json.loads(text)) if k in kinds else json.loads(text)
+            texts.setdefault(k, set()).update(own)
         return pa.table({"host": [table.column("host")[0].as_py()], "expression": [expression(reduce(merge, kinds.values()))],
-                         "slots": [json.dumps([sorted(s) for s in host_slots(kinds)])]})
+                         "slots": [json.dumps([sorted(s) for s in host_slots(kinds, texts)])]})
 
-    return (rows.mapInArrow(align, "host string, kind long, tree string")
+    return (rows.mapInArrow(align, "host string, kind long, tree string, texts array<string>")
             .groupBy("host").applyInArrow(finish, "host string, expression string, slots string"))
 
 
