@@ -8,8 +8,9 @@ Of records with equal payloads one is written whole, that with the largest id, a
 revisits that name it and keep the payload's length in the HTTP header. Payloads meet by their
 digests and never move through a shuffle; equal digests are aggregated in parts first.
 
-Files are written by Spark's text writer in any file system Spark writes to, gzip-compressed, at
-most ``per_file`` records each, and read whole, one file at a time.
+Files are written by Spark's text writer in any file system Spark writes to, gzip-compressed, and read
+whole, one file at a time. An ARC file is closed at ``per_file`` records or ``file_bytes`` bytes, so it
+holds one record beyond that size at most, however long the payloads are; each becomes one WARC file.
 
 Nulls: a null payload is empty; a null url is empty and stays so; null ids count as smaller than
 any other, and are read back as null. A url's white space is percent-encoded, as a record line
@@ -23,10 +24,10 @@ import uuid
 import zlib
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from grabqc.llm.common import keep, map_batches, utf8
+from grabqc.llm.common import keep, utf8
 from grabqc.session import scratch_path
 
 # Version lines and fields of the two versions. Fixed values.
@@ -150,31 +151,45 @@ def _files(spark, path):
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
-def _write(records, path, line_end, per_file):
-    """Records, binary in column ``record``, as the lines of gzip-compressed files."""
-    (records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", line_end)
-     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", per_file).text(path))
+def _by_file(files, function, schema, columns):
+    """Run a function on each row of the files; it gives the lists of one batch, so that one file is held at a time."""
+    def run(batches):
+        for batch in batches:
+            for row in zip(*batch.columns):
+                lists = function(*[v.as_py() for v in row])
+                if len(lists[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(lists, schema)], schema=schema)
 
+    return files.mapInArrow(run, columns)
 
-def write_arc(pages, path, id_col="page_id", url_col="url", payload_col="html", per_file=500):
-    """Pages as ARC files; each ``per_file`` records open with a version block, versions in turn."""
-    def start():
-        state = {"n": 0, "version": b"2"}
 
-        def step(ids, urls, payloads):
-            out = []
-            for page_id, url, payload in zip(ids, urls, payloads):
-                if state["n"] % (per_file - 1) == 0:
-                    state["version"] = b"1" if state["version"] == b"2" else b"2"
-                    out.append(version_block(state["version"])[:-1])
-                state["n"] += 1
-                out.append(arc_record(state["version"], page_id, url, utf8(payload)))
-            return (out,)
+def _write(volumes, path, line_end):
+    """Whole files without their last line end, binary in column ``volume``, gzip-compressed, one file each."""
+    (volumes.select(F.col("volume").cast("string").alias("value")).write.option("lineSep", line_end)
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).text(path))
 
-        return step
 
-    records = map_batches(pages, [id_col, url_col, payload_col], start, T.StructType([T.StructField("record", T.BinaryType())]))
-    _write(records, path, "\n", per_file)
+def write_arc(pages, path, id_col="page_id", url_col="url", payload_col="html", per_file=500, file_bytes=16 << 20):
+    """Pages as ARC files; each opens with a version block, versions in turn."""
+    schema = pa.schema([("volume", pa.binary())])
+
+    def run(batches):
+        version, records, size = b"1", [], 0
+
+        def volume():
+            return pa.RecordBatch.from_arrays([pa.array([b"\n".join([version_block(version)[:-1], *records])], pa.binary())], schema=schema)
+
+        for batch in batches:
+            for page_id, url, payload in zip(*batch.columns):
+                records.append(arc_record(version, page_id.as_py(), url.as_py(), utf8(payload.as_py())))
+                size += len(records[-1])
+                if len(records) >= per_file or size >= file_bytes:
+                    yield volume()
+                    version, records, size = b"2" if version == b"1" else b"1", [], 0
+        if records:
+            yield volume()
+
+    _write(pages.select(id_col, url_col, payload_col).mapInArrow(run, "volume binary"), path, "\n")
 
 
 def _page_id(url):
@@ -185,23 +200,19 @@ def _page_id(url):
 
 def _index(files):
     """One row for each ARC record: its place, its payload's digest and length, its address."""
-    def start():
-        def step(paths, contents):
-            out = []
-            for path, content in zip(paths, contents):
-                for i, (fields, block) in enumerate(read_arc(unzip(content))):
-                    payload = payload_of(block)
-                    out.append((path, i, hashlib.sha1(payload).digest(), len(payload), _page_id(fields[b"URL"]), fields[b"URL"]))
-            return [list(v) for v in zip(*out)] or [[]] * 6
-        return step
+    def step(path, content):
+        out = []
+        for i, (fields, block) in enumerate(read_arc(unzip(content))):
+            payload = payload_of(block)
+            out.append((path, i, hashlib.sha1(payload).digest(), len(payload), _page_id(fields[b"URL"]), fields[b"URL"]))
+        return list(zip(*out)) or [()] * 6
 
-    return map_batches(files, ["path", "content"], start, T.StructType([
-        T.StructField("path", T.StringType()), T.StructField("place", T.LongType()), T.StructField("digest", T.BinaryType()),
-        T.StructField("bytes", T.LongType()), T.StructField("page_id", T.LongType()), T.StructField("url", T.BinaryType())]))
+    schema = pa.schema([("path", pa.string()), ("place", pa.int64()), ("digest", pa.binary()), ("bytes", pa.int64()), ("page_id", pa.int64()), ("url", pa.binary())])
+    return _by_file(files.select("path", "content"), step, schema, "path string, place long, digest binary, bytes long, page_id long, url binary")
 
 
-def convert(spark, arc_path, warc_path, min_bytes=0, per_file=500):
-    """ARC files under ``arc_path`` as WARC files under ``warc_path``.
+def convert(spark, arc_path, warc_path, min_bytes=0):
+    """ARC files under ``arc_path`` as WARC files under ``warc_path``, one for one.
 
     Records whose payloads have at least ``min_bytes`` bytes and occur again become revisits,
     but for the one with the largest id.
@@ -213,45 +224,37 @@ def convert(spark, arc_path, warc_path, min_bytes=0, per_file=500):
     revisits = (index.join(top, ["digest", "bytes"]).where("NOT (path = top.path AND place = top.place)")
                 .groupBy("path").agg(F.collect_list(F.struct("place", F.col("top.url").alias("url"))).alias("revisits")))
 
-    def start():
-        def step(contents, revisits):
-            out = []
-            for content, own in zip(contents, revisits):
-                response = {r["place"]: r["url"] for r in own or ()}
-                out += [warc_record(fields, block, response.get(i)) for i, (fields, block) in enumerate(read_arc(unzip(content)))]
-            return (out,)
-        return step
+    def step(content, own):
+        response = {r["place"]: r["url"] for r in own or ()}
+        records = [warc_record(fields, block, response.get(i)) for i, (fields, block) in enumerate(read_arc(unzip(content)))]
+        return ([b"\r\n\r\n".join(records)] if records else [],)
 
     # the revisits of a file are at most its records, so the files' bytes are the large side
-    joined = files.join(revisits, "path", "left")
-    _write(map_batches(joined, ["content", "revisits"], start, T.StructType([T.StructField("record", T.BinaryType())])),
-           warc_path, "\r\n\r\n", per_file)
+    joined = files.join(revisits, "path", "left").select("content", "revisits")
+    _write(_by_file(joined, step, pa.schema([("volume", pa.binary())]), "volume binary"), warc_path, "\r\n\r\n")
 
 
 def read_back(spark, path):
     """One row for each record of WARC files, with the payload of responses."""
-    def start():
-        def step(contents):
-            out = []
-            for content in contents:
-                for headers, block in read_warc(unzip(content)):
-                    kind = headers[b"WARC-Type"].decode()
-                    http, payload = block.split(b"\r\n\r\n", 1)
-                    declared = int(http.rsplit(b"Content-Length: ", 1)[1].split(b"\r\n")[0])
-                    digest = headers[b"WARC-Payload-Digest"].decode().removeprefix("sha1:")
-                    if kind == "response" and (len(payload) != declared or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
-                        raise ValueError("payload differs from its record's header")
-                    refers = headers.get(b"WARC-Refers-To-Target-URI")
-                    url = headers[b"WARC-Target-URI"]
-                    out.append((_page_id(url), url.rsplit(b"#", 1)[0].decode("utf-8", "replace"), kind, declared, digest,
-                                None if refers is None else _page_id(refers), payload if kind == "response" else None))
-            return [list(v) for v in zip(*out)] or [[]] * 7
-        return step
-
-    return map_batches(_files(spark, path), ["content"], start, T.StructType([
-        T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("record_type", T.StringType()),
-        T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()),
-        T.StructField("refers_to", T.LongType()), T.StructField("payload", T.BinaryType())]))
+    def step(content):
+        out = []
+        for headers, block in read_warc(unzip(content)):
+            kind = headers[b"WARC-Type"].decode()
+            http, payload = block.split(b"\r\n\r\n", 1)
+            declared = int(http.rsplit(b"Content-Length: ", 1)[1].split(b"\r\n")[0])
+            digest = headers[b"WARC-Payload-Digest"].decode().removeprefix("sha1:")
+            if kind == "response" and (len(payload) != declared or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
+                raise ValueError("payload differs from its record's header")
+            refers = headers.get(b"WARC-Refers-To-Target-URI")
+            url = headers[b"WARC-Target-URI"]
+            out.append((_page_id(url), url.rsplit(b"#", 1)[0].decode("utf-8", "replace"), kind, declared, digest,
+                        None if refers is None else _page_id(refers), payload if kind == "response" else None))
+        return list(zip(*out)) or [()] * 7
+
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
+                        ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+    return _by_file(_files(spark, path).select("content"), step, schema,
+                    "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
 def round_trip(pages, min_bytes=0, id_col="page_id", url_col="url", payload_col="html"):
