@@ -59,6 +59,7 @@ TOKENS = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>|<[!?][^>]*>?|(?P<text>[^<]+|<)", re.S | re.I)
 ENOUGH = 4  # pages with different main texts that tell a template's own text from an article's
+PARTS = 64  # tasks that align the partial wrappers of one host
 DEEPEST = 200  # open elements that a path names one by one
 MARKS = re.compile(r"(?P<kind>class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -385,15 +386,26 @@ def wrappers(pages, url_col="url", html_col="html"):
             yield pa.RecordBatch.from_pylist([{"host": key[0], "kind": key[1], "tree": json.dumps(t), "texts": sorted(texts[key])}
                                               for key, t in known.items()], schema=partial)
 
-    def finish(table):
+    def together(table):
         kinds, texts = {}, {}
         for k, text, own in sorted(zip(*[table.column(c).to_pylist() for c in ("kind", "tree", "texts")])):
             kinds[k] = merge(kinds[k], json.loads(text)) if k in kinds else json.loads(text)
             texts.setdefault(k, set()).update(own)
+        return kinds, texts
+
+    def halfway(table):
+        kinds, texts = together(table)
+        own = table.column("host")[0].as_py()
+        return pa.Table.from_pylist([{"host": own, "kind": k, "tree": json.dumps(t), "texts": sorted(texts[k])[:ENOUGH]} for k, t in kinds.items()], schema=partial)
+
+    def finish(table):
+        kinds, texts = together(table)
         return pa.table({"host": [table.column("host")[0].as_py()], "expression": [expression(reduce(merge, kinds.values()))],
                          "slots": [json.dumps([sorted(s) for s in host_slots(kinds, texts)])]})
 
-    return (rows.mapInArrow(align, "host string, kind long, tree string, texts array<string>")
+    # the partial wrappers of a host that all tasks read meet in two steps
+    columns = "host string, kind long, tree string, texts array<string>"
+    return (rows.mapInArrow(align, columns).groupBy("host", F.pmod(F.spark_partition_id(), F.lit(PARTS))).applyInArrow(halfway, columns)
             .groupBy("host").applyInArrow(finish, "host string, expression string, slots string"))
 
 
