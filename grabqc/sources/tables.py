@@ -26,12 +26,21 @@ def read_lookup(spark, directory, table, columns=None, jdbc=None):
     return df.select(*columns) if columns else df
 
 
+def _located(spark, path):
+    """A path and its file system, which may be any that Spark writes to."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def read_target(spark, path):
     """A published table, or None when nothing has been published yet."""
+    where, system = _located(spark, path)
+    if not system.exists(where):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        if "UNABLE_TO_INFER_SCHEMA" in str(error):  # the folder of a write that died
             return None
         raise
 
@@ -84,8 +93,8 @@ def materialise(df, label, made=None):
 def remove(spark, paths):
     """Remove folders that this library made in the scratch folder."""
     for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        where, system = _located(spark, path)
+        system.delete(where, True)
 
 
 def write_counted(df, path, label, partition=None, **how):

@@ -319,3 +319,11 @@ def test_report_goes_to_one_folder_per_submission(spark, tmp_path):
     path = reports.write_report(df, str(tmp_path), "batch_summary")
     assert sorted(p for p in os.listdir(path) if p.startswith("subid")) == ["subid=1", "subid=2"]
     assert "NA" in " ".join(r["value"] for r in spark.read.text(path).collect())
+
+
+def test_a_target_that_is_not_there_yet(spark, tmp_path):
+    assert read_target(spark, str(tmp_path / "none")) is None
+    (tmp_path / "died" / "_temporary" / "0").mkdir(parents=True)
+    assert read_target(spark, str(tmp_path / "died")) is None
+    spark.range(3).write.parquet(str(tmp_path / "held"))
+    assert read_target(spark, str(tmp_path / "held")).count() == 3
