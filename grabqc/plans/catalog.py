@@ -49,9 +49,14 @@ def _graded_pairs(spark, sf_dir, res=None, several=False):
     return precision.graded_pairs(res, td.characteristics(spark), td.precision_criteria(spark, several))
 
 
+GRADED_COLUMNS = [*PAIR_KEY, "Char", "sample_type", "actgrp_char", "LASAR_ID", "DateTime", "Low_QC", "result_id", "Result"]
+
+
 def _batches(spark, sf_dir):
-    graded = materialise(_graded_pairs(spark, sf_dir), "pairs")
-    return graded, materialise(grading.batches(graded), "batches")
+    """The columns of the results that grading reads, stored once, their graded pairs and batches."""
+    res = materialise(td.results(spark, sf_dir).select(*GRADED_COLUMNS), "results")
+    graded = materialise(_graded_pairs(spark, sf_dir, res), "pairs")
+    return res, graded, materialise(grading.batches(graded), "batches")
 
 
 def _grade(spark, sf_dir):
@@ -147,11 +152,12 @@ def audit_unknown_char(spark, sf_dir):
 
 
 def audit_required_nulls(spark, sf_dir):
-    res = td.results(spark, sf_dir).withColumn("final_DQL", F.lit(None).cast("string"))
+    res = materialise(td.results(spark, sf_dir), "results").withColumn("final_DQL", F.lit(None).cast("string"))
     none = spark.range(0).select(F.lit(0).alias("subid"), F.col("id").alias("row_ID"), F.lit("").alias("CharIDText"), F.lit("").alias("result_id"),
                                  F.lit(0.0).alias("prec_val"), F.lit("").alias("prec_DQL"))
     shaped = tables.result_table(res, td.characteristics(spark), td.units(spark), td.methods(spark, complete=False), none, keyed=True)
-    keyed = assign_ids(_activity_keys(res).where("submission <> 1995"), "row_key", "ActivityID")
+    activities = materialise(_activity_keys(res).where("submission <> 1995"), "activities")
+    keyed = assign_ids(activities, "row_key", "ActivityID")
     return plain(audits.missing_required(tables.with_activity_ids(shaped, keyed)).select(
         "ResultIDText", "ActivityID", "CharID", "MethodID", "Result"), "ActivityID", "MethodID")
 
@@ -196,15 +202,15 @@ def batch_summary(spark, sf_dir):
 
 
 def qc_applicability(spark, sf_dir):
-    return plain(grading.qc_applicability(*_batches(spark, sf_dir)))
+    graded = materialise(_graded_pairs(spark, sf_dir), "pairs")
+    return plain(grading.qc_applicability(graded, materialise(grading.batches(graded), "batches")))
 
 
 def _interval(spark, sf_dir, overlaps):
-    graded, batch_rows = _batches(spark, sf_dir)
+    res, graded, batch_rows = _batches(spark, sf_dir)
     covered = grading.covering_windows(graded, batch_rows, grading.qc_applicability(graded, batch_rows))
     grades = grading.interval_grades(covered, overlaps)
-    return (td.results(spark, sf_dir).select(*PAIR_KEY, "sample_type", "actgrp_char", "DateTime")
-            .join(grades, grading.INSTANT_KEY)
+    return (res.join(grades, grading.INSTANT_KEY)
             .select(*PAIR_KEY, "sample_type", "actgrp_char", "prec_DQL", *[c for c in grades.columns if c == "periods"]))
 
 
@@ -217,9 +223,9 @@ def interval_grade_overlaps(spark, sf_dir):
 
 
 def graded_results(spark, sf_dir):
-    graded, batch_rows = _batches(spark, sf_dir)
+    res, graded, batch_rows = _batches(spark, sf_dir)
     covered = grading.covering_windows(graded, batch_rows, grading.qc_applicability(graded, batch_rows))
-    out = grading.grade_results(td.results(spark, sf_dir), graded, batch_rows, grading.interval_grades(covered))
+    out = grading.grade_results(res, graded, batch_rows, grading.interval_grades(covered))
     return out.select(*PAIR_KEY, "sample_type", "actgrp_char", "Result", "grp_count", "sumofQC", "prelim_dql")
 
 
@@ -337,7 +343,7 @@ def _activity_keys(res):
 
 
 def table_group_activity(spark, sf_dir):
-    res = td.results(spark, sf_dir)
+    res = materialise(td.results(spark, sf_dir), "results")
     groups = assign_ids(materialise(tables.activity_group_table(res, keyed=True), "groups"), "row_key", "ActGrpID")
     activities = assign_ids(materialise(_activity_keys(res), "activities"), "row_key", "ActivityID")
     return tables.group_activity_table(res, activities, groups).drop("submission")
@@ -352,7 +358,7 @@ def table_review(spark, sf_dir):
 
 
 def surrogate_keys(spark, sf_dir):
-    ids = td.results(spark, sf_dir).select(F.col("act_id").alias("ActivityIDText")).distinct()
+    ids = materialise(td.results(spark, sf_dir).select(F.col("act_id").alias("ActivityIDText")).distinct(), "activities")
     return assign_ids(ids, "ActivityIDText", "ActivityID", start=100)
 
 
