@@ -1,10 +1,11 @@
 """Checks of the long results that must come back empty before grading or loading."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grabqc.operators.identity import UNBATCHED
-from grabqc.operators.joins import join_null_safe
 from grabqc.operators.percentiles import any_of
+from grabqc.sources.tables import spread
 
 READING_KEY = ["subid", "row_ID", "LASAR_ID", "DateTime", "CharIDText", "sample_type"]
 # The same reading entered in two template rows is only seen when the row number is left out.
@@ -20,11 +21,12 @@ def unbatched(results):
 def repeated(results, keys):
     """All rows of every key that occurs more than once.
 
-    Keys are counted first (aggregated before the shuffle); rows are then kept by a semi-join,
-    whose row side adaptive execution may split when one key is very frequent.
+    Rows are dealt out by key once and counted where they are; the rows of one key meet in one task. Tasks are as many as
+    the input asks for, so what one sorts does not grow with it.
     """
-    again = results.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > 1).drop("__n")
-    return join_null_safe(results, again, keys, "left_semi")
+    kinds = dict(results.dtypes)  # numbers with a fraction are dealt by another hash in windows
+    return (spread(results, *[k for k in keys if kinds[k] not in ("double", "float")]).withColumn("__n", F.count("*").over(Window.partitionBy(*keys)))
+            .where(F.col("__n") > 1).drop("__n"))
 
 
 def repeated_results(results, across_rows=False):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grabqc.operators import audits, identity, reshape
+from grabqc.sources import tables
 
 VISIT = "subid int, row_ID bigint, LASAR_ID bigint, DateTime timestamp_ntz, samplers string, DEQ_Comment string, Org_Comment string"
 FIRST = (7, 1, 10001, datetime(2019, 6, 1, 10, 15), "crew", "agency note", None)
@@ -120,3 +121,16 @@ def test_unreadable_readings_are_listed(spark, rows):
     df = spark.createDataFrame([(1, 1, "<0.5", "7"), (1, 2, "0.5", " "), (1, 3, None, "n/a")], "subid int, row_ID bigint, ph_r string, do_r string")
     out = reshape.unreadable_results(df, {"ph", "do"})
     assert rows(out, "row_ID", "Char", "text") == [(1, "ph_r", "<0.5"), (3, "do_r", "n/a")]
+
+
+def test_repeated_readings_are_counted_in_tasks_that_grow_with_the_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    spark.range(40_000).select(
+        F.lit(1).alias("subid"), F.expr("id div 2 * if(id < 40, 1, 2) + if(id < 40, 0, id % 2)").alias("row_ID"), F.lit(5).alias("LASAR_ID"),
+        F.lit(None).cast("timestamp_ntz").alias("DateTime"), F.lit("c1").alias("CharIDText"), F.lit("sample").alias("sample_type"),
+        F.col("id").cast("double").alias("Result")).write.parquet(path)
+    monkeypatch.setattr(tables, "SPREAD", 10_000)
+    found = audits.repeated_keys(spark.read.parquet(path))
+    assert sorted(r["Result"] for r in found.collect()) == [float(i) for i in range(40)]
+    files = sum(f.stat().st_size for f in (tmp_path / "r").glob("*.parquet"))
+    assert found.rdd.getNumPartitions() >= files // 10_000 > 4
