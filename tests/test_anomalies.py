@@ -63,3 +63,15 @@ def test_percentiles_stay_within_the_submission(spark, ranges):
     for r in A.station_percentiles(counts).collect():
         mine = [v for s, st, _, v in data if (s, st) == (r["subid"], r["LASAR_ID"])]
         assert [r[k] for k in A.STATION_PERCENTILES] == pytest.approx([quantile(mine, p) for p in A.STATION_PERCENTILES.values()])
+
+
+def test_limits_of_few_stations_leave_the_results_where_they_are(spark, tmp_path):
+    spark.range(4000).selectExpr(
+        "1 AS subid", "id AS row_ID", "id % 9 AS LASAR_ID", "'ph' AS CharIDText", "double(id % 50) AS Result", "2.0D AS LOQ").write.parquet(str(tmp_path / "r"))
+    res = spark.read.parquet(str(tmp_path / "r"))
+    limits = spark.createDataFrame([tuple([1, 1, "ph"] + [None] * 10)], "AnomCritID int, charid int, charidText string, " + ", ".join(
+        f"{c} double" for c in A.CRITERIA_COLUMNS[2:]))
+    limits.write.parquet(str(tmp_path / "c"))
+    limited = A.with_limits(res, spark.read.parquet(str(tmp_path / "c")), A.station_counts(res))
+    assert "Exchange hashpartitioning" not in limited._jdf.queryExecution().executedPlan().toString()
+    assert limited.count() == 4000 and limited.where("S_percen_95th IS NULL OR percen_5th IS NULL").isEmpty()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from grabqc.operators import ordered
 from grabqc.operators.joins import join_null_safe
 from grabqc.operators.percentiles import roll_up, summarise_counts, value_counts
+from grabqc.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -106,3 +107,32 @@ def test_null_safe_join(spark, rows):
     right = spark.createDataFrame([(1, "p"), (None, "q")], "k int, b string")
     assert rows(join_null_safe(left, right, ["k"])) == [(None, "y", "q"), (1, "x", "p")]
     assert join_null_safe(left, right, ["k"], "left_semi").columns == ["k", "a"]
+
+
+def shuffles(df):
+    """Shuffles that the plan of a frame asks for."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_rows_whose_keys_are_there_are_shuffled_once(spark, tmp_path):
+    """Besides the rows, only what is carried from part to part is shuffled: its sums, and these by group."""
+    rows = spark.range(200).select(F.expr("id % 3").alias("k"), F.col("id").alias("i"))
+    ranged = ordered.in_ranges(rows, ["k"], ["i"], "t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for call in (lambda n: ordered.running_totals(ranged, ["k"], ["i"], {"s": F.col("i")}, nullable=n),
+                 lambda n: ordered.neighbours(ranged, ["k"], ["i"], ["i"], nullable=n)):
+        some, none = call(None), call([])
+        assert sorted(map(str, some.collect())) == sorted(map(str, none.collect()))
+        assert shuffles(call([])) < shuffles(call(None))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tasks_grow_with_the_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    spark.range(50_000).write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "r").glob("*.parquet"))
+    monkeypatch.setattr(tables, "SPREAD", size // 40)
+    spread = tables.spread(spark.read.parquet(path), "id")
+    assert 40 <= spread.rdd.getNumPartitions() <= 42 and spread.count() == 50_000
+    monkeypatch.setattr(tables, "SPREAD", 2 * size)
+    assert tables.spread(spark.read.parquet(path), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

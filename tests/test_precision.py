@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from helpers import criteria, result, results
+from helpers import RESULT_SCHEMA, criteria, result, results
 
 from grabqc.operators import precision as P
 
@@ -78,3 +78,14 @@ def test_signed_series_grades_on_sign_or_size(spark):
     assert P.signed_series(out, grade_on="abs").first()["prec_DQL"] == "C"
     with pytest.raises(ValueError):
         P.signed_series(out, grade_on="other")
+
+
+def test_pairs_of_results_without_ids_are_the_same(spark):
+    """The template cell tells readings apart where there is no id."""
+    rows = [r + (f"c{i}",) for i, r in enumerate([result(1, 5), result(1, 9, "dup"), result(1, 12, "dup"), result(2, 7)])]
+    res = spark.createDataFrame(rows, RESULT_SCHEMA + ", Char string")
+    tables_ = criteria(spark, [("ph", "AbsDiff", 5.0, 15.0)])
+    own, without = P.graded_pairs(res, *tables_), P.graded_pairs(res.drop("result_id"), *tables_)
+    assert "result_id" not in without.columns and "result_id" in own.columns
+    assert sorted(map(str, own.drop("result_id").collect())) == sorted(map(str, without.collect()))
+    assert P.replicate_precision(without).count() == 2
