@@ -327,3 +327,38 @@ def test_a_target_that_is_not_there_yet(spark, tmp_path):
     assert read_target(spark, str(tmp_path / "died")) is None
     spark.range(3).write.parquet(str(tmp_path / "held"))
     assert read_target(spark, str(tmp_path / "held")).count() == 3
+
+
+def test_a_first_batch_gets_its_ids_where_it_is_staged(spark):
+    """Ids follow from the places of the staged rows, so no row is moved; with some keys known, new rows take the next ids."""
+    root, stage = scratch_path(spark, "t"), scratch_path(spark, "stage")
+    batch = spark.range(500).selectExpr("cast(id % 3 AS int) AS submission", "cast(id AS string) AS ActGrpIDText", "'day' AS ActGrpComment", "311 AS ActGrpTypeID")
+    batch = batch.withColumn("row_key", row_key("submission", "ActGrpIDText")).repartition(5)
+    assert pub.write_counted(batch, stage, "staged", "submission", placed=True) == 500
+    staged = spark.read.parquet(stage)
+    keyed, gathered = pub._extend_keys(staged, 500, root, "t_ActGrp", [0, 1, 2], [])
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert gathered and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert sorted(r["ActGrpID"] for r in keyed.collect()) == list(range(1, 501))
+    given = pub.key_map(spark, root, "t_ActGrp", [0, 1, 2]).join(staged.select("row_key", "ActGrpIDText"), "row_key")
+    assert {(r["ActGrpIDText"], r["ActGrpID"]) for r in given.collect()} == {(r["ActGrpIDText"], r["ActGrpID"]) for r in keyed.collect()}
+    keyed, gathered = pub._extend_keys(staged, 500, root, "t_ActGrp", [0, 1, 2], [])
+    assert not gathered and keyed.count() == 500 and pub.key_map(spark, root, "t_ActGrp", [0, 1, 2]).count() == 500
+
+
+def test_a_batch_is_read_back_by_its_keys(spark, rows):
+    """A published table holds more than the batch, also in the batch's submissions; a key that was never published brings no row."""
+    root = scratch_path(spark, "t")
+    pub.publish(groups(spark, "abc", 1).unionByName(groups(spark, "ab", 2)).unionByName(groups(spark, "a", 3)), root, "t_ActGrp")
+    batch = groups(spark, "bcx", 1).unionByName(groups(spark, "a", 2)).unionByName(groups(spark, "a", 2))
+    back = pub.published_batch(spark, root, "t_ActGrp", batch)
+    assert rows(back, "submission", "ActGrpIDText") == [(1, "b"), (1, "c"), (2, "a")]
+
+
+def test_rows_are_compared_with_those_held(spark):
+    """Missing values are alike; a row held twice is seen, and one that is not held does not match."""
+    frame = lambda items: spark.createDataFrame(items, "submission int, a bigint, b string")
+    batch = frame([(1, 1, "x"), (1, None, "x"), (1, 2, None)])
+    assert pub._compared(batch, frame([(1, 1, "x"), (1, None, "x"), (1, 2, None), (1, 9, "z")]), ["submission", "a", "b"]) == (3, False)
+    assert pub._compared(batch, frame([(1, 1, "x"), (1, 1, "x"), (2, None, "x")]), ["submission", "a", "b"]) == (1, True)
+    assert pub._compared(batch.where("false"), batch.where("false"), ["submission", "a", "b"]) == (0, False)
