@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from grabqc import schemas
 from grabqc.functions.text import number_text, paste
 from grabqc.functions.times import time_zone_id, visit_time
-from grabqc.operators import tables
+from grabqc.operators import identity, tables
 from grabqc.operators.identity import row_key
 from grabqc.plans import catalog, workflow
 from grabqc.session import scratch_path
@@ -362,3 +362,40 @@ def test_rows_are_compared_with_those_held(spark):
     assert pub._compared(batch, frame([(1, 1, "x"), (1, None, "x"), (1, 2, None), (1, 9, "z")]), ["submission", "a", "b"]) == (3, False)
     assert pub._compared(batch, frame([(1, 1, "x"), (1, 1, "x"), (2, None, "x")]), ["submission", "a", "b"]) == (1, True)
     assert pub._compared(batch.where("false"), batch.where("false"), ["submission", "a", "b"]) == (0, False)
+
+
+def test_a_batch_that_the_target_does_not_take(spark, tmp_path, monkeypatch):
+    """The audit sees the staged rows: nothing is loaded, no id given and nothing left over."""
+    for module in ("grabqc.sinks.publish", "grabqc.sources.tables"):
+        monkeypatch.setattr(f"{module}.scratch_path", lambda _, label: str(tmp_path / "scratch" / f"{label}-{uuid.uuid4().hex}"))
+    root = str(tmp_path / "targets")
+
+    def odd(rows):
+        return rows.where("ActGrpIDText = 'b'")
+
+    with pytest.raises(pub.Refused, match="odd"):
+        pub.publish(groups(spark, "abc"), root, "t_ActGrp", audit=odd)
+    assert not os.path.exists(root) and os.listdir(tmp_path / "scratch") == []
+    assert pub.publish(groups(spark, "ac"), root, "t_ActGrp", audit=odd).first()["verified"]
+
+
+@pytest.mark.parametrize("lacking", ["value", "submission"])
+def test_results_that_lack_required_values_are_not_published(spark, lacking):
+    final = visits(spark, [(1, "ann", 7.0), (2, "bob", 8.0)])
+    column, kind = ("Result", "double") if lacking == "value" else ("subid", "int")
+    final = final.withColumn(column, F.when(F.col("row_ID") == 2, F.lit(None).cast(kind)).otherwise(F.col(column)))
+    lookups = {"characteristics": spark.createDataFrame([(1, "ph", "pH", 9)], "CharID int, CharIDText string, CharAbbr string, StoretUniqueID int"),
+               "units": spark.createDataFrame([(1, "u")], "UnitID int, UnitIdText string"), "methods": spark.createDataFrame([(1, "M")], "MethodID int, ShortName string"),
+               "types": td.types(spark), "context": td.context(spark),
+               "stations": spark.createDataFrame([], "STATION_KEY bigint, StnID int, StationDes string, MLocID string, ContextID string")}
+    none = spark.createDataFrame([], "subid int, row_ID bigint, CharIDText string, result_id string, prec_val double, prec_DQL string")
+    root = scratch_path(spark, "t")
+    with pytest.raises(ValueError, match="missing_required"):
+        workflow.publish_all(final, workflow.shape_tables(final, none, lookups), root)
+    assert held(spark, root, "t_Result") is None and held(spark, root, "t_Activity") is not None
+
+
+def test_final_results_are_stored_with_what_the_targets_read(spark):
+    """Limits and batch sums stay out; with them the generated code is too long for the JVM to compile."""
+    final, _ = catalog._shaped(spark, SF)
+    assert set(final.columns) == {*tables.FINAL_COLUMNS, *identity.IDENTIFIERS}
