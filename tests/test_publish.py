@@ -11,6 +11,7 @@ from grabqc.functions.text import number_text, paste
 from grabqc.functions.times import time_zone_id, visit_time
 from grabqc.operators import identity, tables
 from grabqc.operators.identity import row_key
+from grabqc.operators.joins import fine_first
 from grabqc.plans import catalog, workflow
 from grabqc.session import scratch_path
 from grabqc.sinks import publish as pub
@@ -399,3 +400,18 @@ def test_final_results_are_stored_with_what_the_targets_read(spark):
     """Limits and batch sums stay out; with them the generated code is too long for the JVM to compile."""
     final, _ = catalog._shaped(spark, SF)
     assert set(final.columns) == {*tables.FINAL_COLUMNS, *identity.IDENTIFIERS}
+
+
+def test_the_review_reads_few_columns_of_the_results(spark):
+    """Results stored with their keys and the reviewed columns alone give the review of whole ones."""
+    final = visits(spark, [(1, "ann", 7.0), (2, "bob", 8.0)])
+    keyed = identity.with_row_keys(final).select("submission", F.col("result_key").alias("row_key"), F.col("row_ID").alias("ResultID"))
+    whole = keyed.select("*", *[F.lit("5" if kind == "string" else 5).cast(kind).alias(name) for name, kind in schemas.RESULT.items() if kind != "timestamp_ntz"])
+    few = whole.select("submission", "row_key", "ResultID", *tables.REVIEWED)
+    reviewed = [sorted(map(tuple, tables.review_table(final, rows).collect()), key=str) for rows in (whole, few)]
+    assert reviewed[0] == reviewed[1] and [r[1] for r in reviewed[0]] == [1, 2] and all(r[4] == 5 for r in reviewed[0])
+
+
+def test_fine_keys_come_first():
+    assert fine_first(["subid", "row_ID", "CharIDText"]) == ["row_ID", "CharIDText", "subid"]
+    assert fine_first(["submission", "act_key"]) == ["act_key", "submission"]
